@@ -130,11 +130,11 @@ def fill(df: DataFrame, s: Series, forward: list[str] = (), backward: list[str]
     )
     parts = []
     if forward:
-        parts.append(carried.filter(_any_not_null([f"_f_{c}" for c in forward]))
+        parts.append(carried
                      .select(*s.chunk_keys, F.lit(-1).alias(POS),
                              *[F.col(f"_f_{c}").alias(c) for c in forward]))
     if backward:
-        parts.append(carried.filter(_any_not_null([f"_b_{c}" for c in backward]))
+        parts.append(carried
                      .select(*s.chunk_keys, F.lit(1).alias(POS),
                              *[F.col(f"_b_{c}").alias(c) for c in backward]))
     u = d.withColumn(POS, F.lit(0))

@@ -105,7 +105,7 @@ FROM {traces} WHERE row_id % 50 = 0
 
 # Sequence-model stand-in: a third of the rows carry a confirmation verdict.
 CHRONOS_SQL = """
-SELECT icao, event_timestamp,
+SELECT upper(icao) AS icao, event_timestamp,
        CAST(NULL AS DOUBLE) AS chronos_score,
        CASE WHEN row_id % 5 = 0 THEN NULL ELSE row_id % 2 = 0 END AS chronos_confirmed
 FROM {traces} WHERE row_id % 3 = 0
