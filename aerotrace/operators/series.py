@@ -96,13 +96,6 @@ def _ordered_struct(s: Series, cols: list[str], value: Column | None = None) ->
     return F.struct(*fields, *[F.col(c) for c in cols])
 
 
-def _any_not_null(cols: list[str]) -> Column:
-    cond = F.col(cols[0]).isNotNull()
-    for c in cols[1:]:
-        cond = cond | F.col(c).isNotNull()
-    return cond
-
-
 def _finish(df: DataFrame, scanned: DataFrame, new_cols: list[str]) -> DataFrame:
     return scanned.filter(F.col(POS) == 0).select(*df.columns, *new_cols)
 
@@ -128,18 +121,19 @@ def fill(df: DataFrame, s: Series, forward: list[str] = (), backward: list[str]
         *[F.last(f"_f_{c}", ignorenulls=True).over(wf).alias(f"_f_{c}") for c in forward],
         *[F.last(f"_b_{c}", ignorenulls=True).over(wb).alias(f"_b_{c}") for c in backward],
     )
-    parts = []
+    # One carry-in row from the past (pos -1) and one from the future (pos +1)
+    # per chunk, generated from the same summary row.
+    names = list(dict.fromkeys(forward + backward))
+    edges = []
     if forward:
-        parts.append(carried
-                     .select(*s.chunk_keys, F.lit(-1).alias(POS),
-                             *[F.col(f"_f_{c}").alias(c) for c in forward]))
+        edges.append(F.struct(F.lit(-1).alias(POS), *[
+            (F.col(f"_f_{c}") if c in forward else F.lit(None)).alias(c) for c in names]))
     if backward:
-        parts.append(carried
-                     .select(*s.chunk_keys, F.lit(1).alias(POS),
-                             *[F.col(f"_b_{c}").alias(c) for c in backward]))
-    u = d.withColumn(POS, F.lit(0))
-    for p in parts:
-        u = u.unionByName(p, allowMissingColumns=True)
+        edges.append(F.struct(F.lit(1).alias(POS), *[
+            (F.col(f"_b_{c}") if c in backward else F.lit(None)).alias(c) for c in names]))
+    carry_rows = carried.select(*s.chunk_keys, F.explode(F.array(*edges)).alias("_e")) \
+        .select(*s.chunk_keys, "_e.*")
+    u = d.withColumn(POS, F.lit(0)).unionByName(carry_rows, allowMissingColumns=True)
     fw = s.forward_window().rowsBetween(*RUNNING)
     bw = s.backward_window().rowsBetween(*RUNNING)
     new_cols = ([f"{prefix_forward}{c}" for c in forward]

@@ -50,11 +50,13 @@ def states(spark, b):
 
 
 def silver(spark, b):
-    return medallion.silver(fx.traces(spark, b))
+    # staged: every downstream query reads it several times
+    return medallion.stage(medallion.silver(fx.traces(spark, b)))
 
 
 def gold(spark, b):
-    return medallion.gold(fx.traces(spark, b))
+    from aerotrace.operators.enrich import enrich
+    return enrich(silver(spark, b))
 
 
 def live_table(spark, b):
@@ -62,15 +64,16 @@ def live_table(spark, b):
 
 
 def scored(spark, b):
-    return ml.residuals(ml.persistence_predictions(ml.flight_features(silver(spark, b))))
+    return medallion.stage(ml.residuals(ml.persistence_predictions(ml.flight_features(silver(spark, b)))))
 
 
 def column_queries(prefix_base: str, base: Callable, sql_head: str, sql_from: str,
-                   items: dict[str, tuple[dict[str, Column], dict[str, str]]], key="row_id"):
+                   items: dict[str, tuple[Callable[[], dict[str, Column]], dict[str, str]]],
+                   key="row_id"):
     """Register one query per row-level expression: (key, outputs...)."""
     for name, (spark_cols, sql_cols) in items.items():
         def fn(spark, b, _cols=spark_cols):
-            return base(spark, b).select(key, *[c.alias(n) for n, c in _cols.items()])
+            return base(spark, b).select(key, *[c.alias(n) for n, c in _cols().items()])
         sql = (sql_head + f"SELECT {key}, "
                + ", ".join(f"{v} AS {k}" for k, v in sql_cols.items()) + f" FROM {sql_from}")
         register(name, sql)(fn)
@@ -78,7 +81,8 @@ def column_queries(prefix_base: str, base: Callable, sql_head: str, sql_from: st
 
 # ---------------------------------------------------------------------------
 # 2.1 sources
-STATE_JSON = F.to_json(F.struct(*[F.col(c) for c in O.STATE_COLS]))
+def _state_json():
+    return F.to_json(F.struct(*[F.col(c) for c in O.STATE_COLS]))
 
 
 @register("scan_table", fx.oracle_ctes("traces") + "SELECT * FROM traces")
@@ -89,7 +93,7 @@ def q_scan_table(spark, b):
 def _state_json_rows(spark, b):
     st = fx.states(spark, b)
     # every 97th record arrives truncated (malformed JSON)
-    js = F.when(F.col("row_id") % 97 == 0, F.substring(STATE_JSON, 1, 20)).otherwise(STATE_JSON)
+    js = F.when(F.col("row_id") % 97 == 0, F.substring(_state_json(), 1, 20)).otherwise(_state_json())
     return st.select("row_id", js.alias("value"))
 
 
@@ -146,24 +150,24 @@ LIVE_SQL = {
                    "THEN CAST(('0x' || coalesce(icao24, 'UNKNOWN')) AS BIGINT) END"),
 }
 column_queries("live", states, _S, "states", {
-    "icao_default": ({"icao24": live.icao_default()}, {"icao24": LIVE_SQL["icao24"]}),
-    "callsign_trim": ({"callsign": live.callsign_trim()}, {"callsign": LIVE_SQL["callsign"]}),
-    "event_time": ({"event_time": live.event_time()}, {"event_time": LIVE_SQL["event_time"]}),
-    "altitude_ft": ({"altitude_ft": live.altitude_ft()}, {"altitude_ft": LIVE_SQL["altitude_ft"]}),
-    "altitude_band": ({"altitude_band": panels.altitude_band("on_ground", "_a")},
+    "icao_default": (lambda: {"icao24": live.icao_default()}, {"icao24": LIVE_SQL["icao24"]}),
+    "callsign_trim": (lambda: {"callsign": live.callsign_trim()}, {"callsign": LIVE_SQL["callsign"]}),
+    "event_time": (lambda: {"event_time": live.event_time()}, {"event_time": LIVE_SQL["event_time"]}),
+    "altitude_ft": (lambda: {"altitude_ft": live.altitude_ft()}, {"altitude_ft": LIVE_SQL["altitude_ft"]}),
+    "altitude_band": (lambda: {"altitude_band": panels.altitude_band("on_ground", "_a")},
                       {"altitude_band": LIVE_SQL["altitude_band"]}),
-    "velocity_units": (live.velocity_units(), {k: LIVE_SQL[k] for k in ("velocity_kmh", "velocity_knots")}),
-    "flight_phase": ({"flight_phase": live.flight_phase()}, {"flight_phase": LIVE_SQL["flight_phase"]}),
-    "bool_to_byte": ({"spi": live.bool_to_byte("spi"), "on_ground": live.bool_to_byte("on_ground")},
+    "velocity_units": (lambda: live.velocity_units(), {k: LIVE_SQL[k] for k in ("velocity_kmh", "velocity_knots")}),
+    "flight_phase": (lambda: {"flight_phase": live.flight_phase()}, {"flight_phase": LIVE_SQL["flight_phase"]}),
+    "bool_to_byte": (lambda: {"spi": live.bool_to_byte("spi"), "on_ground": live.bool_to_byte("on_ground")},
                      {"spi": LIVE_SQL["spi"], "on_ground": LIVE_SQL["on_ground"]}),
-    "squawk_blank": ({"squawk": live.squawk_blank()}, {"squawk": LIVE_SQL["squawk"]}),
-    "position_source_label": ({"position_source": live.position_source_label()},
+    "squawk_blank": (lambda: {"squawk": live.squawk_blank()}, {"squawk": LIVE_SQL["squawk"]}),
+    "position_source_label": (lambda: {"position_source": live.position_source_label()},
                               {"position_source": LIVE_SQL["position_source"]}),
-    "emitter_category_label": ({"aircraft_category": live.emitter_category_label()},
+    "emitter_category_label": (lambda: {"aircraft_category": live.emitter_category_label()},
                                {"aircraft_category": LIVE_SQL["aircraft_category"]}),
-    "icao_to_int": ({"icao24_int": hex_to_long(live.icao_default())},
+    "icao_to_int": (lambda: {"icao24_int": hex_to_long(live.icao_default())},
                     {"icao24_int": LIVE_SQL["icao24_int"]}),
-    "cast_double": ({c: F.col(c).cast("double") for c in ("latitude", "longitude", "baro_altitude",
+    "cast_double": (lambda: {c: F.col(c).cast("double") for c in ("latitude", "longitude", "baro_altitude",
                                                           "geo_altitude", "vertical_rate", "true_track")},
                     {c: f"CAST({c} AS DOUBLE)" for c in ("latitude", "longitude", "baro_altitude",
                                                          "geo_altitude", "vertical_rate", "true_track")}),
@@ -371,27 +375,28 @@ def q_ffill_in_session(spark, b):
 # 2.8 cleaning (each rule on the raw flat rows) and the composed step
 _T = fx.oracle_ctes("traces")
 column_queries("clean", traces, _T, "traces", {
-    "normalize_identity": ({k: v for k, v in cl.normalize_identity().items()},
-                           {k: O.CLEAN_EXPR[k] for k in cl.normalize_identity()}),
-    "null_if_blank": ({"description": F.nullif(F.trim("description"), F.lit(""))},
+    "normalize_identity": (lambda: {k: v for k, v in cl.normalize_identity().items()},
+                           {k: O.CLEAN_EXPR[k] for k in ("icao", "registration", "aircraft_type", "description",
+                                                             "category")}),
+    "null_if_blank": (lambda: {"description": F.nullif(F.trim("description"), F.lit(""))},
                       {"description": "nullif(trim(description), '')"}),
-    "valid_callsign": ({"flight": cl.valid_callsign()}, {"flight": O.CLEAN_EXPR["flight"]}),
-    "valid_squawk": ({"squawk": cl.valid_squawk()}, {"squawk": O.CLEAN_EXPR["squawk"]}),
-    "emergency_enum": ({"emergency": cl.emergency_enum()}, {"emergency": O.CLEAN_EXPR["emergency"]}),
-    "on_ground_flag": ({"is_on_ground": cl.on_ground_flag()}, {"is_on_ground": O.CLEAN_ADDED["is_on_ground"]}),
-    "alt_baro_ft": ({"alt_baro_ft": cl.alt_baro_ft()}, {"alt_baro_ft": O.CLEAN_ADDED["alt_baro_ft"]}),
-    "resolved_altitude": ({"resolved_altitude": cl.resolved("is_geom_alt", F.col("alt_geom"), cl.alt_baro_ft())},
+    "valid_callsign": (lambda: {"flight": cl.valid_callsign()}, {"flight": O.CLEAN_EXPR["flight"]}),
+    "valid_squawk": (lambda: {"squawk": cl.valid_squawk()}, {"squawk": O.CLEAN_EXPR["squawk"]}),
+    "emergency_enum": (lambda: {"emergency": cl.emergency_enum()}, {"emergency": O.CLEAN_EXPR["emergency"]}),
+    "on_ground_flag": (lambda: {"is_on_ground": cl.on_ground_flag()}, {"is_on_ground": O.CLEAN_ADDED["is_on_ground"]}),
+    "alt_baro_ft": (lambda: {"alt_baro_ft": cl.alt_baro_ft()}, {"alt_baro_ft": O.CLEAN_ADDED["alt_baro_ft"]}),
+    "resolved_altitude": (lambda: {"resolved_altitude": cl.resolved("is_geom_alt", F.col("alt_geom"), cl.alt_baro_ft())},
                           {"resolved_altitude": O.CLEAN_ADDED["resolved_altitude"]}),
-    "resolved_vert_rate": ({"resolved_vert_rate": cl.resolved("is_geom_rate", F.col("geom_vert_rate"),
+    "resolved_vert_rate": (lambda: {"resolved_vert_rate": cl.resolved("is_geom_rate", F.col("geom_vert_rate"),
                                                               F.col("vert_rate"))},
                            {"resolved_vert_rate": O.CLEAN_ADDED["resolved_vert_rate"]}),
-    "valid_range": ({c: cl.valid_range(c, lo, hi) for c, (lo, hi) in K.MOTION_RANGES.items()},
+    "valid_range": (lambda: {c: cl.valid_range(c, lo, hi) for c, (lo, hi) in K.MOTION_RANGES.items()},
                     {c: O.CLEAN_EXPR[c] for c in K.MOTION_RANGES}),
-    "integrity_ranges": ({c: cl.valid_range(c, lo, hi) for c, (lo, hi) in K.INTEGRITY_RANGES.items()},
+    "integrity_ranges": (lambda: {c: cl.valid_range(c, lo, hi) for c, (lo, hi) in K.INTEGRITY_RANGES.items()},
                          {c: O.CLEAN_EXPR[c] for c in K.INTEGRITY_RANGES}),
-    "position_type_enum": ({"position_type": cl.position_type_enum()},
+    "position_type_enum": (lambda: {"position_type": cl.position_type_enum()},
                            {"position_type": O.CLEAN_EXPR["position_type"]}),
-    "daily_session_id": ({"aircraft_session_id": cl.daily_session_id()},
+    "daily_session_id": (lambda: {"aircraft_session_id": cl.daily_session_id()},
                          {"aircraft_session_id": O.sk("upper(trim(icao))", "CAST(event_timestamp AS DATE)")}),
 })
 # daily_session_id is defined on the normalised ICAO

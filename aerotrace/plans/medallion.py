@@ -16,7 +16,7 @@ from aerotrace.operators.backfill import backfill
 from aerotrace.operators.clean import clean_traces
 from aerotrace.operators.dedup import dedup
 from aerotrace.operators.enrich import enrich
-from aerotrace.session import shared_path
+from aerotrace.session import ensure_checkpoint_dir, shared_path
 
 
 def silver(flat: DataFrame) -> DataFrame:
@@ -35,3 +35,13 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str = "over
     path = shared_path(spark, name)
     df.write.mode(mode).parquet(path)
     return spark.read.parquet(path)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (a shared folder on
+    a cluster).  Used where one intermediate feeds several branches of a
+    plan -- e.g. the two phases of every chunked keyed scan -- so upstream
+    work (dedup shuffle, windows) runs once, and lineage is cut so a lost
+    executor recomputes from the checkpoint, not from the raw scan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
