@@ -746,12 +746,15 @@ def q_episode_grouping(spark, b):
     return e.withColumn("peak_score", round6("peak_score"))
 
 
+# percentile_approx keeps a bounded sketch per category (a hot category costs
+# no more memory); below the sketch capacity it returns the exact order
+# statistic, i.e. the discrete quantile.
 @register("category_threshold", _ML + """
-, q AS (SELECT category, quantile_cont(xgb_anomaly_score, 0.99) AS t FROM scored GROUP BY category),
-g AS (SELECT quantile_cont(xgb_anomaly_score, 0.99) AS gt FROM scored)
+, q AS (SELECT category, quantile_disc(xgb_anomaly_score, 0.99) AS t FROM scored GROUP BY category),
+g AS (SELECT quantile_disc(xgb_anomaly_score, 0.99) AS gt FROM scored)
 SELECT category, round(coalesce(t, gt), 6) AS threshold FROM q, g""")
 def q_category_threshold(spark, b):
-    t = ml.category_thresholds(scored(spark, b), exact=True)
+    t = ml.category_thresholds(scored(spark, b))
     return t.select("category", round6("threshold").alias("threshold"))
 
 
