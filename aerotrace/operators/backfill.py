@@ -18,7 +18,7 @@ FORWARD_ONLY = (K.STABLE_IDENTITY_FIELDS + ["flight"] + K.SEMI_STABLE_FIELDS
                 + ["roll", "alt_baro"])
 
 
-def default_series(tiebreak=("row_id",), chunk_seconds: int = 3600) -> Series:
+def default_series(tiebreak=("row_id",), chunk_seconds: int = 86400) -> Series:
     return Series.of("icao", "event_timestamp", tiebreak, chunk_seconds)
 
 

@@ -30,7 +30,7 @@ SHIFTED = {
 }
 
 
-def default_series(df: DataFrame, chunk_seconds: int = 3600) -> Series:
+def default_series(df: DataFrame, chunk_seconds: int = 86400) -> Series:
     tb = ("row_id",) if "row_id" in df.columns else ()
     return Series.of("icao", "event_timestamp", tb, chunk_seconds)
 

@@ -19,9 +19,11 @@ all rows of a later one).  The work then runs in two short steps:
    the carry rows are filtered out afterwards.
 
 Rows are never dropped or capped; the result equals the unchunked window.
-The chunk width bounds a window partition by (report rate x width); for
-ADS-B (<= a few reports per second per aircraft after dedup) the default
-hour keeps every partition small while the summary stays tiny.
+The chunk width bounds a window partition by (report rate x width): with the
+default of one day, an aircraft reporting at 1 Hz after dedup puts at most
+86,400 rows into one window partition, however many days it spans.  Much
+narrower chunks make the summary as large as the data on sparse series
+(measured: 1-hour chunks cost 1.7x the 1-day chunks on the test tables).
 """
 
 from __future__ import annotations
@@ -45,10 +47,10 @@ class Series:
     key: tuple[str, ...]
     time: str
     tiebreak: tuple[str, ...] = field(default_factory=tuple)
-    chunk_seconds: int = 3600
+    chunk_seconds: int = 86400
 
     @staticmethod
-    def of(key, time, tiebreak=(), chunk_seconds=3600) -> "Series":
+    def of(key, time, tiebreak=(), chunk_seconds=86400) -> "Series":
         key = (key,) if isinstance(key, str) else tuple(key)
         tiebreak = (tiebreak,) if isinstance(tiebreak, str) else tuple(tiebreak)
         return Series(key, time, tiebreak, chunk_seconds)
