@@ -24,8 +24,8 @@ def dedup(df: DataFrame, keys=("icao", "event_timestamp"),
         if "row_id" in df.columns:
             prefer.append(F.col("row_id"))
     payload = [c for c in df.columns if c not in keys]
-    best = F.max(F.struct(*[p.alias(f"_p{i}") for i, p in enumerate(prefer)],
-                          *[F.col(c) for c in payload])).alias("_best")
+    best = F.max_by(F.struct(*[F.col(c) for c in payload]),
+                    F.struct(*[p.alias(f"_p{i}") for i, p in enumerate(prefer)])).alias("_best")
     out = df.groupBy(*keys).agg(best)
     return out.select(*[F.col(k) for k in keys], *[F.col(f"_best.{c}").alias(c) for c in payload]) \
         .select(*df.columns)

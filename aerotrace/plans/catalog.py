@@ -273,6 +273,31 @@ def q_flatten_trace(spark, b):
         .groupBy("icao", "data_date").agg(F.count("*").alias("n_points"))
 
 
+_FL_PARTS = {
+    "json_path_cast": ["registration", "aircraft_type", "description", "db_flags"],
+    "array_slot_extract": ["lat", "lon", "alt_baro", "ground_speed", "track", "trace_flags", "vert_rate",
+                           "position_type", "alt_geom", "geom_vert_rate", "ias", "roll"],
+    "nested_object_extract": ["flight", "squawk", "emergency", "category", "nav_altitude_mcp",
+                              "nav_altitude_fms", "nav_heading", "nav_qnh", "nic", "rc", "nac_p", "nac_v",
+                              "sil", "sil_type", "gva", "sda", "version"],
+    "event_timestamp": [],
+    "lineage": ["source_file", "ingestion_ts", "data_date"],
+}
+_DOC_LEVEL = {"registration", "aircraft_type", "description", "db_flags", "ingestion_ts"}
+
+
+def _flat(spark, b):
+    from aerotrace.operators.bronze import flatten_traces, trace_documents
+    return flatten_traces(trace_documents(fx.traces(spark, b)))
+
+
+for _name, _cols in _FL_PARTS.items():
+    register(_name, fx.oracle_ctes("traces") + "SELECT icao, event_timestamp"
+             + "".join(f", max({c}) OVER d AS {c}" if c in _DOC_LEVEL else f", {c}" for c in _cols)
+             + " FROM traces WINDOW d AS (PARTITION BY icao, data_date)")(
+        lambda spark, b, _c=_cols: _flat(spark, b).select("icao", "event_timestamp", *_c))
+
+
 @register("flag_bits", fx.oracle_ctes("traces")
           + "SELECT event_timestamp, icao, trace_flags, trace_flags & 1 > 0 AS is_stale, "
             "trace_flags & 2 > 0 AS is_new_leg, trace_flags & 4 > 0 AS is_geom_rate, "
