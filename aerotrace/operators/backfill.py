@@ -32,22 +32,23 @@ def backfill(df: DataFrame, s: Series | None = None) -> DataFrame:
     s = s or default_series(tiebreak=[c for c in ("row_id",) if c in df.columns])
     forward = [c for c in dict.fromkeys(FORWARD_ONLY + K.CONTINUOUS_FIELDS)]
     filled = series.fill(df, s, forward=forward, backward=K.CONTINUOUS_FIELDS)
+    q = series.q
     out = []
     for c in df.columns:
         if c in K.CONTINUOUS_FIELDS:
-            v = F.coalesce(F.col(c), F.col(f"ffill_{c}"), F.col(f"bfill_{c}"))
+            v = f"coalesce({q(c)}, {q('ffill_' + c)}, {q('bfill_' + c)})"
         elif c in forward:
-            v = F.col(f"ffill_{c}")
+            v = q("ffill_" + c)
         else:
-            v = F.col(c)
+            v = q(c)
         if c in K.CATEGORICAL_DEFAULTS:
-            v = F.coalesce(v, F.lit(K.CATEGORICAL_DEFAULTS[c]))
+            v = f"coalesce({v}, '{K.CATEGORICAL_DEFAULTS[c]}')"
         elif c in K.BOOLEAN_FLAGS:
-            v = F.coalesce(v, F.lit(False))
+            v = f"coalesce({v}, false)"
         elif c == "trace_flags":
-            v = F.coalesce(v, F.lit(0))
-        out.append(v.alias(c))
-    return filled.select(*out)
+            v = f"coalesce({v}, 0)"
+        out.append(f"{v} AS {q(c)}")
+    return filled.selectExpr(*out)
 
 
 def ffill_bounded(df: DataFrame, cols: dict[str, float], s: Series | None = None) -> DataFrame:

@@ -99,7 +99,29 @@ def _ordered_struct(s: Series, cols: list[str], value: Column | None = None) ->
 
 
 def _finish(df: DataFrame, scanned: DataFrame, new_cols: list[str]) -> DataFrame:
-    return scanned.filter(F.col(POS) == 0).select(*df.columns, *new_cols)
+    return scanned.where(f"{q(POS)} = 0").select(*df.columns, *new_cols)
+
+
+def q(c: str) -> str:
+    return f"`{c}`"
+
+
+def _ordered_sql(s: Series, cols: list[str], value: str | None = None) -> str:
+    fields = [f"'_o{i}', {q(o)}" for i, o in enumerate(s.order)]
+    fields += [f"'v', {value}"] if value is not None else [f"'{c}', {q(c)}" for c in cols]
+    return f"named_struct({', '.join(fields)})"
+
+
+def _win(keys: list[str], order: str, frame: str = "") -> str:
+    return f"(PARTITION BY {', '.join(q(k) for k in keys)} ORDER BY {order}{frame})"
+
+
+RUNNING_SQL = " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE_SQL = " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+# Expressions below are SQL text (one JVM call each) rather than chains of
+# Column calls: same plan, far less driver-side plan-building time for the
+# wide fills used by the backfill step.
 
 
 def fill(df: DataFrame, s: Series, forward: list[str] = (), backward: list[str] = (),
@@ -107,43 +129,39 @@ def fill(df: DataFrame, s: Series, forward: list[str] = (), backward: list[str]
     """Add ``ffill_<c>`` (last non-null at or before the row) and
     ``bfill_<c>`` (first non-null at or after the row) within each key."""
     forward, backward = list(forward), list(backward)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     d = df.withColumn(CHUNK, s.chunk_expr(df))
-    aggs = []
-    for c in forward:
-        aggs.append(F.max(F.when(F.col(c).isNotNull(), _ordered_struct(s, [], F.col(c))))
-                    .getField("v").alias(f"_f_{c}"))
-    for c in backward:
-        aggs.append(F.min(F.when(F.col(c).isNotNull(), _ordered_struct(s, [], F.col(c))))
-                    .getField("v").alias(f"_b_{c}"))
+    aggs = [F.expr(f"max(CASE WHEN {q(c)} IS NOT NULL THEN {_ordered_sql(s, [], q(c))} END) "
+                   f"AS {q('_f_' + c)}") for c in forward]
+    aggs += [F.expr(f"min(CASE WHEN {q(c)} IS NOT NULL THEN {_ordered_sql(s, [], q(c))} END) "
+                    f"AS {q('_b_' + c)}") for c in backward]
     summary = d.groupBy(*s.chunk_keys).agg(*aggs)
-    wf = s.summary_window().rowsBetween(*BEFORE)
-    wb = s.summary_window(descending=True).rowsBetween(*BEFORE)
-    carried = summary.select(
-        *s.chunk_keys,
-        *[F.last(f"_f_{c}", ignorenulls=True).over(wf).alias(f"_f_{c}") for c in forward],
-        *[F.last(f"_b_{c}", ignorenulls=True).over(wb).alias(f"_b_{c}") for c in backward],
+    # carried-in values: last non-null of earlier chunks / first of later ones
+    wf = _win(list(s.key), f"{q(CHUNK)} ASC", BEFORE_SQL)
+    wb = _win(list(s.key), f"{q(CHUNK)} DESC", BEFORE_SQL)
+    carried = summary.selectExpr(
+        *[q(k) for k in s.chunk_keys],
+        *[f"last({q('_f_' + c)}.v, true) OVER {wf} AS {q('_f_' + c)}" for c in forward],
+        *[f"last({q('_b_' + c)}.v, true) OVER {wb} AS {q('_b_' + c)}" for c in backward],
     )
     # One carry-in row from the past (pos -1) and one from the future (pos +1)
     # per chunk, generated from the same summary row.
     names = list(dict.fromkeys(forward + backward))
-    edges = []
-    if forward:
-        edges.append(F.struct(F.lit(-1).alias(POS), *[
-            (F.col(f"_f_{c}") if c in forward else F.lit(None)).alias(c) for c in names]))
-    if backward:
-        edges.append(F.struct(F.lit(1).alias(POS), *[
-            (F.col(f"_b_{c}") if c in backward else F.lit(None)).alias(c) for c in names]))
-    carry_rows = carried.select(*s.chunk_keys, F.explode(F.array(*edges)).alias("_e")) \
-        .select(*s.chunk_keys, "_e.*")
+
+    def edge(pos, prefix, cols):
+        vals = [f"'{c}', " + (q(prefix + c) if c in cols else f"CAST(NULL AS {types[c]})") for c in names]
+        return f"named_struct('{POS}', {pos}, {', '.join(vals)})"
+    edges = ([edge(-1, "_f_", forward)] if forward else []) + ([edge(1, "_b_", backward)] if backward else [])
+    carry_rows = carried.selectExpr(*[q(k) for k in s.chunk_keys], f"inline(array({', '.join(edges)}))")
     u = d.withColumn(POS, F.lit(0)).unionByName(carry_rows, allowMissingColumns=True)
-    fw = s.forward_window().rowsBetween(*RUNNING)
-    bw = s.backward_window().rowsBetween(*RUNNING)
+    fw = _win(s.chunk_keys, ", ".join([f"{q(POS)} ASC"] + [f"{q(c)} ASC" for c in s.order]), RUNNING_SQL)
+    bw = _win(s.chunk_keys, ", ".join([f"{q(POS)} DESC"] + [f"{q(c)} DESC" for c in s.order]), RUNNING_SQL)
     new_cols = ([f"{prefix_forward}{c}" for c in forward]
                 + [f"{prefix_backward}{c}" for c in backward])
-    scanned = u.select(
+    scanned = u.selectExpr(
         "*",
-        *[F.last(c, ignorenulls=True).over(fw).alias(f"{prefix_forward}{c}") for c in forward],
-        *[F.last(c, ignorenulls=True).over(bw).alias(f"{prefix_backward}{c}") for c in backward],
+        *[f"last({q(c)}, true) OVER {fw} AS {q(prefix_forward + c)}" for c in forward],
+        *[f"last({q(c)}, true) OVER {bw} AS {q(prefix_backward + c)}" for c in backward],
     )
     return _finish(df, scanned, new_cols)
 
@@ -172,32 +190,24 @@ def shift(df: DataFrame, s: Series, lags: dict[str, str] | None = None,
     lags, leads = dict(lags or {}), dict(leads or {})
     src = sorted(set(lags.values()) | set(leads.values()))
     d = df.withColumn(CHUNK, s.chunk_expr(df))
-    summary = d.groupBy(*s.chunk_keys).agg(
-        F.max(_ordered_struct(s, src)).alias("_last"),
-        F.min(_ordered_struct(s, src)).alias("_first"),
-    )
-    w = s.summary_window()
-    carried = summary.select(
-        *s.chunk_keys,
-        F.lag("_last").over(w).alias("_prev"),
-        F.lead("_first").over(w).alias("_next"),
-    )
+    summary = d.groupBy(*s.chunk_keys).agg(F.expr(f"max({_ordered_sql(s, src)}) AS _last"),
+                                           F.expr(f"min({_ordered_sql(s, src)}) AS _first"))
+    w = _win(list(s.key), f"{q(CHUNK)} ASC")
+    carried = summary.selectExpr(*[q(k) for k in s.chunk_keys],
+                                 f"lag(_last) OVER {w} AS _prev", f"lead(_first) OVER {w} AS _next")
     u = d.withColumn(POS, F.lit(0))
+    keys = [q(k) for k in s.chunk_keys]
     if lags:
-        u = u.unionByName(
-            carried.filter(F.col("_prev").isNotNull()).select(
-                *s.chunk_keys, F.lit(-1).alias(POS), *[F.col(f"_prev.{c}").alias(c) for c in src]),
-            allowMissingColumns=True)
+        u = u.unionByName(carried.where("_prev IS NOT NULL").selectExpr(
+            *keys, f"-1 AS {POS}", *[f"_prev.{q(c)} AS {q(c)}" for c in src]), allowMissingColumns=True)
     if leads:
-        u = u.unionByName(
-            carried.filter(F.col("_next").isNotNull()).select(
-                *s.chunk_keys, F.lit(1).alias(POS), *[F.col(f"_next.{c}").alias(c) for c in src]),
-            allowMissingColumns=True)
-    w_local = s.forward_window()
-    scanned = u.select(
+        u = u.unionByName(carried.where("_next IS NOT NULL").selectExpr(
+            *keys, f"1 AS {POS}", *[f"_next.{q(c)} AS {q(c)}" for c in src]), allowMissingColumns=True)
+    w_local = _win(s.chunk_keys, ", ".join([f"{q(POS)} ASC"] + [f"{q(c)} ASC" for c in s.order]))
+    scanned = u.selectExpr(
         "*",
-        *[F.lag(c, 1).over(w_local).alias(name) for name, c in lags.items()],
-        *[F.lead(c, 1).over(w_local).alias(name) for name, c in leads.items()],
+        *[f"lag({q(c)}, 1) OVER {w_local} AS {q(name)}" for name, c in lags.items()],
+        *[f"lead({q(c)}, 1) OVER {w_local} AS {q(name)}" for name, c in leads.items()],
     )
     return _finish(df, scanned, [*lags, *leads])
 

@@ -51,7 +51,7 @@ def states(spark, b):
 
 def silver(spark, b):
     # staged: every downstream query reads it several times
-    return medallion.stage(medallion.silver(fx.traces(spark, b)))
+    return medallion.stage(medallion.silver(fx.traces(spark, b)), "silver")
 
 
 def gold(spark, b):
@@ -64,7 +64,8 @@ def live_table(spark, b):
 
 
 def scored(spark, b):
-    return medallion.stage(ml.residuals(ml.persistence_predictions(ml.flight_features(silver(spark, b)))))
+    return medallion.stage(ml.residuals(ml.persistence_predictions(ml.flight_features(silver(spark, b)))),
+                           "scored")
 
 
 def column_queries(prefix_base: str, base: Callable, sql_head: str, sql_from: str,
@@ -113,7 +114,8 @@ def q_parse_state_json(spark, b):
           + " FROM states")
 def q_unpack_state_array(spark, b):
     from aerotrace.sources.states import state_payloads, unpack_states
-    return unpack_states(state_payloads(fx.states(spark, b))).drop("sensors")
+    # fixture records are a minute apart: one payload per hour of records
+    return unpack_states(state_payloads(fx.states(spark, b), poll_seconds=3600)).drop("sensors")
 
 
 # ---------------------------------------------------------------------------

@@ -10,6 +10,8 @@ recomputes from that table, not from the raw scan.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from aerotrace.operators.backfill import backfill
@@ -37,11 +39,19 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str = "over
     return spark.read.parquet(path)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (a shared folder on
-    a cluster).  Used where one intermediate feeds several branches of a
-    plan -- e.g. the two phases of every chunked keyed scan -- so upstream
-    work (dedup shuffle, windows) runs once, and lineage is cut so a lost
-    executor recomputes from the checkpoint, not from the raw scan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` once as a Parquet table under ``spark.checkpoint.dir``
+    (a shared folder on a cluster) and return a scan of it.
+
+    Used where one intermediate feeds several branches of a plan -- e.g. the
+    two phases of every chunked keyed scan, or the eight star tables -- so
+    upstream work (dedup shuffle, windows) runs once.  Lineage is cut: a lost
+    executor recomputes from this table, not from the raw input.  Unlike an
+    RDD checkpoint, consumers of the Parquet table get column pruning and
+    filter pushdown.  ``localCheckpoint`` is never used.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

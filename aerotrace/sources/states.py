@@ -64,7 +64,7 @@ def _json_scalar(c: str, dtype: T.DataType):
     return F.coalesce(v.cast("string"), F.lit("null"))
 
 
-def state_payloads(states: DataFrame, poll_seconds: int = 3600, short_every: int = 89) -> DataFrame:
+def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int = 89) -> DataFrame:
     """Build poll responses ``{"time": t, "states": [[...18 slots...], ...]}``
     from flat state records, one payload per poll interval.  Every
     ``short_every``-th record (by ``row_id``) is sent as a 15-slot array, as
