@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
-from aerotrace.functions.exprs import epoch_seconds_ntz
+from aerotrace.functions.exprs import epoch_micros_ntz, epoch_seconds_ntz, ntz_from_micros
 
 
 # --- AG: bronze validation queries -----------------------------------------
@@ -66,7 +66,8 @@ def missing_geo_pct(df: DataFrame) -> DataFrame:  # GF3
 
 def stream_lag(df: DataFrame, ingest="ingested_at") -> DataFrame:  # GF4
     lag = (epoch_seconds_ntz(ingest) - epoch_seconds_ntz("event_time")).cast("double")
-    return (df.groupBy(F.date_trunc("minute", "event_time").alias("minute"))
+    minute = ntz_from_micros(F.floor(epoch_micros_ntz("event_time") / F.lit(60_000_000)) * F.lit(60_000_000))
+    return (df.groupBy(minute.alias("minute"))
             .agg(F.round(F.avg(lag), 6).alias("avg_lag_s"), F.max(lag).alias("max_lag_s")))
 
 

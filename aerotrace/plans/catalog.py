@@ -589,9 +589,9 @@ def q_val_daily(spark, b):
     return panels.val_daily_coverage(traces(spark, b))
 
 
-@register("val_missing_counts", _BRONZE + "SELECT count(*) AS total_rows, count_if(icao IS NULL) AS "
-          "missing_icao, count_if(lat IS NULL OR lon IS NULL) AS missing_position, "
-          "count_if(event_timestamp IS NULL) AS missing_event_timestamp FROM traces")
+@register("val_missing_counts", _BRONZE + "SELECT count(*) AS total_rows, CAST(count_if(icao IS NULL) AS BIGINT) AS "
+          "missing_icao, CAST(count_if(lat IS NULL OR lon IS NULL) AS BIGINT) AS missing_position, "
+          "CAST(count_if(event_timestamp IS NULL) AS BIGINT) AS missing_event_timestamp FROM traces")
 def q_val_missing(spark, b):
     return panels.val_missing_counts(traces(spark, b))
 
@@ -627,11 +627,11 @@ _live_q("geo_grid_density", "SELECT CAST(floor(latitude / 1.0) * 1.0 AS DOUBLE)
         panels.geo_grid_density)
 _live_q("missing_geo_pct", "SELECT round(100.0 * count_if(latitude IS NULL OR longitude IS NULL) / count(*), 6) "
         "AS missing_geo_pct FROM live", panels.missing_geo_pct)
-_live_q("missing_key_fields", "SELECT count(*) AS total_rows, count_if(icao24 IS NULL OR trim(icao24) = '' OR "
-        "icao24 = 'UNKNOWN') AS missing_icao24, count_if(callsign IS NULL OR trim(callsign) = '') AS "
-        "missing_callsign, count_if(squawk IS NULL OR trim(squawk) = '') AS missing_squawk, "
-        "count_if(latitude IS NULL OR longitude IS NULL) AS missing_position, count_if(altitude_ft IS NULL) "
-        "AS missing_altitude, count_if(velocity_knots IS NULL) AS missing_velocity FROM live",
+_live_q("missing_key_fields", "SELECT count(*) AS total_rows, CAST(count_if(icao24 IS NULL OR trim(icao24) = '' OR "
+        "icao24 = 'UNKNOWN') AS BIGINT) AS missing_icao24, CAST(count_if(callsign IS NULL OR trim(callsign) = '') AS BIGINT) AS "
+        "missing_callsign, CAST(count_if(squawk IS NULL OR trim(squawk) = '') AS BIGINT) AS missing_squawk, "
+        "CAST(count_if(latitude IS NULL OR longitude IS NULL) AS BIGINT) AS missing_position, CAST(count_if(altitude_ft IS NULL) AS BIGINT) "
+        "AS missing_altitude, CAST(count_if(velocity_knots IS NULL) AS BIGINT) AS missing_velocity FROM live",
         panels.missing_key_fields)
 _live_q("phase_distribution", "SELECT flight_phase, n_rows, round(100.0 * n_rows / sum(n_rows) OVER (), 6) "
         "AS share_pct FROM (SELECT flight_phase, count(*) AS n_rows FROM live GROUP BY 1)",
