@@ -49,9 +49,21 @@ def states(spark, b):
     return fx.states(spark, b)
 
 
+# Medallion tables (silver, scored features) are materialised once per
+# session and input directory and then read by every downstream query, as
+# the tables they are; each query still starts from the given tables.
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def _table(spark, b, name, build):
+    key = (spark.sparkContext.applicationId, b.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = medallion.stage(build(), name)
+    return _TABLES[key]
+
+
 def silver(spark, b):
-    # staged: every downstream query reads it several times
-    return medallion.stage(medallion.silver(fx.traces(spark, b)), "silver")
+    return _table(spark, b, "silver", lambda: medallion.silver(fx.traces(spark, b)))
 
 
 def gold(spark, b):
@@ -64,8 +76,8 @@ def live_table(spark, b):
 
 
 def scored(spark, b):
-    return medallion.stage(ml.residuals(ml.persistence_predictions(ml.flight_features(silver(spark, b)))),
-                           "scored")
+    return _table(spark, b, "scored", lambda: ml.residuals(ml.persistence_predictions(
+        ml.flight_features(silver(spark, b)))))
 
 
 def column_queries(prefix_base: str, base: Callable, sql_head: str, sql_from: str,
@@ -443,7 +455,8 @@ def q_drop_stale(spark, b):
 
 @register("silver_clean", O.chain("silver") + "SELECT * FROM silver")
 def q_silver_clean(spark, b):
-    return silver(spark, b)
+    # the full dedup -> backfill -> clean plan (not the materialised table)
+    return medallion.silver(fx.traces(spark, b))
 
 
 @register("drop_redundant", O.chain("silver") + "SELECT count(*) AS n_rows, "
