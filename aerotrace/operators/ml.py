@@ -186,19 +186,28 @@ def train_next_state(df: DataFrame, path: str | None = None, params: dict | None
     from pyspark.ml.regression import GBTRegressor
     p = dict(K.GBT_PARAMS)
     p.update(params or {})
+    from pyspark import StorageLevel
     data = _assembled(df)
-    train, test = data.randomSplit([0.8, 0.2], seed=seed)
+    # Seven fits read the same split: persist it once (spills to disk, and a
+    # lost executor recomputes only its partitions) instead of re-running
+    # the feature lineage per target.
+    train, test = [part.persist(StorageLevel.MEMORY_AND_DISK)
+                   for part in data.randomSplit([0.8, 0.2], seed=seed)]
     models, mae = {}, {}
-    for target in K.TARGET_COLUMNS:
-        tr = train.filter(F.col(target).isNotNull())
-        gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=f"pred_{target}",
-                           lossType="squared", **p)
-        m = gbt.fit(tr)
-        models[target] = m
-        te = m.transform(test.filter(F.col(target).isNotNull()))
-        mae[target] = te.agg(F.avg(F.abs(F.col(target) - F.col(f"pred_{target}")))).first()[0]
-        if path:
-            m.write().overwrite().save(f"{path.rstrip('/')}/{target}_model")
+    try:
+        for target in K.TARGET_COLUMNS:
+            tr = train.filter(F.col(target).isNotNull())
+            gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=f"pred_{target}",
+                               lossType="squared", **p)
+            m = gbt.fit(tr)
+            models[target] = m
+            te = m.transform(test.filter(F.col(target).isNotNull()))
+            mae[target] = te.agg(F.avg(F.abs(F.col(target) - F.col(f"pred_{target}")))).first()[0]
+            if path:
+                m.write().overwrite().save(f"{path.rstrip('/')}/{target}_model")
+    finally:
+        train.unpersist()
+        test.unpersist()
     return models, mae
 
 
