@@ -92,3 +92,17 @@ def episode_stream(df: DataFrame, gap: str = "5 minutes", delay: str = "10 minut
             .agg(F.count("*").alias("n_points"), F.max(score).alias("peak_score"))
             .select(key, to_wall_clock(F.col("s.start")).alias("episode_start"),
                     to_wall_clock(F.col("s.end")).alias("episode_end"), "n_points", "peak_score"))
+
+
+def unprocessed_files(listed: DataFrame, processed: DataFrame, col: str = "path") -> DataFrame:
+    """SE2 batch form of "files not yet processed": an anti join of the
+    current listing against the processed log (the streaming file source
+    keeps this log in its checkpoint instead).  Empty files are skipped."""
+    live = listed.filter(F.col("length") > 0) if "length" in listed.columns else listed
+    return live.join(processed.select(col).distinct(), col, "left_anti")
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "part-*.parquet") -> DataFrame:
+    """Listing of landed files (path, length, modificationTime) as a DataFrame."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+            .select("path", "length", "modificationTime"))

@@ -136,3 +136,14 @@ def test_episode_stream_sessions(spark):
     # 00:00-00:03 is one session (gaps <= 2 min, the low score is filtered); 00:09 closes
     # only when a later event moves the watermark, so at most the first is emitted here
     assert got in ([(3, 9.0)], [(1, 8.0), (3, 9.0)])
+
+
+def test_unprocessed_files_anti_join(spark):
+    d = _tmp()
+    fx.states(spark, SF001).select("row_id").repartition(3).write.parquet(os.path.join(d, "landed"))
+    listed = streams.list_files(spark, os.path.join(d, "landed"))
+    paths = [r.path for r in listed.collect()]
+    assert len(paths) == 3
+    processed = spark.createDataFrame([(paths[0],)], "path string")
+    todo = streams.unprocessed_files(listed, processed)
+    assert sorted(r.path for r in todo.collect()) == sorted(paths[1:])
