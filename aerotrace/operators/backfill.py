@@ -99,5 +99,5 @@ def ffill_in_session(df: DataFrame, cols: list[str], session_col: str,
                      s: Series | None = None) -> DataFrame:
     """BF11 (documented variant): forward fill within a detected session."""
     s = s or default_series(tiebreak=[c for c in ("row_id",) if c in df.columns])
-    s2 = Series.of([*s.key, session_col], s.time, s.tiebreak, s.chunk_seconds)
+    s2 = s.rekey([*s.key, session_col])
     return series.forward_fill(df, s2, cols)

@@ -24,6 +24,16 @@ default of one day, an aircraft reporting at 1 Hz after dedup puts at most
 86,400 rows into one window partition, however many days it spans.  Much
 narrower chunks make the summary as large as the data on sparse series
 (measured: 1-hour chunks cost 1.7x the 1-day chunks on the test tables).
+
+A (key, day) that is hot anyway -- a burst, a replayed feed, a key holding
+a third of the table -- is split further by row count: a map-side-combined
+count per (key, chunk) finds the chunks above ``max_chunk_rows`` and each
+gets a width of ``chunk / ceil(2 * rows / max_chunk_rows)`` (at least 1 us).
+A chunk id is the chunk's start in epoch microseconds, so day chunks and
+their finer sub-chunks interleave in time order within one key.  Only the
+``hot_chunk_limit`` largest hot chunks are refined (a broadcast of at most
+that many rows); any further hot chunk keeps its day width, which changes
+task sizes but never results.
 """
 
 from __future__ import annotations
@@ -48,12 +58,21 @@ class Series:
     time: str
     tiebreak: tuple[str, ...] = field(default_factory=tuple)
     chunk_seconds: int = 86400
+    max_chunk_rows: int | None = 2_000_000
+    hot_chunk_limit: int = 100_000
+    refine_rounds: int = 2
 
     @staticmethod
-    def of(key, time, tiebreak=(), chunk_seconds=86400) -> "Series":
+    def of(key, time, tiebreak=(), chunk_seconds=86400, max_chunk_rows=2_000_000,
+           hot_chunk_limit=100_000, refine_rounds=2) -> "Series":
         key = (key,) if isinstance(key, str) else tuple(key)
         tiebreak = (tiebreak,) if isinstance(tiebreak, str) else tuple(tiebreak)
-        return Series(key, time, tiebreak, chunk_seconds)
+        return Series(key, time, tiebreak, chunk_seconds, max_chunk_rows, hot_chunk_limit, refine_rounds)
+
+    def rekey(self, key) -> "Series":
+        key = (key,) if isinstance(key, str) else tuple(key)
+        return Series(key, self.time, self.tiebreak, self.chunk_seconds, self.max_chunk_rows,
+                      self.hot_chunk_limit, self.refine_rounds)
 
     @property
     def order(self) -> list[str]:
@@ -63,15 +82,50 @@ class Series:
     def chunk_keys(self) -> list[str]:
         return [*self.key, CHUNK]
 
-    def chunk_expr(self, df: DataFrame) -> Column:
+    def micros_expr(self, df: DataFrame) -> Column:
         dtype = df.schema[self.time].dataType
         if isinstance(dtype, T.TimestampNTZType):
-            micros = epoch_micros_ntz(self.time)
-        elif isinstance(dtype, T.TimestampType):
-            micros = F.unix_micros(F.col(self.time))
-        else:  # numeric epoch seconds
-            micros = (F.col(self.time) * F.lit(1_000_000)).cast("long")
-        return F.floor(micros / F.lit(self.chunk_seconds * 1_000_000)).cast("long")
+            return epoch_micros_ntz(self.time)
+        if isinstance(dtype, T.TimestampType):
+            return F.unix_micros(F.col(self.time))
+        return (F.col(self.time) * F.lit(1_000_000)).cast("long")  # numeric epoch seconds
+
+    def chunk_expr(self, df: DataFrame) -> Column:
+        """Start (epoch microseconds) of the row's ``chunk_seconds`` chunk."""
+        width = self.chunk_seconds * 1_000_000
+        return F.floor(self.micros_expr(df) / F.lit(width)).cast("long") * F.lit(width)
+
+    def with_chunk(self, df: DataFrame) -> DataFrame:
+        """``df`` plus the chunk id column, hot chunks split by row count.
+
+        Each refinement round counts rows per (key, chunk) (partial
+        aggregation; one small row per chunk), and re-cuts the chunks above
+        ``max_chunk_rows`` into pieces of ``width / ceil(2 * rows / max)``;
+        the second round catches bursts inside a piece of the first.  A
+        frame that already has the column (chained scans) is returned as is,
+        so one assignment serves every scan of the chain."""
+        if CHUNK in df.columns:
+            return df
+        d = df.withColumn(CHUNK, self.chunk_expr(df)) \
+            .withColumn("_cw", F.lit(self.chunk_seconds * 1_000_000).cast("long"))
+        if self.max_chunk_rows:
+            micros = self.micros_expr(df)
+            for _ in range(self.refine_rounds):
+                hot = (d.groupBy(*self.chunk_keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
+                       .where(F.col("_n") > F.lit(self.max_chunk_rows))
+                       .orderBy(F.desc("_n")).limit(self.hot_chunk_limit)
+                       .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(self.chunk_keys)],
+                               F.greatest(F.lit(1).cast("long"), F.floor(
+                                   F.col("_w") / F.ceil(F.col("_n") * 2 / F.lit(self.max_chunk_rows))))
+                               .alias("_hw")))
+                on = [d[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(self.chunk_keys)]
+                j = d.join(F.broadcast(hot), on, "left")
+                fine = F.col(CHUNK) + F.floor((micros - F.col(CHUNK)) / F.col("_hw")).cast("long") * F.col("_hw")
+                refined = F.col("_hw").isNotNull()
+                d = j.select(*[F.col(c) for c in df.columns],
+                             F.when(refined, fine).otherwise(F.col(CHUNK)).alias(CHUNK),
+                             F.when(refined, F.col("_hw")).otherwise(F.col("_cw")).alias("_cw"))
+        return d.drop("_cw")
 
     # window over the real rows of one chunk, carry-in rows at the edges
     def forward_window(self):
@@ -130,7 +184,7 @@ def fill(df: DataFrame, s: Series, forward: list[str] = (), backward: list[str]
     ``bfill_<c>`` (first non-null at or after the row) within each key."""
     forward, backward = list(forward), list(backward)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    d = df.withColumn(CHUNK, s.chunk_expr(df))
+    d = s.with_chunk(df)
     aggs = [F.expr(f"max(CASE WHEN {q(c)} IS NOT NULL THEN {_ordered_sql(s, [], q(c))} END) "
                    f"AS {q('_f_' + c)}") for c in forward]
     aggs += [F.expr(f"min(CASE WHEN {q(c)} IS NOT NULL THEN {_ordered_sql(s, [], q(c))} END) "
@@ -189,7 +243,7 @@ def shift(df: DataFrame, s: Series, lags: dict[str, str] | None = None,
     """
     lags, leads = dict(lags or {}), dict(leads or {})
     src = sorted(set(lags.values()) | set(leads.values()))
-    d = df.withColumn(CHUNK, s.chunk_expr(df))
+    d = s.with_chunk(df)
     summary = d.groupBy(*s.chunk_keys).agg(F.expr(f"max({_ordered_sql(s, src)}) AS _last"),
                                            F.expr(f"min({_ordered_sql(s, src)}) AS _first"))
     w = _win(list(s.key), f"{q(CHUNK)} ASC")
@@ -216,7 +270,7 @@ def tail_history(df: DataFrame, s: Series, fields: list[str], size: int,
                  out: str = "history") -> DataFrame:
     """Add ``out`` = array of the previous ``size`` rows (structs of ``fields``)
     of the same key, oldest first; shorter near the start of a key."""
-    d = df.withColumn(CHUNK, s.chunk_expr(df))
+    d = s.with_chunk(df)
     # Pass 1: the last `size` rows of every chunk (bounded per chunk).
     rn = F.row_number().over(Window.partitionBy(*s.chunk_keys)
                              .orderBy(*[F.col(c).desc() for c in s.order]))
@@ -258,7 +312,7 @@ def gap_sessions(df: DataFrame, s: Series, gap_seconds: float, out: str = "sessi
     are <= ``gap_seconds`` (per key).  A new run starts at the first row of a
     key or after a larger gap."""
     t = s.time
-    shifted = shift(df, s, lags={"_prev_t": t})
+    shifted = shift(s.with_chunk(df), s, lags={"_prev_t": t})
     dtype = df.schema[t].dataType
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         gap = (epoch_us(shifted, t) - epoch_us(shifted, "_prev_t")) / F.lit(1e6)
@@ -267,7 +321,7 @@ def gap_sessions(df: DataFrame, s: Series, gap_seconds: float, out: str = "sessi
     flagged = shifted.withColumn(
         "_start", F.when(F.col("_prev_t").isNull() | (gap > F.lit(gap_seconds)), F.col(t)))
     filled = fill(flagged, s, forward=["_start"])
-    return filled.withColumn(out, F.col("ffill__start")).drop("_prev_t", "_start", "ffill__start")
+    return filled.select(*df.columns, F.col("ffill__start").alias(out))
 
 
 def epoch_us(df: DataFrame, c: str) -> Column:

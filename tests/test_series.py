@@ -59,3 +59,31 @@ def test_gap_sessions(spark):
     plain = flagged.select("row_id", F.last("st", True).over(
         w.rowsBetween(Window.unboundedPreceding, 0)).alias("session_start"))
     assert _rows(got) == _rows(plain)
+
+
+def test_hot_chunks_split_by_row_count_equal_plain_windows(spark):
+    """Chunks above ``max_chunk_rows`` are cut finer; with a cap of one
+    refined chunk the others keep their width.  Results never change."""
+    t = fixtures.traces(spark, SF001)
+    expected = _rows(_plain(t))
+    for limit in (1, 100_000):
+        s = series.Series.of("icao", "event_timestamp", "row_id", chunk_seconds=86400 * 365,
+                             max_chunk_rows=3, hot_chunk_limit=limit)
+        d = s.with_chunk(t)
+        per_chunk = d.groupBy("icao", series.CHUNK).count()
+        if limit > 1:
+            # two rounds of count-based cuts leave at most a small multiple
+            # of the limit even on this very clustered fixture
+            assert per_chunk.agg(F.max("count")).first()[0] <= 3 * 3
+        assert d.count() == t.count()
+        filled = series.fill(t, s, forward=COLS, backward=COLS)
+        shifted = series.shift(filled, s, lags={"prev_lat": "lat"}, leads={"next_squawk": "squawk"})
+        got = shifted.select("row_id", *[f"ffill_{c}" for c in COLS], *[f"bfill_{c}" for c in COLS],
+                             "prev_lat", "next_squawk")
+        assert _rows(got) == expected, limit
+    s = series.Series.of("icao", "event_timestamp", "row_id", chunk_seconds=86400 * 365, max_chunk_rows=3)
+    tl = t.filter(F.col("lat").isNotNull())
+    w = Window.partitionBy("icao").orderBy("event_timestamp", "row_id").rowsBetween(-5, -1)
+    plain = tl.select("row_id", F.collect_list(F.struct("lat", "lon")).over(w).alias("h"))
+    got = series.tail_history(tl, s, ["lat", "lon"], 5, out="h").select("row_id", "h")
+    assert _rows(got) == _rows(plain)
