@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
 from aerotrace.functions.exprs import epoch_micros_ntz, epoch_ntz, ntz_from_micros
+from aerotrace.operators.skew import PART, split_hot
 
 # --- fixed values: positional slots of a trace point ---
 POINT_SLOTS = {
@@ -96,12 +97,17 @@ def _json_value(c, numeric: bool):
     return F.regexp_replace(F.to_json(F.array(col)), r"^\[|\]$", "")
 
 
-def trace_documents(flat: DataFrame) -> DataFrame:
+def trace_documents(flat: DataFrame, max_points: int = 100_000) -> DataFrame:
     """Inverse of :func:`flatten_traces`, used to produce raw documents from
     flat observations: one document per (aircraft, day).  Document-level
     fields take the day's maximum; ``alt_baro`` is written as a number when
-    numeric and as a string (``"ground"``) otherwise.  A document is bounded
-    by one aircraft-day of reports."""
+    numeric and as a string (``"ground"``) otherwise.
+
+    An aircraft-day of more than ``max_points`` reports is written as
+    several documents of about ``max_points / 2`` points each (hashed
+    parts, see :mod:`aerotrace.operators.skew`), each carrying the whole
+    day's header, so no task assembles an unbounded document and flattening
+    them gives the same rows."""
     day_start = F.timestamp_diff("SECOND", epoch_ntz(), F.col("data_date").cast("timestamp_ntz"))
     off = (epoch_micros_ntz("event_timestamp") - day_start * F.lit(1_000_000)) / F.lit(1e6)
     alt = F.when(F.col("alt_baro").try_cast("double").isNotNull(), F.col("alt_baro")) \
@@ -119,13 +125,17 @@ def trace_documents(flat: DataFrame) -> DataFrame:
         else:
             slots.append(_json_value(by_slot[i], True))
     point = F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]"))
-    keyed = flat.select("icao", "data_date", "registration", "aircraft_type", "description", "db_flags",
-                        "source_file", "ingestion_ts", "event_timestamp", point.alias("_p"),
-                        day_start.alias("_base"))
-    docs = keyed.groupBy("icao", "data_date").agg(
-        F.max("registration").alias("r"), F.max("aircraft_type").alias("t"),
-        F.max("description").alias("desc"), F.max("db_flags").alias("dbFlags"),
-        F.max("source_file").alias("source_file"), F.max("ingestion_ts").alias("ingestion_ts"),
+    # header fields: document key -> source column
+    header = {"r": "registration", "t": "aircraft_type", "desc": "description", "dbFlags": "db_flags",
+              "source_file": "source_file", "ingestion_ts": "ingestion_ts"}
+    salt = ["event_timestamp"] + (["row_id"] if "row_id" in flat.columns else [])
+    parted = split_hot(flat, ["icao", "data_date"], max_points, salt,
+                       summary={f"_day_{k}": F.max(c) for k, c in header.items()})
+    keyed = parted.select("icao", "data_date", PART, *[F.col(c) for c in header.values()],
+                          *[f"_day_{k}" for k in header], "event_timestamp", point.alias("_p"),
+                          day_start.alias("_base"))
+    docs = keyed.groupBy("icao", "data_date", PART).agg(
+        *[F.coalesce(F.max(f"_day_{k}"), F.max(c)).alias(k) for k, c in header.items()],
         F.first("_base").alias("timestamp"),
         F.array_sort(F.collect_list(F.struct("event_timestamp", "_p"))).alias("_pts"))
     docs = docs.withColumn("_h", F.to_json(F.struct("icao", "r", "t", "desc", "dbFlags", "timestamp")))

@@ -1,0 +1,45 @@
+"""Bounded groups: spread the rows of a hot group over several parts.
+
+Operators that gather a group into one value (a trace document per
+aircraft-day, a poll payload per interval) must not let one group -- an
+aircraft or an interval holding a third of the table -- become one huge
+value built by one task.  :func:`split_hot` counts rows per group with
+partial (map-side) aggregation, picks the groups above ``max_rows`` and
+gives each of their rows a part number from a hash of per-row ``salt``
+columns, ``ceil(2 * rows / max_rows)`` parts per hot group, so a part holds
+about ``max_rows / 2`` rows.  Other groups stay whole (part 0).
+
+Only the ``hot_limit`` largest hot groups are split; the table of them is
+broadcast, so its size is bounded by that limit whatever the data size.
+Further hot groups stay whole -- slower, never different.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+PART = "_part"
+
+
+def split_hot(df: DataFrame, keys: list[str], max_rows: int, salt: list[str],
+              summary: dict[str, Column] | None = None, hot_limit: int = 100_000) -> DataFrame:
+    """``df`` plus ``_part`` (and the ``summary`` columns, set on rows of
+    split groups only).
+
+    ``summary`` maps a name to an aggregate over the whole group, e.g.
+    ``{"_day_max_r": F.max("registration")}``: a split group can no longer
+    compute it from any one part, so it is taken from the same count pass
+    and carried to its rows.  ``salt`` should be unique per row (equal salts
+    land in the same part)."""
+    summary = dict(summary or {})
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                   *[agg.alias(name) for name, agg in summary.items()])
+    hot = (counts.where(F.col("_n") > F.lit(max_rows))
+           .orderBy(F.desc("_n")).limit(hot_limit)
+           .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                   F.ceil(F.col("_n") * 2 / F.lit(max_rows)).alias("_np"), *summary))
+    on = [df[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
+    j = df.join(F.broadcast(hot), on, "left")
+    part = F.when(F.col("_np").isNotNull(), F.pmod(F.xxhash64(*salt), F.col("_np"))).otherwise(F.lit(0))
+    return j.select(*[F.col(c) for c in df.columns], part.cast("long").alias(PART), *summary)

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerotrace.operators.skew import PART, split_hot
+
 STATE_SCHEMA = T.StructType([
     T.StructField("icao24", T.StringType()),
     T.StructField("callsign", T.StringType()),
@@ -64,12 +66,15 @@ def _json_scalar(c: str, dtype: T.DataType):
     return F.coalesce(v.cast("string"), F.lit("null"))
 
 
-def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int = 89) -> DataFrame:
+def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int = 89,
+                   max_states: int = 10_000) -> DataFrame:
     """Build poll responses ``{"time": t, "states": [[...18 slots...], ...]}``
     from flat state records, one payload per poll interval.  Every
     ``short_every``-th record (by ``row_id``) is sent as a 15-slot array, as
-    older responses do.  A payload is bounded by the aircraft seen in one
-    poll."""
+    older responses do.  A poll with more than ``max_states`` records is
+    sent as several payloads of about ``max_states / 2`` records (hashed
+    parts, see :mod:`aerotrace.operators.skew`), so no payload grows with a
+    busy interval."""
     dtypes = {f.name: f.dataType for f in STATE_SCHEMA.fields}
     slots = [_json_scalar(c, dtypes[c]) if c in states.columns else F.lit("null") for c in STATE_FIELDS]
     full = F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]"))
@@ -77,10 +82,13 @@ def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int =
     arr = F.when(F.col("row_id") % short_every == 0, short).otherwise(full) \
         if "row_id" in states.columns else full
     poll = (F.col("time_position") / poll_seconds).cast("long") * poll_seconds
-    return (states.select(poll.alias("time"), arr.alias("s"))
-            .groupBy("time")
+    salt = ["row_id"] if "row_id" in states.columns else ["icao24", "time_position", "last_contact"]
+    parted = split_hot(states.withColumn("_poll", poll), ["_poll"], max_states, salt)
+    return (parted.select(F.col("_poll").alias("time"), PART, arr.alias("s"))
+            .groupBy("time", PART)
             .agg(F.concat(F.lit('{"time":'), F.col("time").cast("string"), F.lit(',"states":['),
-                          F.concat_ws(",", F.collect_list("s")), F.lit("]}")).alias("payload")))
+                          F.concat_ws(",", F.collect_list("s")), F.lit("]}")).alias("payload"))
+            .select("time", "payload"))
 
 
 def unpack_states(df: DataFrame, col: str = "payload") -> DataFrame:

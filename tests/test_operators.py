@@ -204,3 +204,27 @@ def test_retention_uses_given_as_of(spark):
     from aerotrace.streaming.sinks import expire
     df = one(spark, [(dt.datetime(2024, 1, 1),), (dt.datetime(2024, 1, 20),)], "event_time timestamp_ntz")
     assert expire(df, "2024-02-05 00:00:00", 30).count() == 1
+
+
+def _sorted_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_hot_documents_and_payloads_split_without_changing_rows(spark):
+    """A forced small bound splits every aircraft-day document and every
+    poll payload into hashed parts; flattening / unpacking gives the same
+    rows, and no part exceeds a few times the bound."""
+    from aerotrace.sources.states import state_payloads, unpack_states
+    t = fx.traces(spark, SF001)
+    whole = bronze.flatten_traces(bronze.trace_documents(t))
+    docs = bronze.trace_documents(t, max_points=2)
+    sizes = docs.select(F.size(F.variant_get(F.parse_json("raw_json"), "$.trace", "array<variant>")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 3 * 2
+    assert docs.count() > bronze.trace_documents(t).count()
+    assert _sorted_rows(bronze.flatten_traces(docs).drop("ingestion_ts")) == \
+        _sorted_rows(whole.drop("ingestion_ts"))
+    st = fx.states(spark, SF001)
+    payloads = state_payloads(st, poll_seconds=3600, max_states=6)
+    assert payloads.count() > state_payloads(st, poll_seconds=3600).count()
+    assert _sorted_rows(unpack_states(payloads).drop("sensors")) == \
+        _sorted_rows(unpack_states(state_payloads(st, poll_seconds=3600)).drop("sensors"))
