@@ -106,25 +106,25 @@ class Series:
         so one assignment serves every scan of the chain."""
         if CHUNK in df.columns:
             return df
-        d = df.withColumn(CHUNK, self.chunk_expr(df)) \
-            .withColumn("_cw", F.lit(self.chunk_seconds * 1_000_000).cast("long"))
+        micros = self.micros_expr(df)
+        d = df.withColumns({CHUNK: self.chunk_expr(df),
+                            "_cw": F.lit(self.chunk_seconds * 1_000_000).cast("long")})
         if self.max_chunk_rows:
-            micros = self.micros_expr(df)
+            hk = [f"_hk{i}" for i in range(len(self.chunk_keys))]
             for _ in range(self.refine_rounds):
-                hot = (d.groupBy(*self.chunk_keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
+                hot = (d.groupBy(*self.chunk_keys)
+                       .agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
                        .where(F.col("_n") > F.lit(self.max_chunk_rows))
                        .orderBy(F.desc("_n")).limit(self.hot_chunk_limit)
-                       .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(self.chunk_keys)],
-                               F.greatest(F.lit(1).cast("long"), F.floor(
-                                   F.col("_w") / F.ceil(F.col("_n") * 2 / F.lit(self.max_chunk_rows))))
-                               .alias("_hw")))
-                on = [d[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(self.chunk_keys)]
-                j = d.join(F.broadcast(hot), on, "left")
+                       .selectExpr(*[f"{q(k)} AS {h}" for k, h in zip(self.chunk_keys, hk)],
+                                   f"greatest(1L, floor(_w / ceil(_n * 2 / {int(self.max_chunk_rows)}))) AS _hw"))
+                on = [d[k].eqNullSafe(hot[h]) for k, h in zip(self.chunk_keys, hk)]
                 fine = F.col(CHUNK) + F.floor((micros - F.col(CHUNK)) / F.col("_hw")).cast("long") * F.col("_hw")
                 refined = F.col("_hw").isNotNull()
-                d = j.select(*[F.col(c) for c in df.columns],
-                             F.when(refined, fine).otherwise(F.col(CHUNK)).alias(CHUNK),
-                             F.when(refined, F.col("_hw")).otherwise(F.col("_cw")).alias("_cw"))
+                d = (d.join(F.broadcast(hot), on, "left")
+                     .withColumns({CHUNK: F.when(refined, fine).otherwise(F.col(CHUNK)),
+                                   "_cw": F.when(refined, F.col("_hw")).otherwise(F.col("_cw"))})
+                     .drop(*hk, "_hw"))
         return d.drop("_cw")
 
     # window over the real rows of one chunk, carry-in rows at the edges
