@@ -365,7 +365,7 @@ for _name, _cols in {
 @register("silver_backfill", _BF_HEAD.rstrip("\n") + ",\nbackfilled AS (" + O.backfill_sql("dedup")
           + ")\nSELECT * FROM backfilled")
 def q_silver_backfill(spark, b):
-    return bf.backfill(dedup(fx.traces(spark, b)))
+    return bf.backfill(medallion.stage(dedup(fx.traces(spark, b)), "deduped"))
 
 
 _BOUND = {"squawk": 300.0, "roll": 5.0, "nav_qnh": 300.0}

@@ -21,10 +21,18 @@ from aerotrace.operators.enrich import enrich
 from aerotrace.session import ensure_checkpoint_dir, shared_path
 
 
-def silver(flat: DataFrame) -> DataFrame:
+def silver(flat: DataFrame, staged: bool = True) -> DataFrame:
     """dedup -> null backfill -> clean/validate (dedup first: it rewrites
-    the backfill input)."""
-    return clean_traces(backfill(dedup(flat)))
+    the backfill input).
+
+    The deduplicated rows feed several branches of the keyed scan (the row
+    pass, the per-chunk summary and the hot-chunk counts), so by default
+    they are staged once (:func:`stage`) instead of re-running the dedup
+    shuffle in each branch."""
+    deduped = dedup(flat)
+    if staged:
+        deduped = stage(deduped, "deduped")
+    return clean_traces(backfill(deduped))
 
 
 def gold(flat: DataFrame) -> DataFrame:
