@@ -28,7 +28,8 @@ narrower chunks make the summary as large as the data on sparse series
 A (key, day) that is hot anyway -- a burst, a replayed feed, a key holding
 a third of the table -- is split further by row count: a map-side-combined
 count per (key, chunk) finds the chunks above ``max_chunk_rows`` and each
-gets a width of ``chunk / ceil(2 * rows / max_chunk_rows)`` (at least 1 us).
+gets a width of ``chunk / ceil(2 * rows / max_chunk_rows)`` (at least 1 us);
+a second round re-cuts pieces that are still hot.
 A chunk id is the chunk's start in epoch microseconds, so day chunks and
 their finer sub-chunks interleave in time order within one key.  Only the
 ``hot_chunk_limit`` largest hot chunks are refined (a broadcast of at most
@@ -45,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerotrace.functions.exprs import epoch_micros_ntz
+from aerotrace.session import stage_table
 
 CHUNK = "_chunk"
 POS = "_pos"  # -1 carry-in from the past, 0 real row, +1 carry-in from the future
@@ -99,11 +101,15 @@ class Series:
         """``df`` plus the chunk id column, hot chunks split by row count.
 
         Each refinement round counts rows per (key, chunk) (partial
-        aggregation; one small row per chunk), and re-cuts the chunks above
+        aggregation; one small row per chunk) and re-cuts the chunks above
         ``max_chunk_rows`` into pieces of ``width / ceil(2 * rows / max)``;
-        the second round catches bursts inside a piece of the first.  A
-        frame that already has the column (chained scans) is returned as is,
-        so one assignment serves every scan of the chain."""
+        the second round catches bursts inside a piece of the first.  The
+        table of hot chunks is computed once per round and staged (a few
+        rows under the shared checkpoint folder), so the row pass and the
+        summary of the scan read it instead of each re-counting; a round
+        that finds none ends the refinement and adds nothing to the plan.
+        A frame that already has the column (chained scans) is returned as
+        is, so one assignment serves every scan of the chain."""
         if CHUNK in df.columns:
             return df
         micros = self.micros_expr(df)
@@ -112,12 +118,16 @@ class Series:
         if self.max_chunk_rows:
             hk = [f"_hk{i}" for i in range(len(self.chunk_keys))]
             for _ in range(self.refine_rounds):
-                hot = (d.groupBy(*self.chunk_keys)
-                       .agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
-                       .where(F.col("_n") > F.lit(self.max_chunk_rows))
-                       .orderBy(F.desc("_n")).limit(self.hot_chunk_limit)
-                       .selectExpr(*[f"{q(k)} AS {h}" for k, h in zip(self.chunk_keys, hk)],
-                                   f"greatest(1L, floor(_w / ceil(_n * 2 / {int(self.max_chunk_rows)}))) AS _hw"))
+                hot = stage_table(
+                    d.groupBy(*self.chunk_keys)
+                    .agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
+                    .where(F.col("_n") > F.lit(self.max_chunk_rows))
+                    .orderBy(F.desc("_n")).limit(self.hot_chunk_limit)
+                    .selectExpr(*[f"{q(k)} AS {h}" for k, h in zip(self.chunk_keys, hk)],
+                                f"greatest(1L, floor(_w / ceil(_n * 2 / {int(self.max_chunk_rows)}))) AS _hw"),
+                    "hot-chunks")
+                if hot.isEmpty():
+                    break
                 on = [d[k].eqNullSafe(hot[h]) for k, h in zip(self.chunk_keys, hk)]
                 fine = F.col(CHUNK) + F.floor((micros - F.col(CHUNK)) / F.col("_hw")).cast("long") * F.col("_hw")
                 refined = F.col("_hw").isNotNull()

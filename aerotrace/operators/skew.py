@@ -10,8 +10,10 @@ columns, ``ceil(2 * rows / max_rows)`` parts per hot group, so a part holds
 about ``max_rows / 2`` rows.  Other groups stay whole (part 0).
 
 Only the ``hot_limit`` largest hot groups are split; the table of them is
-broadcast, so its size is bounded by that limit whatever the data size.
-Further hot groups stay whole -- slower, never different.
+computed once, staged under the shared checkpoint folder and broadcast, so
+its size is bounded by that limit whatever the data size.  Further hot
+groups stay whole -- slower, never different.  When no group is hot the
+plan gets no join at all.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerotrace.session import stage_table
+
 PART = "_part"
 
 
@@ -35,10 +39,16 @@ def split_hot(df: DataFrame, keys: list[str], max_rows: int, salt: list[str],
     summary = dict(summary or {})
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                    *[agg.alias(name) for name, agg in summary.items()])
-    hot = (counts.where(F.col("_n") > F.lit(max_rows))
-           .orderBy(F.desc("_n")).limit(hot_limit)
-           .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
-                   F.ceil(F.col("_n") * 2 / F.lit(max_rows)).alias("_np"), *summary))
+    # computed once and staged: a few rows, read by every consumer of the result
+    hot = stage_table(counts.where(F.col("_n") > F.lit(max_rows))
+                      .orderBy(F.desc("_n")).limit(hot_limit)
+                      .select(*[F.col(k).alias(f"_hk{i}") for i, k in enumerate(keys)],
+                              F.ceil(F.col("_n") * 2 / F.lit(max_rows)).alias("_np"), *summary),
+                      "hot-groups")
+    if hot.isEmpty():  # nothing to split: no join in the plan
+        types = {f.name: f.dataType for f in hot.schema.fields}
+        return df.select("*", F.lit(0).cast("long").alias(PART),
+                         *[F.lit(None).cast(types[name]).alias(name) for name in summary])
     on = [df[k].eqNullSafe(hot[f"_hk{i}"]) for i, k in enumerate(keys)]
     j = df.join(F.broadcast(hot), on, "left")
     part = F.when(F.col("_np").isNotNull(), F.pmod(F.xxhash64(*salt), F.col("_np"))).otherwise(F.lit(0))

@@ -10,15 +10,13 @@ recomputes from that table, not from the raw scan.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from aerotrace.operators.backfill import backfill
 from aerotrace.operators.clean import clean_traces
 from aerotrace.operators.dedup import dedup
 from aerotrace.operators.enrich import enrich
-from aerotrace.session import ensure_checkpoint_dir, shared_path
+from aerotrace.session import shared_path, stage_table
 
 
 def silver(flat: DataFrame, staged: bool = True) -> DataFrame:
@@ -58,8 +56,4 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     RDD checkpoint, consumers of the Parquet table get column pruning and
     filter pushdown.  ``localCheckpoint`` is never used.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return stage_table(df, name)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale: AQE re-plans joins/partition counts at
 # runtime from real sizes, skew-join splits hot partitions, and the session
@@ -61,3 +62,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return a scan of it (lineage cut; reliable, unlike
+    ``localCheckpoint``)."""
+    spark = df.sparkSession
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
