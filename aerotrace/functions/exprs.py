@@ -89,3 +89,9 @@ def hex_to_long(c: str | Column) -> Column:
 
 def round6(c: str | Column) -> Column:
     return F.round(col(c), 6)
+
+
+def json_unbracket(arr_json: Column) -> Column:
+    """``[x]`` -> ``x``: the JSON text of one value, taken from the JSON of a
+    one-element array (``to_json`` escapes strings; a null gives ``null``)."""
+    return arr_json.substr(F.lit(2), F.length(arr_json) - F.lit(2))

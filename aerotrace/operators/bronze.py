@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
-from aerotrace.functions.exprs import epoch_micros_ntz, epoch_ntz, ntz_from_micros
+from aerotrace.functions.exprs import epoch_micros_ntz, epoch_ntz, json_unbracket, ntz_from_micros
 from aerotrace.operators.skew import PART, split_hot
 
 # --- fixed values: positional slots of a trace point ---
@@ -94,7 +94,7 @@ def _json_value(c, numeric: bool):
         return F.coalesce(F.col(c).cast("string"), F.lit("null")) if isinstance(c, str) else \
             F.coalesce(c.cast("string"), F.lit("null"))
     col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.to_json(F.array(col)), r"^\[|\]$", "")
+    return json_unbracket(F.to_json(F.array(col)))
 
 
 def trace_documents(flat: DataFrame, max_points: int = 100_000) -> DataFrame:

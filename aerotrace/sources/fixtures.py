@@ -113,11 +113,11 @@ FROM {traces} WHERE row_id % 3 = 0
 
 
 def traces(spark: SparkSession, base: str) -> DataFrame:
-    return spark.sql(TRACES_SQL, events=read_table(spark, base, "events"))
+    return spark.sql(TRACES_SQL, events=read_table(spark, base, "events", spread=True))
 
 
 def states(spark: SparkSession, base: str) -> DataFrame:
-    return spark.sql(STATES_SQL, events=read_table(spark, base, "events"))
+    return spark.sql(STATES_SQL, events=read_table(spark, base, "events", spread=True))
 
 
 def ranges(spark: SparkSession, base: str) -> DataFrame:

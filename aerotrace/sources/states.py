@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerotrace.functions.exprs import json_unbracket
 from aerotrace.operators.skew import PART, split_hot
 
 STATE_SCHEMA = T.StructType([
@@ -60,7 +61,7 @@ def _json_scalar(c: str, dtype: T.DataType):
     """JSON text of one value (null -> ``null``); strings are quoted/escaped."""
     v = F.col(c)
     if isinstance(dtype, T.StringType):
-        return F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", "")
+        return json_unbracket(F.to_json(F.array(v)))
     if isinstance(dtype, T.ArrayType):
         return F.coalesce(F.to_json(v), F.lit("null"))
     return F.coalesce(v.cast("string"), F.lit("null"))

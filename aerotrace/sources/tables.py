@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, base: str, name: str, spread: bool = False) -> DataFrame:
     """Scan one Parquet table; projections/filters applied later are pushed
-    into the scan by Catalyst (ReadSchema / PushedFilters)."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    into the scan by Catalyst (ReadSchema / PushedFilters).
+
+    ``spread=True`` is for inputs that feed heavy row-wise work before the
+    first shuffle: when the scan yields fewer splits than the cluster has
+    cores (a small file with one row group), it is repartitioned round-robin
+    over ``defaultParallelism`` so that work is not a single task.  A large
+    table already has more splits than cores and is left as is."""
+    df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
