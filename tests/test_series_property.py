@@ -1,6 +1,7 @@
 """Property test: chunked keyed scans equal plain per-key windows on random
 series (random keys, gaps, nulls, duplicate timestamps broken by a tiebreak,
-and chunk widths from sub-row to whole-series)."""
+chunk widths from sub-row to whole-series, and row limits small enough to
+force hot-chunk refinement, with a null key among the keys)."""
 
 import datetime as dt
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from aerotrace.operators import series
 
-ROW = st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(0, 5000),
+ROW = st.tuples(st.sampled_from(["A", "B", "C", None]), st.integers(0, 5000),
                 st.one_of(st.none(), st.integers(-50, 50)), st.one_of(st.none(), st.sampled_from(["x", "y"])))
 
 
@@ -19,13 +20,15 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@settings(max_examples=8, deadline=None)
-@given(rows=st.lists(ROW, min_size=1, max_size=40), chunk=st.sampled_from([1, 7, 60, 600, 10 ** 6]))
-def test_chunked_equals_plain(spark, rows, chunk):
+@settings(max_examples=10, deadline=None)
+@given(rows=st.lists(ROW, min_size=1, max_size=40), chunk=st.sampled_from([1, 7, 60, 600, 10 ** 6]),
+       max_rows=st.sampled_from([None, 1, 2, 5]), hot_limit=st.sampled_from([1, 100]))
+def test_chunked_equals_plain(spark, rows, chunk, max_rows, hot_limit):
     base = dt.datetime(2024, 1, 1)
     data = [(k, base + dt.timedelta(seconds=s), i, v, w) for i, (k, s, v, w) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, rid long, v int, w string")
-    s = series.Series.of("k", "t", "rid", chunk_seconds=chunk)
+    s = series.Series.of("k", "t", "rid", chunk_seconds=chunk, max_chunk_rows=max_rows,
+                         hot_chunk_limit=hot_limit)
     got = series.shift(series.fill(df, s, forward=["v", "w"], backward=["v"]), s,
                        lags={"pv": "v"}, leads={"nw": "w"})
     got = got.select("rid", "ffill_v", "ffill_w", "bfill_v", "pv", "nw")
