@@ -228,3 +228,21 @@ def test_hot_documents_and_payloads_split_without_changing_rows(spark):
     assert payloads.count() > state_payloads(st, poll_seconds=3600).count()
     assert _sorted_rows(unpack_states(payloads).drop("sensors")) == \
         _sorted_rows(unpack_states(state_payloads(st, poll_seconds=3600)).drop("sensors"))
+
+
+def test_split_hot_null_keys_summary_and_no_join_when_cold(spark):
+    from aerotrace.operators.skew import PART, split_hot
+    rows = [("a", i) for i in range(20)] + [(None, 100 + i) for i in range(10)] + [("b", 200)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    out = split_hot(df, ["k"], 4, ["v"], summary={"_mx": F.max("v")})
+    assert out.count() == df.count()
+    per = {(r["k"], r[PART]): r["n"] for r in out.groupBy("k", PART).agg(F.count("*").alias("n")).collect()}
+    parts = {}
+    for (k, _), n in per.items():
+        parts[k] = parts.get(k, 0) + 1
+    assert parts["a"] > 1 and parts[None] > 1 and parts["b"] == 1  # null key split like any other
+    mx = {r["k"]: r["m"] for r in out.groupBy("k").agg(F.max("_mx").alias("m")).collect()}
+    assert mx == {"a": 19, None: 109, "b": None}  # whole-group summary on split rows only
+    cold = split_hot(df, ["k"], 1000, ["v"], summary={"_mx": F.max("v")})
+    assert "Join" not in cold._jdf.queryExecution().optimizedPlan().toString()
+    assert cold.where(F.col(PART) != 0).count() == 0 and dict(cold.dtypes)["_mx"] == "bigint"
