@@ -19,7 +19,8 @@ def hybrid_left_join(scores: DataFrame, seq: DataFrame,
 
 
 def range_lookup(df: DataFrame, ranges: DataFrame, value: str, start="range_start",
-                 end="range_end", bucket_bits: int = BUCKET_BITS) -> DataFrame:
+                 end="range_end", bucket_bits: int = BUCKET_BITS,
+                 max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """JN2: left join each row to the inclusive, non-overlapping range that
     contains ``value`` (null or uncovered -> null range columns).
 
@@ -28,15 +29,20 @@ def range_lookup(df: DataFrame, ranges: DataFrame, value: str, start="range_star
     ``value >> bucket_bits``: each range is expanded to the buckets it
     touches (at most #ranges + 2^(24-bucket_bits) rows for a 24-bit space),
     then a hash join on the bucket is followed by the exact ``BETWEEN``.
-    The planner broadcasts the expanded ranges only when its size estimate
-    (and AQE's runtime measurement) is below the broadcast threshold.
+    The expanded side has at most ``#ranges + 2^(24 - bucket_bits)`` rows:
+    the ranges table (a reference table) is counted, and when that bound is
+    within ``max_broadcast_rows`` the expanded ranges are broadcast, so the
+    large side is never shuffled and a hot address cannot make a hot
+    partition.  Beyond it the join stays a shuffle join on the bucket, where
+    AQE splits skewed partitions.
     """
     b = bucket_bits
     r = ranges.withColumn("_bucket", F.explode(F.sequence(F.shiftright(F.col(start), b),
                                                           F.shiftright(F.col(end), b))))
     l = df.withColumn("_bucket", F.shiftright(F.col(value), b))
     cond = ((l["_bucket"] == r["_bucket"]) & (l[value] >= r[start]) & (l[value] <= r[end]))
-    out = l.join(r, cond, "left")
+    bound = ranges.count() + (1 << max(0, 24 - b))
+    out = l.join(F.broadcast(r) if bound <= max_broadcast_rows else r, cond, "left")
     return out.select(*[l[c] for c in df.columns], *[r[c] for c in ranges.columns])
 
 

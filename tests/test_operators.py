@@ -195,9 +195,13 @@ def test_sequence_window_counts(spark, n, expected):
 def test_range_join_boundaries(spark):
     ranges = one(spark, [(16, 31, "P"), (4096, 8191, "Q")], "range_start long, range_end long, country string")
     pts = one(spark, [(15,), (16,), (31,), (32,), (4095,), (4096,), (8191,), (None,)], "v long")
-    got = joins.range_lookup(pts, ranges, "v", bucket_bits=4).orderBy("v").collect()
-    assert [(r.v, r.country) for r in got] == [(None, None), (15, None), (16, "P"), (31, "P"), (32, None),
-                                               (4095, None), (4096, "Q"), (8191, "Q")]
+    for limit in (1_000, 10_000_000):  # shuffle join beyond the bound, broadcast within it
+        j = joins.range_lookup(pts, ranges, "v", bucket_bits=4, max_broadcast_rows=limit)
+        hinted = "broadcast" in j._jdf.queryExecution().analyzed().toString().lower()
+        assert hinted == (limit > 2 + (1 << 20))
+        got = j.orderBy("v").collect()
+        assert [(r.v, r.country) for r in got] == [(None, None), (15, None), (16, "P"), (31, "P"), (32, None),
+                                                   (4095, None), (4096, "Q"), (8191, "Q")]
 
 
 def test_retention_uses_given_as_of(spark):
