@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,28 +35,33 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is.  Only when it is unset -- local tests -- a
-    scratch folder is created and registered.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that the driver
+    and every executor share (HDFS, object store) and is used as is; without
+    it this raises, because a machine-local folder would give each executor a
+    table of its own.  Only a ``local`` master, where driver and executors are
+    one process, gets a scratch folder of its own.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
-    existing = spark.sparkContext.getCheckpointDir()
+    existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="aerotrace-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
@@ -67,8 +74,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stage_table(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a Parquet table under the shared checkpoint folder
     and return a scan of it (lineage cut; reliable, unlike
-    ``localCheckpoint``)."""
+    ``localCheckpoint``).  ``drop_staged`` removes it when nothing reads it
+    any more."""
     spark = df.sparkSession
     path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete the files of staged tables whose readers have all run."""
+    for table in tables:
+        path = getattr(table, "_staged_path", None)
+        if path is None:
+            raise ValueError("not a table made by stage_table")
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
