@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from aerotrace.llm import minhash
+from aerotrace.llm import chat, decontam, license_scan, minhash, mixing, quality, secrets, tokens
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
+    "op2_token_counts": tokens.op2_token_counts,
+    "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_chat_formatting": chat.op4_chat_formatting,
+    "op5_license_scan": license_scan.op5_license_scan,
+    "op6_decontamination": decontam.op6_decontamination,
+    "op7_source_mixing": mixing.op7_source_mixing,
+    "op9_token_files": tokens.op9_token_files,
+    "op10_quality_rules": quality.op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_secret_scan": secrets.OP3_SQL,
+    "op4_chat_formatting": chat.OP4_SQL,
+    "op7_source_mixing": mixing.OP7_SQL,
+}
