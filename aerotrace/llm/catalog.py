@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerotrace.llm import chat, decontam, license_scan, minhash, mixing, quality, secrets, tokens
+from aerotrace.llm import chat, decontam, license_scan, minhash, mixing, quality, secrets, substrings, tokens
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_license_scan": license_scan.op5_license_scan,
     "op6_decontamination": decontam.op6_decontamination,
     "op7_source_mixing": mixing.op7_source_mixing,
+    "op8_repeated_substrings": substrings.op8_repeated_substrings,
     "op9_token_files": tokens.op9_token_files,
     "op10_quality_rules": quality.op10_quality_rules,
 }

@@ -150,26 +150,51 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     a null document id is carried; repeated rows are matched each; empty
     tables give an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where(
-        "item IS NOT NULL AND text IS NOT NULL").withColumn("bytes", F.octet_length("text").cast("long"))
-    items = stage_table(running_sums(items, [F.col("item"), F.col("text")], {"before": "bytes"}).withColumn(
-        "block", F.floor(F.col("before") / ITEM_BYTES)), "benchmark")
-    blocks = items.agg(F.max("block").alias("n")).first()["n"]
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, item_id long, first_word long, n_words long, similarity double"
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = spark.createDataFrame([], schema)
-    for block in range(0 if blocks is None else blocks + 1):
-        rows = items.where(F.col("block") == block).select("item", "text").collect()  # at most ITEM_BYTES and one item
-        if rows:
-            found = found.unionByName(source.mapInArrow(_scanner(spark, rows), schema))
+    found = docs.sparkSession.createDataFrame([], schema)
+    for index in _item_blocks(benchmark, item_col, item_text_col):
+        found = found.unionByName(source.mapInArrow(_scanner(index), schema))
     return found.withColumnRenamed("id", id_col)
 
 
-def _scanner(spark: SparkSession, rows: list):
-    index = spark.sparkContext.broadcast(Index([r["item"] for r in rows], [r["text"] for r in rows]))
+def clean_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                    item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a match, with all their columns; one pass
+    per block of items and no join."""
+    for index in _item_blocks(benchmark, item_col, item_text_col):
+        docs = docs.mapInArrow(_filter(index, text_col), docs.schema)
+    return docs
+
+
+def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str):
+    """Broadcast indexes of the items, at most ITEM_BYTES of text (and one item) each."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text")).where(
+        "item IS NOT NULL AND text IS NOT NULL").withColumn("bytes", F.octet_length("text").cast("long"))
+    items = stage_table(running_sums(items, [F.col("item"), F.col("text")], {"before": "bytes"}).withColumn(
+        "block", F.floor(F.col("before") / ITEM_BYTES)), "benchmark")
+    last = items.agg(F.max("block").alias("n")).first()["n"]
+    for block in range(0 if last is None else last + 1):
+        rows = items.where(F.col("block") == block).select("item", "text").collect()
+        if rows:
+            yield spark.sparkContext.broadcast(Index([r["item"] for r in rows], [r["text"] for r in rows]))
+
+
+def _filter(index, text_col: str):
+    def run(batches):
+        for batch in batches:
+            for start, end in text_slices(batch, text_col):
+                part = batch.slice(start, end - start)
+                keep = np.ones(part.num_rows, dtype=bool)
+                keep[[hit[0] for hit in index.value.scan(part.column(text_col))]] = False
+                yield part.filter(pa.array(keep))
+
+    return run
+
 
+def _scanner(index):
     def run(batches):
         for batch in batches:
             for start, end in text_slices(batch, "text"):

@@ -102,17 +102,8 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("_m", let(text, lambda t: let(words(t), lambda w: counts(t, w))))
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=RULES,
-            least_words: int = 50, most_repeated: float = 0.5) -> DataFrame:
-    """One row per row of ``docs``: id, counts, base verdict, the names of the
-    failed rules and the final verdict.
-
-    A null, empty or blank text has zero counts, fails the base rule (too few
-    words) and is not kept.  Null ids, repeated rows and texts of any length
-    are measured like any other; an empty table gives an empty result; other
-    columns of ``docs`` are ignored.
-    """
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+def verdict(rules=RULES, least_words: int = 50, most_repeated: float = 0.5) -> tuple[Column, Column]:
+    """(base_failed, names of the failed rules) over the ``_m`` column."""
     m = F.col("_m")
     n = F.nullif(m["n_words"], F.lit(0))
     value = {
@@ -130,7 +121,21 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
         return F.coalesce(low | high, F.lit(False))
 
     base = (m["n_words"] < least_words) | (m["n_repeat_words"] > most_repeated * m["n_words"])
-    failed = F.array_compact(F.array(*[F.when(broken(*rule[1:]), F.lit(rule[0])) for rule in rules]))
+    return base, F.array_compact(F.array(*[F.when(broken(*rule[1:]), F.lit(rule[0])) for rule in rules]))
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits) -> DataFrame:
+    """One row per row of ``docs``: id, counts, base verdict, the names of the
+    failed rules and the final verdict.
+
+    A null, empty or blank text has zero counts, fails the base rule (too few
+    words) and is not kept.  Null ids, repeated rows and texts of any length
+    are measured like any other; an empty table gives an empty result; other
+    columns of ``docs`` are ignored.
+    """
+    m = F.col("_m")
+    base, failed = verdict(**limits)
+    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     return measures(source, "_text").select(
         F.col("_id").alias(id_col), m["n_words"].alias("n_words"), m["word_chars"].alias("word_chars"),
         m["n_symbols"].alias("n_symbols"), m["lines"]["dup"].alias("n_dup_lines"),
@@ -138,6 +143,12 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rul
         F.array_join(failed, ",").alias("failed_rules"), (~base & (F.size(failed) == 0)).alias("kept"))
 
 
+def passing(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
+    base, failed = verdict(**limits)
+    return measures(docs, text_col).where(~base & (F.size(failed) == 0)).select(*docs.columns)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document under the production rules."""
     return quality(spark.read.parquet(f"{sf_dir}/documents.parquet"))
