@@ -1,23 +1,57 @@
-"""Corpus preparation: a fixed sequence of stages over the document table."""
+"""Corpus preparation: a fixed sequence of stages over the document table.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before
+it kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+from aerotrace.llm.decontam import clean_documents
 from aerotrace.llm.minhash import near_duplicates
+from aerotrace.llm.mixing import mixed_documents
+from aerotrace.llm.quality import passing
+from aerotrace.llm.tokens import token_table
+from aerotrace.session import stage_table
 
+#: Token ids, positions in files and partial copies have no SQL form; the
+#: stages are tested one by one against brute-force versions.
 ORACLE_SQL = None
 
 
+def quality_rules(spark, docs, sf_dir):
+    """Drop documents that the quality rules reject."""
+    return passing(docs)
+
+
 def near_dedup(spark, docs, sf_dir):
-    """Keep one document of every near-duplicate group."""
-    verdict = near_duplicates(docs, k=5).where("kept").select("doc_id")
-    return docs.join(verdict, "doc_id", "left_semi")
+    """Keep one document (the smallest id) of every near-duplicate group.
+    Documents without an id cannot be told apart and are dropped; rows that
+    repeat an id count once."""
+    kept = near_duplicates(docs, k=5).where("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+
+
+def decontaminate(spark, docs, sf_dir):
+    """Drop documents with a window that matches a benchmark item."""
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Repeat, keep or leave out documents so that each source meets its budget."""
+    return mixed_documents(docs)
+
+
+def tokenize(spark, docs, sf_dir):
+    """Write the token files and return what they hold per document."""
+    return token_table(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+          ("mix_sources", mix_sources), ("tokenize", tokenize)]
 
 
 def run(spark, sf_dir):
-    from aerotrace.session import stage_table
+    """All stages in order, each written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stage_table(stage(spark, docs, sf_dir), name)
