@@ -1,21 +1,23 @@
 """Sinks (SNK1-SNK8) and the retention job.
 
 Streaming sinks keep their own checkpoint; the foreachBatch writer is
-idempotent per batch id (a replayed batch overwrites its own output
-partition instead of appending twice), and no batch is pulled to the
+idempotent per query and batch id (a replayed batch overwrites its own load
+instead of appending twice, and no other), and no batch is pulled to the
 driver: every write is distributed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerotrace.operators.live import SERVING_COLUMNS
+from aerotrace.session import drop_staged, stage_table
 
 
 def write_raw_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -27,23 +29,22 @@ def write_raw_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict |
     return w.start()
 
 
-def serving_batch_writer(path: str, columns: list[str] = SERVING_COLUMNS) -> Callable:
-    """SNK2 batch function: skip empty batches, persist (the batch is read
-    twice: emptiness check and write), project the serving columns, add
-    ``ingested_at``, write the batch into its own ``batch_id`` partition
-    with dynamic overwrite (a replay after failure replaces, never
-    duplicates), always unpersist."""
+#: The live table: a folder per month and load.  A load is one batch of one
+#: streaming query, or one batch job; writing a load again replaces that load.
+TABLE_PARTITIONS = ("event_month", "load_id")
+
+
+def serving_batch_writer(path: str, columns: list[str] = SERVING_COLUMNS, query_id: str | None = None) -> Callable:
+    """SNK2 batch function: writes a micro-batch into the live table under a
+    load id made of the streaming query's id and the batch id.
+
+    A batch that is replayed after a failure replaces its own load; batches of
+    another checkpoint have another query id and never touch it.  An empty
+    batch writes nothing.  ``query_id`` is taken from the running query."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if cached.isEmpty():
-                return
-            out = cached.select(*columns).withColumn("ingested_at", F.localtimestamp()) \
-                .withColumn("batch_id", F.lit(batch_id))
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
-        finally:
-            cached.unpersist()
+        running = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        load = f"{query_id or running or 'batch'}-{batch_id}"
+        write_states_table(batch.select(*columns), path, load)
     return write
 
 
@@ -81,10 +82,68 @@ def states_layout(df: DataFrame, time_col: str = "event_time", key_col: str = "i
     return ranged.sortWithinPartitions(time_col, key_col)
 
 
-def write_states_table(df: DataFrame, path: str) -> None:
-    """SNK4 write: partitioned by month, dynamic overwrite of touched months."""
-    (states_layout(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_month").parquet(path))
+def write_states_table(df: DataFrame, path: str, load_id: str | None = None) -> str:
+    """SNK4 write: adds ``df`` to the live table as one load and returns its
+    id.  Rows of other loads stay, also those of the same month; the same load
+    id again replaces that load only (dynamic overwrite of exactly its
+    folders)."""
+    load = load_id or f"load-{uuid.uuid4().hex}"
+    (states_layout(df).withColumn("load_id", F.lit(load)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*TABLE_PARTITIONS).parquet(path))
+    return load
+
+
+def read_states_table(spark: SparkSession, path: str) -> DataFrame:
+    """The live table without its load column; months prune as partitions."""
+    return _table(spark, path).drop("load_id")
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumns({c: F.col(c).cast("string") for c in TABLE_PARTITIONS})
+
+
+def _folders(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(month, load) folders of the table: metadata, a few per month after compaction."""
+    rows = _table(spark, path).select(*TABLE_PARTITIONS).distinct().collect()
+    return [(r["event_month"], r["load_id"]) for r in rows]
+
+
+def _delete(spark: SparkSession, path: str, folders: list[tuple[str, str]]) -> None:
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for month, load in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/event_month={month}/load_id={load}")
+        target.getFileSystem(conf).delete(target, True)
+
+
+def compact_month(spark: SparkSession, path: str, month: str) -> str:
+    """Rewrite the loads of one month as a single load, sorted anew; the old
+    loads are deleted after the new one is written."""
+    old = [f for f in _folders(spark, path) if f[0] == month]
+    rows = stage_table(_table(spark, path).where(F.col("event_month") == month).drop(*TABLE_PARTITIONS), "compact")
+    load = write_states_table(rows, path, f"compact-{uuid.uuid4().hex}")
+    _delete(spark, path, old)
+    drop_staged(rows)
+    return load
+
+
+def retain(spark: SparkSession, path: str, as_of: str, days: int = 30, time_col: str = "event_time") -> None:
+    """SNK5 write-back: delete the months that lie wholly before the cut-off,
+    and rewrite each load of the month that holds it without its expired rows;
+    later months are not read."""
+    cutoff = (datetime.fromisoformat(as_of) - timedelta(days=days)).strftime("%Y%m")
+    folders = _folders(spark, path)
+    _delete(spark, path, [f for f in folders if f[0] < cutoff])
+    here = [f for f in folders if f[0] == cutoff]
+    if not here:
+        return
+    table = _table(spark, path).where(F.col("event_month") == cutoff)
+    left = stage_table(expire(table, as_of, days, time_col), "retain")
+    kept = {r["load_id"] for r in left.select("load_id").distinct().collect()}
+    for _, load in here:
+        if load in kept:
+            write_states_table(left.where(F.col("load_id") == load).drop(*TABLE_PARTITIONS), path, load)
+    _delete(spark, path, [f for f in here if f[1] not in kept])
+    drop_staged(left)
 
 
 def expire(df: DataFrame, as_of: str, days: int = 30, time_col: str = "event_time") -> DataFrame:

@@ -49,12 +49,27 @@ def test_json_stream_fanout_equals_batch_and_restart_adds_nothing(spark):
 def test_serving_batch_is_idempotent_per_batch_id(spark):
     out = os.path.join(_tmp(), "serving")
     live = transform_states(fx.states(spark, SF001))
-    write = sinks.serving_batch_writer(out)
+    write = sinks.serving_batch_writer(out, query_id="q1")
     write(live, 7)
     write(live, 7)  # replay of the same batch
     assert spark.read.parquet(out).count() == live.count()
     write(live.limit(0), 8)  # empty batch is skipped
     assert spark.read.parquet(out).count() == live.count()
+    write(live, 8)  # another batch of the same months
+    sinks.serving_batch_writer(out, query_id="q2")(live, 7)  # the same number under another checkpoint
+    assert spark.read.parquet(out).count() == 3 * live.count()
+
+
+def test_two_checkpoints_keep_every_row(spark):
+    base = _tmp()
+    src, out = os.path.join(base, "src"), os.path.join(base, "serving")
+    live = transform_states(fx.states(spark, SF001))
+    live.write.parquet(src)
+    for n in (1, 2):
+        stream = spark.readStream.schema(live.schema).parquet(src)
+        q = sinks.write_serving_stream(stream, out, os.path.join(base, f"ck{n}"), {"availableNow": True})
+        q.awaitTermination(120)
+        assert sinks.read_states_table(spark, out).count() == n * live.count()
 
 
 def test_landed_parquet_stream_to_feed(spark):
@@ -89,9 +104,12 @@ def test_stream_dedup_and_window_panels(spark):
     q2 = (streams.active_aircraft_stream(s2).writeStream.format("memory").outputMode("append")
           .queryName("active_out").trigger(availableNow=True).start())
     q2.awaitTermination(120)
-    got = spark.table("active_out")
-    # windows are emitted once the watermark passes them: all but the tail
-    assert 0 < got.count() <= live.select(F.date_trunc("minute", "event_time")).distinct().count()
+    got = {r.window_start: r.active_aircraft for r in spark.table("active_out").collect()}
+    batch = {r.m: r.n for r in live.groupBy(F.date_trunc("minute", "event_time").alias("m"))
+             .agg(F.count_distinct("icao24").alias("n")).collect()}
+    # windows are emitted once the watermark passes them: all but the tail, each with the batch value
+    assert len(got) > 0.9 * len(batch) and set(got) <= set(batch)
+    assert all(abs(n - batch[w]) <= 0.1 * batch[w] for w, n in got.items())
 
 
 def test_states_layout_partitions_and_sorts(spark):
@@ -103,13 +121,54 @@ def test_states_layout_partitions_and_sorts(spark):
     months = {str(r[0]) for r in back.select("event_month").distinct().collect()}
     assert months == {r[0] for r in live.select(F.date_format("event_time", "yyyyMM")).distinct().collect()}
     assert "ingested_at" in back.columns
-    # rewriting the same months replaces them (dynamic overwrite), never duplicates
-    sinks.write_states_table(live, out)
-    assert spark.read.parquet(out).count() == live.count()
+    # another load of the same months adds to them; the same load again adds nothing
+    load = sinks.write_states_table(live, out)
+    assert spark.read.parquet(out).count() == 2 * live.count()
+    sinks.write_states_table(live, out, load)
+    assert spark.read.parquet(out).count() == 2 * live.count()
     # pruning: a month filter reads only that partition
     plan = back.filter(F.col("event_month") == int(sorted(months)[0]))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_month" in plan
+    # compaction leaves the rows and one load of the month
+    month = sorted(months)[0]
+    rows = _rows(sinks.read_states_table(spark, out), SERVING_COLUMNS)
+    sinks.compact_month(spark, out, month)
+    assert _rows(sinks.read_states_table(spark, out), SERVING_COLUMNS) == rows
+    assert len(os.listdir(os.path.join(out, f"event_month={month}"))) == 1
+
+
+def test_retention_rewrites_the_table(spark):
+    out = os.path.join(_tmp(), "states")
+    times = ["2023-12-20 00:00:00", "2024-01-05 00:00:00", "2024-01-06 00:00:00", "2024-01-25 00:00:00", "2024-02-20 00:00:00"]
+    live = transform_states(fx.states(spark, SF001)).limit(len(times)).select(*SERVING_COLUMNS).toPandas()
+    live["event_time"] = times
+    df = spark.createDataFrame(live[["icao24", "event_time"]], "icao24 string, event_time string").withColumn(
+        "event_time", F.col("event_time").cast("timestamp_ntz"))
+    for part in (df.where("event_time < '2024-01-06'"), df.where("event_time >= '2024-01-06'")):
+        sinks.write_states_table(part, out)
+    sinks.retain(spark, out, "2024-02-19 00:00:00", days=30)
+    left = sorted(str(r[0]) for r in sinks.read_states_table(spark, out).select("event_time").collect())
+    assert left == ["2024-01-25 00:00:00", "2024-02-20 00:00:00"]
+    assert sorted(os.path.basename(p) for p in os.listdir(out) if p.startswith("event_month")) == [
+        "event_month=202312", "event_month=202401", "event_month=202402"]
+    assert not os.listdir(os.path.join(out, "event_month=202312"))
+
+
+def test_feed_runs_on_a_processing_time_trigger(spark):
+    base = _tmp()
+    landed, feed, ck = (os.path.join(base, p) for p in ("landed", "feed", "ck"))
+    states = fx.states(spark, SF001).withColumn("sensors", F.lit(None).cast("array<int>")).select(*STATE_FIELDS)
+    states.write.parquet(landed)
+    q = sinks.write_feed_stream(streams.read_landed_stream(spark, landed), feed, ck, {"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+        assert spark.read.parquet(feed).count() == to_ml_feed(states).count()
+        states.limit(10).write.mode("append").parquet(landed)
+        q.processAllAvailable()
+        assert spark.read.parquet(feed).count() == to_ml_feed(states).count() + to_ml_feed(states.limit(10)).count()
+    finally:
+        q.stop()
 
 
 def test_save_and_append(spark):
