@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
 from aerotrace.functions.exprs import epoch_seconds_ntz, haversine_km, surrogate_key
 from aerotrace.operators import series
 from aerotrace.operators.joins import hybrid_left_join
+from aerotrace.operators.prefix import running_sums
 from aerotrace.operators.series import Series
 
 # feature -> (lag name, lead name)
@@ -118,9 +119,10 @@ def sequence_windows(df: DataFrame, size: int = K.SEQUENCE_LENGTH, s: Series | N
 
 def confirm(windows: DataFrame, scorer: Callable | None = None) -> DataFrame:
     """ML9: one verdict per sequence window.  Without a scorer the verdict
-    is unknown (null), as in the placeholder model.  A scorer is a pandas
-    function ``(history_df, actual_df) -> (score, confirmed)`` applied in
-    Arrow batches via ``mapInPandas``."""
+    is unknown (null), as in the placeholder model.  A scorer is a function
+    of one pandas frame of windows (icao, event_timestamp, history, actual)
+    that returns it with ``chronos_score`` and ``chronos_confirmed``; it is
+    applied in Arrow batches via ``mapInPandas``."""
     if scorer is None:
         return windows.select("icao", "event_timestamp",
                               F.lit(None).cast("double").alias("chronos_score"),
@@ -151,23 +153,34 @@ def anomaly_episodes(df: DataFrame, gap_seconds: float = 300.0,
                     "icao", "episode_start", "episode_end", "n_points", "peak_score"))
 
 
-def category_thresholds(df: DataFrame, q: float = 0.99, exact: bool = False,
-                        accuracy: int = 10000) -> DataFrame:
-    """ML13: per-category score threshold = q-quantile of the category's
-    scores, falling back to the global quantile for categories without
-    scores.  ``percentile_approx`` keeps a bounded, mergeable sketch per
-    group, so a category holding a third of the rows costs no more memory
-    than a small one; ``exact=True`` uses the exact ``percentile`` (memory
-    grows with the number of distinct scores in the group)."""
-    def quant(c):
-        return F.percentile(c, q) if exact else F.percentile_approx(c, q, accuracy)
-    # rollup = per-category rows plus one grand-total row; the fallback is
-    # taken with a window over that tiny result (one row per category).
-    g = df.rollup("category").agg(quant("xgb_anomaly_score").alias("_t"),
-                                  F.grouping("category").alias("_total"))
-    glob = F.max(F.when(F.col("_total") == 1, F.col("_t"))).over(Window.partitionBy())
-    return (g.select("category", "_total", F.coalesce("_t", glob).alias("threshold"))
-            .filter(F.col("_total") == 0).drop("_total"))
+def category_thresholds(df: DataFrame, q: float = 0.99) -> DataFrame:
+    """ML13: per-category score threshold = exact discrete q-quantile of the
+    category's scores; a category without scores gets the global one.
+
+    Scores are counted per (category, score), range-sorted, and given their
+    rank by distributed prefix sums, so a category of any size spreads over
+    many tasks and the answer is the same order statistic at every size."""
+    scores = df.where(F.col("xgb_anomaly_score").isNotNull()).groupBy("category", "xgb_anomaly_score").agg(
+        F.count("*").alias("n"))
+    score = F.col("xgb_anomaly_score")
+
+    def quantile(hist, by, name):
+        ranked = running_sums(hist, [score], {"before": "n"}, by)
+        total = hist.groupBy(*by).agg(F.sum("n").alias("total"))
+        total = total.select(*[F.col(c).alias(f"_{c}") for c in by], "total")
+        match = F.lit(True)
+        for c in by:
+            match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        rank = F.greatest(F.lit(1), F.ceil(F.col("total") * q))
+        at = (F.col("before") < rank) & (rank <= F.col("before") + F.col("n"))
+        return (ranked.join(total if by else F.broadcast(total), match).where(at)
+                .select(*by, score.alias(name)))
+
+    own = quantile(scores, ["category"], "own").withColumnRenamed("category", "_c")
+    every = quantile(scores.groupBy("xgb_anomaly_score").agg(F.sum("n").alias("n")), [], "every")
+    names = df.select("category").distinct()
+    both = names.join(own, names["category"].eqNullSafe(own["_c"]), "left").join(F.broadcast(every), F.lit(True), "left")
+    return both.select("category", F.coalesce("own", "every").alias("threshold"))
 
 
 # --- ML4 / ML5: next-state regressors (Spark ML) ------------------------------
@@ -178,9 +191,16 @@ def _assembled(df: DataFrame):
                            handleInvalid="keep").transform(filled)
 
 
+def by_aircraft(seed: int, share: float = 0.8):
+    """True for the ``share`` of aircraft that are trained on: a hash of the
+    aircraft, the same on every run and for every row of an aircraft."""
+    return F.pmod(F.xxhash64(F.lit(seed), "icao"), F.lit(1000)) < int(share * 1000)
+
+
 def train_next_state(df: DataFrame, path: str | None = None, params: dict | None = None,
                      seed: int = 42) -> tuple[dict, dict]:
-    """ML4: one gradient-boosted regressor per target; 80/20 random split.
+    """ML4: one gradient-boosted regressor per target, trained on 80 % of the
+    aircraft and tested on the others, so no aircraft is on both sides.
     Returns (models, hold-out MAE per target).  Rows with a null label are
     dropped per target.  Models are saved under ``path`` when given."""
     from pyspark.ml.regression import GBTRegressor
@@ -191,8 +211,8 @@ def train_next_state(df: DataFrame, path: str | None = None, params: dict | None
     # Seven fits read the same split: persist it once (spills to disk, and a
     # lost executor recomputes only its partitions) instead of re-running
     # the feature lineage per target.
-    train, test = [part.persist(StorageLevel.MEMORY_AND_DISK)
-                   for part in data.randomSplit([0.8, 0.2], seed=seed)]
+    in_train = by_aircraft(seed)
+    train, test = [data.filter(side).persist(StorageLevel.MEMORY_AND_DISK) for side in (in_train, ~in_train)]
     models, mae = {}, {}
     try:
         for target in K.TARGET_COLUMNS:

@@ -24,4 +24,11 @@ def test_train_score_reload(spark):
     rb = sorted(tuple(r) for r in b.select("row_id", *cols).collect())
     assert ra == rb
     scored = ml.residuals(b)
-    assert scored.filter(F.col("xgb_anomaly_score").isNull()).count() <= scored.count()
+    rows = scored.select("xgb_anomaly_score", "position_error_km", *cols).collect()
+    assert len(rows) == feats.count()
+    assert all(getattr(r, c) is not None for r in rows for c in cols)
+    assert all(r.position_error_km >= 0 for r in rows)
+    # each aircraft is on one side of the split only, and both sides have some
+    sides = feats.select("icao", ml.by_aircraft(42).alias("side")).distinct()
+    assert sides.count() == feats.select("icao").distinct().count()
+    assert sides.select("side").distinct().count() == 2
