@@ -160,3 +160,21 @@ SEQUENCE_FIELDS = ["lat", "lon", "resolved_altitude", "ground_speed", "resolved_
                    "track_sin", "track_cos"]
 GBT_PARAMS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
               "featureSubsetStrategy": "0.8", "seed": 42}
+
+# --- fixed values: callsign classes, first match counts ---
+CALLSIGN_CLASSES = {
+    "AIRLINE": "^[A-Z]{2,3}[0-9].*",
+    "GENERAL_AVIATION": "^[A-Z0-9]{2,7}$",
+}
+CALLSIGN_MISSING = "UNKNOWN"
+CALLSIGN_DEFAULT = "OTHER"
+
+# --- fixed values: signal integrity classes, least values of each, first match counts ---
+INTEGRITY_CLASSES = {
+    "HIGH": {"nic": 8, "nac_p": 8, "sil": 2},
+    "MEDIUM": {"nic": 5, "nac_p": 5},
+}
+INTEGRITY_DEFAULT = "LOW"
+
+# --- fixed values: barometric altitude text of an aircraft on the ground ---
+ON_GROUND_ALTITUDE = "ground"

@@ -32,13 +32,13 @@ def map_lookup(mapping: dict, key: str | Column, default: str | None = None) ->
 
 
 def null_if_blank(c: str | Column) -> Column:
-    trimmed = F.trim(col(c))
-    return F.when(trimmed == F.lit(""), F.lit(None)).otherwise(trimmed)
+    """The trimmed text, null when nothing is left."""
+    return F.nullif(F.trim(col(c)), F.lit(""))
 
 
 def valid_range(c: str | Column, lo, hi) -> Column:
-    v = col(c)
-    return F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), v)
+    """The value inside [lo, hi], else null."""
+    return F.when(col(c).between(lo, hi), col(c))
 
 
 def epoch_ntz() -> Column:
@@ -61,24 +61,34 @@ def ntz_from_micros(micros: str | Column) -> Column:
 def surrogate_key(*cols: str | Column) -> Column:
     """Deterministic, null-safe, non-negative BIGINT key.
 
-    md5 of the '|'-joined string forms (null -> U+0001), first 15 hex digits
-    (60 bits) read as a number.  Unlike ``abs(hash(..))`` it distinguishes
-    (NULL,'a') from ('a',NULL), never overflows and is portable to other SQL
-    engines, so keys are stable across jobs, clusters and engines.
+    First 15 hex digits (60 bits) of ``identity_key``, read as a number: for
+    dimension keys, of which there are few.
+    """
+    return F.conv(F.substring(identity_key(*cols), 1, 15), 16, 10).cast("bigint")
+
+
+def identity_key(*cols: str | Column) -> Column:
+    """128-bit key (md5 hex) of several values, for keys of single rows.
+
+    Each value is written with its length in front and a null as ``n``, so no
+    two different lists of values have the same text, whatever characters they
+    hold; md5 is portable, so keys are stable across jobs and engines.
     """
-    parts = [F.coalesce(col(c).cast("string"), F.lit("\u0001")) for c in cols]
-    digest = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    def part(c):
+        text = col(c).cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n"))
+    return F.md5(F.concat(*[part(c) for c in cols]))
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    """Great-circle distance; any null input gives null."""
-    p1, p2 = F.radians(col(lat1)), F.radians(col(lat2))
-    dp = F.radians(col(lat2) - col(lat1))
-    dl = F.radians(col(lon2) - col(lon1))
-    a = F.pow(F.sin(dp / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), 2)
-    # least(1, a) guards asin against a = 1 + epsilon from rounding.
-    return F.lit(2 * K.EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    """Great-circle distance by the haversine formula, with
+    hav(x) = (1 - cos x) / 2 = sin(x / 2)^2; any null input gives null."""
+    def hav(degrees_from, degrees_to):
+        return F.pow(F.sin(F.radians(col(degrees_to) - col(degrees_from)) / 2), 2)
+    lat_scale = F.cos(F.radians(col(lat1))) * F.cos(F.radians(col(lat2)))
+    central = hav(lat1, lat2) + lat_scale * hav(lon1, lon2)
+    # rounding can lift the value above 1, where asin is undefined
+    return 2 * K.EARTH_RADIUS_KM * F.asin(F.sqrt(F.least(central, F.lit(1.0))))
 
 
 def hex_to_long(c: str | Column) -> Column:

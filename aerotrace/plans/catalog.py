@@ -1,7 +1,9 @@
 """Registered queries: one per operator of the inventory.
 
 Each query takes ``(spark, base_dir)``, reads the driver tables under
-``base_dir`` (through the fixture views) and returns a lazy DataFrame.
+``base_dir`` (through the fixture views) and returns a DataFrame.  Queries
+that need a staged intermediate (silver, scored features, the tables of a
+keyed scan) run the jobs that write it when they are built.
 ``ORACLE[name]`` holds the same computation as DuckDB SQL over the same
 tables, for the cross-engine correctness check.  Float outputs that pass
 through transcendental functions are rounded to 6 digits in both.
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
-from aerotrace.functions.exprs import hex_to_long, round6, surrogate_key
+from aerotrace.functions.exprs import hex_to_long, identity_key, null_if_blank, round6, surrogate_key
 from aerotrace.operators import backfill as bf
 from aerotrace.operators import clean as cl
 from aerotrace.operators import enrich as en
@@ -23,6 +25,7 @@ from aerotrace.operators import joins, live, ml, panels, star
 from aerotrace.operators.dedup import dedup
 from aerotrace.plans import medallion
 from aerotrace.plans import oracle as O
+from aerotrace.session import drop_staged
 from aerotrace.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,14 +55,18 @@ def states(spark, b):
 # Medallion tables (silver, scored features) are materialised once per
 # session and input directory and then read by every downstream query, as
 # the tables they are; each query still starts from the given tables.
-_TABLES: dict[tuple, DataFrame] = {}
+# A table is built anew when the files under the input directory change.
+_TABLES: dict[tuple, tuple] = {}
 
 
 def _table(spark, b, name, build):
-    key = (spark.sparkContext.applicationId, b.rstrip("/"), name)
-    if key not in _TABLES:
-        _TABLES[key] = medallion.stage(build(), name)
-    return _TABLES[key]
+    key, version = (spark.sparkContext.applicationId, b.rstrip("/"), name), fx.version(spark, b)
+    held = _TABLES.get(key)
+    if held is None or held[0] != version:
+        if held is not None:
+            drop_staged(held[1])
+        _TABLES[key] = (version, medallion.stage(build(), name))
+    return _TABLES[key][1]
 
 
 def silver(spark, b):
@@ -203,7 +210,9 @@ def q_live_transform(spark, b):
     return live_table(spark, b)
 
 
-@register("drop_sensors", None)
+@register("drop_sensors", _S.rstrip("\n") + ",\nparsed AS (SELECT row_id, "
+          + ", ".join(f"CASE WHEN row_id % 97 = 0 THEN NULL ELSE {c} END AS {c}" for c in O.STATE_COLS)
+          + " FROM states)\n" + LIVE_TABLE_SQL.replace("FROM states", "FROM parsed"))
 def q_drop_sensors(spark, b):
     from aerotrace.sources.states import parse_states
     return live.transform_states(parse_states(_state_json_rows(spark, b)))
@@ -257,20 +266,22 @@ for _name, _cols in {"feed_heading": ["track_sin", "track_cos", "nav_heading_sin
 
 
 @register("feed_drop_no_position",
-          _S + "SELECT count(*) AS n_rows FROM states WHERE latitude IS NOT NULL AND longitude IS NOT NULL")
+          _S + "SELECT row_id, latitude AS lat, longitude AS lon FROM states "
+          "WHERE latitude IS NOT NULL AND longitude IS NOT NULL")
 def q_feed_drop(spark, b):
-    return live.to_ml_feed(states(spark, b)).agg(F.count("*").alias("n_rows"))
+    return _feed(spark, b).select("row_id", "lat", "lon")
 
 
 # ---------------------------------------------------------------------------
 # 2.5 bronze flatten (documents built from the flat rows, then flattened back)
-BRONZE_SQL = (fx.oracle_ctes("traces") + "SELECT " + ", ".join(
+_FLAT = ("SELECT " + ", ".join(
     [f"{c}" for c in O.TRACE_COLS if c not in ("registration", "aircraft_type", "description",
                                                 "db_flags", "source_file", "ingestion_ts", "row_id")]
     + ["max(registration) OVER d AS registration", "max(aircraft_type) OVER d AS aircraft_type",
        "max(description) OVER d AS description", "max(db_flags) OVER d AS db_flags",
        "source_file", "max(ingestion_ts) OVER d AS ingestion_ts"])
     + " FROM traces WINDOW d AS (PARTITION BY icao, data_date)")
+BRONZE_SQL = fx.oracle_ctes("traces") + _FLAT
 
 
 @register("bronze_flatten", BRONZE_SQL)
@@ -403,11 +414,18 @@ def q_interpolate(spark, b):
     return out.select("row_id", *[round6(c).alias(c) for c in _INTERP])
 
 
-@register("ffill_in_session", fx.oracle_ctes("traces") + "SELECT row_id, coalesce(flight, last_value(flight "
-          "IGNORE NULLS) OVER (PARTITION BY icao, data_date ORDER BY event_timestamp, row_id ROWS BETWEEN "
-          "UNBOUNDED PRECEDING AND CURRENT ROW)) AS flight FROM traces")
+_GAP = 21600  # seconds without a report that end a session
+
+
+@register("ffill_in_session", fx.oracle_ctes("traces").rstrip("\n") + f""",
+fl AS (SELECT *, CASE WHEN lag(event_timestamp) OVER ({O.W_ORD}) IS NULL OR date_diff('microsecond',
+  lag(event_timestamp) OVER ({O.W_ORD}), event_timestamp) > {_GAP * 1000000} THEN event_timestamp END AS st FROM traces),
+se AS (SELECT *, last_value(st IGNORE NULLS) OVER ({O.W_PREV}) AS session_start FROM fl)
+SELECT row_id, session_start, coalesce(flight, last_value(flight IGNORE NULLS) OVER (PARTITION BY icao, session_start
+  ORDER BY event_timestamp, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS flight FROM se""")
 def q_ffill_in_session(spark, b):
-    return bf.ffill_in_session(fx.traces(spark, b), ["flight"], "data_date").select("row_id", "flight")
+    sessions = bf.gap_session(fx.traces(spark, b), _GAP)
+    return bf.ffill_in_session(sessions, ["flight"], "session_start").select("row_id", "session_start", "flight")
 
 
 # ---------------------------------------------------------------------------
@@ -417,7 +435,7 @@ column_queries("clean", traces, _T, "traces", {
     "normalize_identity": (lambda: {k: v for k, v in cl.normalize_identity().items()},
                            {k: O.CLEAN_EXPR[k] for k in ("icao", "registration", "aircraft_type", "description",
                                                              "category")}),
-    "null_if_blank": (lambda: {"description": F.nullif(F.trim("description"), F.lit(""))},
+    "null_if_blank": (lambda: {"description": null_if_blank("description")},
                       {"description": "nullif(trim(description), '')"}),
     "valid_callsign": (lambda: {"flight": cl.valid_callsign()}, {"flight": O.CLEAN_EXPR["flight"]}),
     "valid_squawk": (lambda: {"squawk": cl.valid_squawk()}, {"squawk": O.CLEAN_EXPR["squawk"]}),
@@ -459,12 +477,19 @@ def q_silver_clean(spark, b):
     return medallion.silver(fx.traces(spark, b))
 
 
-@register("drop_redundant", O.chain("silver") + "SELECT count(*) AS n_rows, "
-          "count(DISTINCT aircraft_session_id) AS n_sessions FROM silver")
+# The whole seam from documents on, with re-delivered reports: no row_id, so
+# rows that tie in the dedup are told apart by their own values only.
+@register("documents_to_silver", O.chain("silver", "traces_dup", _FLAT.replace(
+    "source_file", "source_file, 0 AS row_id", 1).replace("FROM traces", "FROM traces_dup"))
+    + "SELECT * EXCLUDE (row_id) FROM silver")
+def q_documents_to_silver(spark, b):
+    from aerotrace.operators.bronze import flatten_traces, trace_documents
+    return medallion.silver(flatten_traces(trace_documents(fx.traces_dup(spark, b))))
+
+
+@register("drop_redundant", O.chain("silver") + "SELECT * EXCLUDE (aircraft_session_id) FROM silver")
 def q_drop_redundant(spark, b):
-    s = silver(spark, b)
-    assert not set(cl.DROPPED) & set(s.columns)
-    return s.agg(F.count("*").alias("n_rows"), F.countDistinct("aircraft_session_id").alias("n_sessions"))
+    return silver(spark, b).drop("aircraft_session_id")
 
 
 # ---------------------------------------------------------------------------
@@ -495,10 +520,10 @@ def q_gold_enrich(spark, b):
 _G = O.chain("gold")
 
 
-@register("surrogate_key", _G + f"SELECT row_id, {O.sk('icao', 'event_timestamp')} AS trace_key, "
+@register("surrogate_key", _G + f"SELECT row_id, {O.ik('icao', 'event_timestamp')} AS trace_key, "
           f"{O.sk('icao', 'registration', 'aircraft_type')} AS aircraft_key FROM gold")
 def q_surrogate_key(spark, b):
-    return gold(spark, b).select("row_id", surrogate_key("icao", "event_timestamp").alias("trace_key"),
+    return gold(spark, b).select("row_id", identity_key("icao", "event_timestamp").alias("trace_key"),
                                  surrogate_key("icao", "registration", "aircraft_type").alias("aircraft_key"))
 
 
@@ -508,7 +533,7 @@ for _dim, (_key, _attrs) in star.DIMENSIONS.items():
 
 
 @register("fact_flight_trace", _G + "SELECT " + ", ".join(
-    [f"{O.sk('icao', 'event_timestamp')} AS trace_key"]
+    [f"{O.ik('icao', 'event_timestamp')} AS trace_key"]
     + [f"{O.sk(*cols)} AS {k}" for k, cols in star.KEYS.items()] + star.MEASURES) + " FROM gold")
 def q_fact(spark, b):
     return star.fact(gold(spark, b))
@@ -523,7 +548,7 @@ def _star_join_sql():
             f"{', '.join(attrs)}, row_number() OVER (PARTITION BY {O.sk(*star.KEYS[key])} "
             f"ORDER BY event_timestamp DESC, row_id DESC) AS rn FROM gold) WHERE rn = 1)")
     fact = ("f AS (SELECT " + ", ".join(
-        [f"{O.sk('icao', 'event_timestamp')} AS trace_key"]
+        [f"{O.ik('icao', 'event_timestamp')} AS trace_key"]
         + [f"{O.sk(*cols)} AS {k}" for k, cols in star.KEYS.items()] + star.MEASURES) + " FROM gold)")
     joins_ = " ".join(f"LEFT JOIN u_{n} USING ({k})" for n, (k, _) in star.DIMENSIONS.items())
     return _G.rstrip("\n") + ",\n" + ",\n".join(dims + [fact]) + f"\nSELECT * FROM f {joins_}"
@@ -740,9 +765,14 @@ register("anomaly_score", _ML + "SELECT row_id, round(xgb_anomaly_score, 6) AS x
 _SEQ_N = K.SEQUENCE_LENGTH
 
 
+_SEQ_F = list(K.SEQUENCE_FIELDS)
+
+
 def _seq_sql(select):
-    hist = (f"SELECT icao, event_timestamp, row_id, lat, count(*) OVER h AS n, first_value(lat) OVER h AS "
-            f"first_lat, last_value(lat) OVER h AS last_lat, sum(lat) OVER h AS sum_lat FROM usable "
+    cols = ", ".join(f"first_value({c}) OVER h AS first_{c}, last_value({c}) OVER h AS last_{c}, "
+                     f"sum(coalesce({c}, 0)) OVER h AS sum_{c}" for c in _SEQ_F)
+    hist = (f"SELECT icao, event_timestamp, row_id, {', '.join(f'{c} AS actual_{c}' for c in _SEQ_F)}, "
+            f"count(*) OVER h AS n, {cols} FROM usable "
             f"WINDOW h AS ({O.W_ORD} ROWS BETWEEN {_SEQ_N} PRECEDING AND 1 PRECEDING)")
     return _ML.rstrip("\n") + f",\nseq AS (SELECT * FROM ({hist}) WHERE n = {_SEQ_N})\n" + select
 
@@ -752,16 +782,18 @@ def _windows(spark, b, size=_SEQ_N):
     return ml.sequence_windows(feats, size)
 
 
-@register("sequence_windows", _seq_sql("SELECT icao, event_timestamp, row_id, n AS history_len, "
-                                       "round(first_lat, 6) AS first_lat, round(last_lat, 6) AS last_lat, "
-                                       "round(sum_lat, 6) AS sum_lat, round(lat, 6) AS actual_lat FROM seq"))
+@register("sequence_windows", _seq_sql("SELECT icao, event_timestamp, row_id, n AS history_len, " + ", ".join(
+    f"round({p}_{c}, 5) AS {p}_{c}" for c in _SEQ_F for p in ("first", "last", "sum", "actual")) + " FROM seq"))
 def q_sequence_windows(spark, b):
-    w = _windows(spark, b)
-    return w.select("icao", "event_timestamp", "row_id", F.size("history").cast("bigint").alias("history_len"),
-                    F.round(F.col("history")[0]["lat"], 6).alias("first_lat"),
-                    F.round(F.element_at("history", -1)["lat"], 6).alias("last_lat"),
-                    F.round(F.aggregate(F.col("history.lat"), F.lit(0.0), lambda a, x: a + x), 6).alias("sum_lat"),
-                    F.round(F.col("actual.lat"), 6).alias("actual_lat"))
+    def total(c):
+        return F.aggregate(F.col(f"history.{c}"), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0)).cast("double"))
+    cols = []
+    for c in _SEQ_F:
+        cols += [F.round(F.col("history")[0][c], 5).alias(f"first_{c}"),
+                 F.round(F.element_at("history", -1)[c], 5).alias(f"last_{c}"),
+                 F.round(total(c), 5).alias(f"sum_{c}"), F.round(F.col(f"actual.{c}"), 5).alias(f"actual_{c}")]
+    return _windows(spark, b).select("icao", "event_timestamp", "row_id",
+                                     F.size("history").cast("bigint").alias("history_len"), *cols)
 
 
 @register("sequence_confirmation", _seq_sql("SELECT icao, event_timestamp, CAST(NULL AS DOUBLE) AS "
@@ -786,9 +818,6 @@ def q_episode_grouping(spark, b):
     return e.withColumn("peak_score", round6("peak_score"))
 
 
-# percentile_approx keeps a bounded sketch per category (a hot category costs
-# no more memory); below the sketch capacity it returns the exact order
-# statistic, i.e. the discrete quantile.
 @register("category_threshold", _ML + """
 , q AS (SELECT category, quantile_disc(xgb_anomaly_score, 0.99) AS t FROM scored GROUP BY category),
 g AS (SELECT quantile_disc(xgb_anomaly_score, 0.99) AS gt FROM scored)

@@ -29,9 +29,13 @@ W_NEXT = ("PARTITION BY icao ORDER BY event_timestamp, row_id "
 W_ORD = "PARTITION BY icao ORDER BY event_timestamp, row_id"
 
 
+def ik(*cols: str) -> str:
+    parts = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'n')" for c in cols)
+    return f"md5({parts})"
+
+
 def sk(*cols: str) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(1))" for c in cols)
-    return f"CAST(('0x' || substr(md5(concat_ws('|', {parts})), 1, 15)) AS BIGINT)"
+    return f"CAST(('0x' || substr({ik(*cols)}, 1, 15)) AS BIGINT)"
 
 
 def case_map(col: str, mapping: dict, default: str, quote_keys: bool) -> str:
@@ -42,7 +46,7 @@ def case_map(col: str, mapping: dict, default: str, quote_keys: bool) -> str:
 
 def dedup_sql(src: str) -> str:
     return (f"SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY icao, event_timestamp "
-            f"ORDER BY (ingestion_ts IS NOT NULL) DESC, ingestion_ts DESC, row_id DESC) = 1")
+            f"ORDER BY ingestion_ts DESC NULLS LAST, source_file NULLS LAST, row_id DESC) = 1")
 
 
 FORWARD_ONLY = (K.STABLE_IDENTITY_FIELDS + ["flight"] + K.SEMI_STABLE_FIELDS + ["roll", "alt_baro"])
@@ -150,9 +154,11 @@ def gold_sql(src: str) -> str:
     return f"SELECT *, {', '.join(f'{v} AS {k}' for k, v in GOLD_EXPR.items())} FROM {src}"
 
 
-def chain(upto: str, source: str = "traces") -> str:
-    """WITH clause through the named stage: dedup, backfilled, silver, gold."""
-    stages = [("dedup", dedup_sql(source)), ("backfilled", backfill_sql("dedup")),
+def chain(upto: str, source: str = "traces", flat: str | None = None) -> str:
+    """WITH clause through the named stage: dedup, backfilled, silver, gold.
+    ``flat`` is SQL over ``source`` that makes the rows to start from."""
+    stages = [("flat", flat)] if flat else []
+    stages += [("dedup", dedup_sql("flat" if flat else source)), ("backfilled", backfill_sql("dedup")),
               ("silver", clean_sql("backfilled")), ("gold", gold_sql("silver"))]
     head = oracle_ctes(source).rstrip("\n")
     parts = []

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 import os
 import tempfile
 
@@ -95,6 +96,12 @@ def test_surrogate_key_is_null_safe(spark):
     df = one(spark, [(None, "a"), ("a", None), ("a", "b"), ("a", "b")], "x string, y string")
     keys = [r[0] for r in df.select(star.surrogate_key("x", "y")).collect()]
     assert keys[0] != keys[1] and keys[2] == keys[3] and all(k >= 0 for k in keys)
+    # values that hold the marks of the key's own text form
+    odd = ["", "n", "|", "a|b", "1:a", "a", "c", "b|c", "0:", None, "\u0001"]
+    pairs = [(x, y) for x in odd for y in odd]
+    df = one(spark, pairs, "x string, y string")
+    assert df.select(star.identity_key("x", "y").alias("k")).distinct().count() == len(pairs)
+    assert df.select(star.surrogate_key("x", "y").alias("k")).distinct().count() == len(pairs)
 
 
 def test_dedup_idempotent_and_latest_ingest_wins(spark):
@@ -109,6 +116,22 @@ def test_dedup_idempotent_and_latest_ingest_wins(spark):
     assert survivors >= expected
 
 
+def test_dedup_survivor_does_not_depend_on_partitioning(spark):
+    """42 columns, no row_id, copies with one ingestion time: the survivor is
+    the same under any partitioning, and the first source file wins."""
+    t = fx.traces(spark, SF001).drop("row_id").limit(5)
+    copies = t.crossJoin(spark.range(40)).withColumn("roll", F.col("id").cast("double")).withColumn(
+        "source_file", F.when(F.col("id") % 4 == 0, "b.json").otherwise("a.json")).drop("id")
+    seen = set()
+    for n in (1, 2, 3, 7, 16):
+        out = dedup(copies.repartition(n, F.rand(n)))
+        assert out.count() == 5 and out.where("source_file <> 'a.json'").count() == 0
+        seen.add(tuple(sorted((r.icao, r.roll) for r in out.collect())))
+    assert len(seen) == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
 def test_backfill_never_changes_non_null(spark):
     t = fx.traces(spark, SF001)
     b = backfill(t)
@@ -171,8 +194,11 @@ def test_hybrid_labels(spark):
     df = one(spark, rows, "icao string, xgb_anomaly_score double, position_error_km double, "
                           "altitude_error_ft double, ground_speed_error double, vert_rate_error double, "
                           "track_error double, chronos_confirmed boolean")
-    out = df.select("icao", ml.is_anomaly().alias("a"), ml.primary_reason().alias("r"),
-                    (ml.is_anomaly() & F.coalesce("chronos_confirmed", F.lit(True))).alias("h")).collect()
+    df = df.withColumn("event_timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    verdicts = df.where("chronos_confirmed IS NOT NULL").select(
+        "icao", "event_timestamp", F.lit(0.5).alias("chronos_score"), "chronos_confirmed")
+    out = ml.hybrid(df.drop("chronos_confirmed"), verdicts).orderBy("icao").select(
+        "icao", "xgb_is_anomaly", "primary_anomaly_reason", "hybrid_anomaly_label").collect()
     assert [tuple(r) for r in out] == [("A", True, "POSITION", True), ("B", False, "POSITION", False),
                                        ("C", True, "POSITION", False), ("D", True, "TRACK", True)]
 
@@ -195,10 +221,10 @@ def test_sequence_window_counts(spark, n, expected):
 def test_range_join_boundaries(spark):
     ranges = one(spark, [(16, 31, "P"), (4096, 8191, "Q")], "range_start long, range_end long, country string")
     pts = one(spark, [(15,), (16,), (31,), (32,), (4095,), (4096,), (8191,), (None,)], "v long")
-    for limit in (1_000, 10_000_000):  # shuffle join beyond the bound, broadcast within it
+    for limit in (256, 257):  # 1 + 256 expanded rows: shuffle join beyond the bound, broadcast within it
         j = joins.range_lookup(pts, ranges, "v", bucket_bits=4, max_broadcast_rows=limit)
         hinted = "broadcast" in j._jdf.queryExecution().analyzed().toString().lower()
-        assert hinted == (limit > 2 + (1 << 20))
+        assert hinted == (limit == 257)
         got = j.orderBy("v").collect()
         assert [(r.v, r.country) for r in got] == [(None, None), (15, None), (16, "P"), (31, "P"), (32, None),
                                                    (4095, None), (4096, "Q"), (8191, "Q")]
@@ -214,39 +240,82 @@ def _sorted_rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_hot_documents_and_payloads_split_without_changing_rows(spark):
-    """A forced small bound splits every aircraft-day document and every
-    poll payload into hashed parts; flattening / unpacking gives the same
-    rows, and no part exceeds a few times the bound."""
+def test_document_and_payload_slices_do_not_change_rows(spark):
+    """Documents are cut by a fixed time slice and payloads into a fixed number
+    of parts, whatever their size; flattening / unpacking gives the same rows."""
     from aerotrace.sources.states import state_payloads, unpack_states
     t = fx.traces(spark, SF001)
-    whole = bronze.flatten_traces(bronze.trace_documents(t))
-    docs = bronze.trace_documents(t, max_points=2)
-    sizes = docs.select(F.size(F.variant_get(F.parse_json("raw_json"), "$.trace", "array<variant>")).alias("n"))
-    assert sizes.agg(F.max("n")).first()[0] <= 3 * 2
-    assert docs.count() > bronze.trace_documents(t).count()
-    assert _sorted_rows(bronze.flatten_traces(docs).drop("ingestion_ts")) == \
-        _sorted_rows(whole.drop("ingestion_ts"))
+    whole = bronze.trace_documents(t, slice_minutes=1440)
+    assert whole.count() == t.select("icao", "data_date").distinct().count()
+    fine = bronze.trace_documents(t, slice_minutes=1)
+    assert fine.count() == t.select("icao", F.date_trunc("minute", "event_timestamp")).distinct().count()
+    assert _sorted_rows(bronze.flatten_traces(fine)) == _sorted_rows(bronze.flatten_traces(whole))
     st = fx.states(spark, SF001)
-    payloads = state_payloads(st, poll_seconds=3600, max_states=6)
-    assert payloads.count() > state_payloads(st, poll_seconds=3600).count()
-    assert _sorted_rows(unpack_states(payloads).drop("sensors")) == \
-        _sorted_rows(unpack_states(state_payloads(st, poll_seconds=3600)).drop("sensors"))
-
-
-def test_split_hot_null_keys_summary_and_no_join_when_cold(spark):
-    from aerotrace.operators.skew import PART, split_hot
-    rows = [("a", i) for i in range(20)] + [(None, 100 + i) for i in range(10)] + [("b", 200)]
-    df = spark.createDataFrame(rows, "k string, v long")
-    out = split_hot(df, ["k"], 4, ["v"], summary={"_mx": F.max("v")})
-    assert out.count() == df.count()
-    per = {(r["k"], r[PART]): r["n"] for r in out.groupBy("k", PART).agg(F.count("*").alias("n")).collect()}
-    parts = {}
-    for (k, _), n in per.items():
-        parts[k] = parts.get(k, 0) + 1
-    assert parts["a"] > 1 and parts[None] > 1 and parts["b"] == 1  # null key split like any other
-    mx = {r["k"]: r["m"] for r in out.groupBy("k").agg(F.max("_mx").alias("m")).collect()}
-    assert mx == {"a": 19, None: 109, "b": None}  # whole-group summary on split rows only
-    cold = split_hot(df, ["k"], 1000, ["v"], summary={"_mx": F.max("v")})
-    assert "Join" not in cold._jdf.queryExecution().optimizedPlan().toString()
-    assert cold.where(F.col(PART) != 0).count() == 0 and dict(cold.dtypes)["_mx"] == "bigint"
+    one_part = state_payloads(st, poll_seconds=3600, parts=1)
+    many = state_payloads(st, poll_seconds=3600, parts=7)
+    assert many.count() > one_part.count()
+    assert _sorted_rows(unpack_states(many).drop("sensors")) == _sorted_rows(unpack_states(one_part).drop("sensors"))
+
+
+def test_category_thresholds_are_exact_on_a_million_rows(spark):
+    """Beyond any sketch's capacity the threshold is still the exact order
+    statistic, for a hot category, a small one and one without scores."""
+    n = 1_200_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 1000 == 0, "small").when(F.col("id") % 1000 == 1, None).otherwise("hot").alias("category"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**12)) / 1e9).alias("xgb_anomaly_score"))
+    df = df.unionByName(spark.createDataFrame([("none", None)], "category string, xgb_anomaly_score double"))
+    pdf = df.toPandas()
+    got = {r.category: r.threshold for r in ml.category_thresholds(df).collect()}
+
+    def exact(scores):
+        scores = sorted(scores)
+        return scores[max(1, math.ceil(len(scores) * 0.99)) - 1]
+    scored = pdf.dropna(subset=["xgb_anomaly_score"])
+    groups = scored.assign(category=scored["category"].fillna("")).groupby("category")["xgb_anomaly_score"]
+    want = {k or None: exact(v) for k, v in groups}
+    assert got == want | {"none": exact(scored["xgb_anomaly_score"])}
+
+
+def test_daily_coverage_and_position_types_are_ordered(spark):
+    from aerotrace.operators import panels
+    t = fx.traces(spark, SF001).repartition(7)
+    days = [r.data_date for r in panels.val_daily_coverage(t).collect()]
+    assert days == sorted(days) and len(days) > 3
+    records = [r.records for r in panels.val_position_types(t).collect()]
+    assert records == sorted(records, reverse=True) and len(records) > 3
+
+
+def test_staging_needs_a_shared_folder_off_local():
+    from aerotrace.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_changed_input_builds_the_tables_anew(spark):
+    import shutil
+
+    from aerotrace.plans import catalog
+    d = tempfile.mkdtemp(prefix="aerotrace-test-", dir="/tmp")
+    for name in ("events", "nation"):
+        shutil.copy(os.path.join(SF001, f"{name}.parquet"), d)
+    before = catalog.silver(spark, d).count()
+    events = spark.read.parquet(os.path.join(SF001, "events.parquet"))
+    less = events.where(F.col("user_id") % 2 == 0).toPandas()
+    less.to_parquet(os.path.join(d, "events.parquet"), coerce_timestamps="us")
+    spark.catalog.refreshByPath(os.path.join(d, "events.parquet"))
+    assert 0 < catalog.silver(spark, d).count() < before

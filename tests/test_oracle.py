@@ -28,7 +28,7 @@ def test_query_matches_oracle(spark, duck, name):
     got = queries()[name](spark, SF001).toPandas()
     sql = oracle_sql().get(name)
     if sql is None:
-        assert len(got) >= 0
+        assert list(got.columns)  # queries without SQL have tests of their own
         return
     exp = duck.sql(sql).df()
     c1, r1 = check_oracle.rows_of(got)

@@ -62,19 +62,16 @@ def test_gap_sessions(spark):
 
 
 def test_hot_chunks_split_by_row_count_equal_plain_windows(spark):
-    """Chunks above ``max_chunk_rows`` are cut finer; with a cap of one
-    refined chunk the others keep their width.  Results never change."""
+    """Chunks above ``max_chunk_rows`` are cut finer until all fit, with hot
+    chunks broadcast or joined by shuffle.  Results never change."""
     t = fixtures.traces(spark, SF001)
     expected = _rows(_plain(t))
     for limit in (1, 100_000):
         s = series.Series.of("icao", "event_timestamp", "row_id", chunk_seconds=86400 * 365,
-                             max_chunk_rows=3, hot_chunk_limit=limit)
+                             max_chunk_rows=3, broadcast_chunks=limit)
         d = s.with_chunk(t)
         per_chunk = d.groupBy("icao", series.CHUNK).count()
-        if limit > 1:
-            # two rounds of count-based cuts leave at most a small multiple
-            # of the limit even on this very clustered fixture
-            assert per_chunk.agg(F.max("count")).first()[0] <= 3 * 3
+        assert per_chunk.agg(F.max("count")).first()[0] <= 3
         assert d.count() == t.count()
         filled = series.fill(t, s, forward=COLS, backward=COLS)
         shifted = series.shift(filled, s, lags={"prev_lat": "lat"}, leads={"next_squawk": "squawk"})

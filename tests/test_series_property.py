@@ -28,7 +28,7 @@ def test_chunked_equals_plain(spark, rows, chunk, max_rows, hot_limit):
     data = [(k, base + dt.timedelta(seconds=s), i, v, w) for i, (k, s, v, w) in enumerate(rows)]
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, rid long, v int, w string")
     s = series.Series.of("k", "t", "rid", chunk_seconds=chunk, max_chunk_rows=max_rows,
-                         hot_chunk_limit=hot_limit)
+                         broadcast_chunks=hot_limit)
     got = series.shift(series.fill(df, s, forward=["v", "w"], backward=["v"]), s,
                        lags={"pv": "v"}, leads={"nw": "w"})
     got = got.select("rid", "ffill_v", "ffill_w", "bfill_v", "pv", "nw")
