@@ -95,6 +95,13 @@ def interpolate_short_gap(df: DataFrame, cols: dict[str, float], s: Series | Non
     return filled.select(*out)
 
 
+def gap_session(df: DataFrame, gap_seconds: float, s: Series | None = None) -> DataFrame:
+    """``df`` plus ``session_start``: the first time of the run of reports
+    without a gap of more than ``gap_seconds`` that the row belongs to."""
+    s = s or default_series(tiebreak=[c for c in ("row_id",) if c in df.columns])
+    return series.gap_sessions(df, s, gap_seconds)
+
+
 def ffill_in_session(df: DataFrame, cols: list[str], session_col: str,
                      s: Series | None = None) -> DataFrame:
     """BF11 (documented variant): forward fill within a detected session."""

@@ -9,12 +9,11 @@ and the explode is a generator inside that task (no shuffle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
 from aerotrace.functions.exprs import epoch_micros_ntz, epoch_ntz, json_unbracket, ntz_from_micros
-from aerotrace.operators.skew import PART, split_hot
 
 # --- fixed values: positional slots of a trace point ---
 POINT_SLOTS = {
@@ -97,17 +96,15 @@ def _json_value(c, numeric: bool):
     return json_unbracket(F.to_json(F.array(col)))
 
 
-def trace_documents(flat: DataFrame, max_points: int = 100_000) -> DataFrame:
+def trace_documents(flat: DataFrame, slice_minutes: int = 60) -> DataFrame:
     """Inverse of :func:`flatten_traces`, used to produce raw documents from
     flat observations: one document per (aircraft, day).  Document-level
     fields take the day's maximum; ``alt_baro`` is written as a number when
     numeric and as a string (``"ground"``) otherwise.
 
-    An aircraft-day of more than ``max_points`` reports is written as
-    several documents of about ``max_points / 2`` points each (hashed
-    parts, see :mod:`aerotrace.operators.skew`), each carrying the whole
-    day's header, so no task assembles an unbounded document and flattening
-    them gives the same rows."""
+    Each document holds ``slice_minutes`` of an aircraft-day, whatever the
+    number of reports, and carries the whole day's header; flattening the
+    slices gives the same rows as one document a day would."""
     day_start = F.timestamp_diff("SECOND", epoch_ntz(), F.col("data_date").cast("timestamp_ntz"))
     off = (epoch_micros_ntz("event_timestamp") - day_start * F.lit(1_000_000)) / F.lit(1e6)
     alt = F.when(F.col("alt_baro").try_cast("double").isNotNull(), F.col("alt_baro")) \
@@ -128,16 +125,15 @@ def trace_documents(flat: DataFrame, max_points: int = 100_000) -> DataFrame:
     # header fields: document key -> source column
     header = {"r": "registration", "t": "aircraft_type", "desc": "description", "dbFlags": "db_flags",
               "source_file": "source_file", "ingestion_ts": "ingestion_ts"}
-    salt = ["event_timestamp"] + (["row_id"] if "row_id" in flat.columns else [])
-    parted = split_hot(flat, ["icao", "data_date"], max_points, salt,
-                       summary={f"_day_{k}": F.max(c) for k, c in header.items()})
-    keyed = parted.select("icao", "data_date", PART, *[F.col(c) for c in header.values()],
-                          *[f"_day_{k}" for k in header], "event_timestamp", point.alias("_p"),
-                          day_start.alias("_base"))
-    docs = keyed.groupBy("icao", "data_date", PART).agg(
-        *[F.coalesce(F.max(f"_day_{k}"), F.max(c)).alias(k) for k, c in header.items()],
-        F.first("_base").alias("timestamp"),
+    part = F.floor(epoch_micros_ntz("event_timestamp") / (slice_minutes * 60_000_000))
+    keyed = flat.select("icao", "data_date", part.alias("_part"), *header.values(), "event_timestamp",
+                        point.alias("_p"), day_start.alias("_base"))
+    docs = keyed.groupBy("icao", "data_date", "_part").agg(
+        *[F.max(c).alias(k) for k, c in header.items()], F.first("_base").alias("timestamp"),
         F.array_sort(F.collect_list(F.struct("event_timestamp", "_p"))).alias("_pts"))
+    # the day's header from its slices: at most 24 * 60 / slice_minutes rows a window
+    day = Window.partitionBy("icao", "data_date")
+    docs = docs.withColumns({k: F.max(k).over(day) for k in header})
     docs = docs.withColumn("_h", F.to_json(F.struct("icao", "r", "t", "desc", "dbFlags", "timestamp")))
     body = F.concat_ws(",", F.transform("_pts", lambda x: x["_p"]))
     # header object without its closing brace, then the trace array
@@ -156,11 +152,8 @@ def read_trace_files(spark, path: str, data_date: str, pattern: str = "trace_ful
             .text(path).select("value", F.col("_metadata.file_path").alias("source_file")))
     v = F.try_parse_json("value")
     docs = text.select(v.alias("_v"), "source_file")
-    # strip an outer array: explode it when the document is an array
-    is_arr = F.schema_of_variant("_v").startswith("ARRAY")
-    arr = docs.filter(is_arr).select(F.explode(F.try_variant_get("_v", "$", "array<variant>"))
-                                     .alias("raw_json"), "source_file")
-    single = docs.filter(~is_arr | F.col("_v").isNull()).select(F.col("_v").alias("raw_json"), "source_file")
-    return arr.unionByName(single).select(
+    # an outer array gives its elements, anything else (also a malformed document) itself
+    inner = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.array("_v"))
+    return docs.select(F.explode(inner).alias("raw_json"), "source_file").select(
         "raw_json", "source_file", F.lit(data_date).cast("date").alias("data_date"),
         F.localtimestamp().alias("ingestion_ts"))

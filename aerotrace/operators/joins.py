@@ -27,12 +27,10 @@ def range_lookup(df: DataFrame, ranges: DataFrame, value: str, start="range_star
     Spark has no range-join operator; a bare ``BETWEEN`` condition plans a
     nested-loop join.  Instead both sides get an equi-join key
     ``value >> bucket_bits``: each range is expanded to the buckets it
-    touches (at most #ranges + 2^(24-bucket_bits) rows for a 24-bit space),
-    then a hash join on the bucket is followed by the exact ``BETWEEN``.
-    The expanded side has at most ``#ranges + 2^(24 - bucket_bits)`` rows:
-    the ranges table (a reference table) is counted, and when that bound is
-    within ``max_broadcast_rows`` the expanded ranges are broadcast, so the
-    large side is never shuffled and a hot address cannot make a hot
+    touches, then a hash join on the bucket is followed by the exact
+    ``BETWEEN``.  The expanded rows are counted from the range widths, whatever
+    their space and overlaps: up to ``max_broadcast_rows`` they are broadcast,
+    so the large side is never shuffled and a hot address cannot make a hot
     partition.  Beyond it the join stays a shuffle join on the bucket, where
     AQE splits skewed partitions.
     """
@@ -41,8 +39,9 @@ def range_lookup(df: DataFrame, ranges: DataFrame, value: str, start="range_star
                                                           F.shiftright(F.col(end), b))))
     l = df.withColumn("_bucket", F.shiftright(F.col(value), b))
     cond = ((l["_bucket"] == r["_bucket"]) & (l[value] >= r[start]) & (l[value] <= r[end]))
-    bound = ranges.count() + (1 << max(0, 24 - b))
-    out = l.join(F.broadcast(r) if bound <= max_broadcast_rows else r, cond, "left")
+    width = F.shiftright(F.col(end), b) - F.shiftright(F.col(start), b) + 1
+    expanded = ranges.agg(F.sum(width.cast("long"))).first()[0] or 0
+    out = l.join(F.broadcast(r) if expanded <= max_broadcast_rows else r, cond, "left")
     return out.select(*[l[c] for c in df.columns], *[r[c] for c in ranges.columns])
 
 

@@ -18,13 +18,18 @@ from aerotrace.functions.exprs import epoch_micros_ntz, epoch_seconds_ntz, ntz_f
 
 # --- AG: bronze validation queries -----------------------------------------
 def val_daily_coverage(df: DataFrame) -> DataFrame:  # AG1
-    return (df.groupBy("data_date")
-            .agg(F.count("*").alias("total_rows"),
-                 F.countDistinct("icao").alias("unique_aircraft"),
-                 F.countDistinct("flight").alias("unique_flights"),
-                 F.min("event_timestamp").alias("first_event"),
-                 F.max("event_timestamp").alias("last_event"))
-            .orderBy("data_date"))
+    """Each distinct count goes through its own (date, value) groups, reduced
+    before the shuffle, instead of an expansion of every row; the small
+    per-date results are joined."""
+    def distinct(value, name):
+        return (df.groupBy("data_date", value).agg(F.lit(1)).groupBy("data_date")
+                .agg(F.count(value).alias(name)).withColumnRenamed("data_date", f"_{name}"))
+    days = df.groupBy("data_date").agg(F.count("*").alias("total_rows"), F.min("event_timestamp").alias("first_event"),
+                                       F.max("event_timestamp").alias("last_event"))
+    for value, name in (("icao", "unique_aircraft"), ("flight", "unique_flights")):
+        counts = distinct(value, name)
+        days = days.join(counts, days["data_date"].eqNullSafe(counts[f"_{name}"])).drop(f"_{name}")
+    return days.select("data_date", "total_rows", "unique_aircraft", "unique_flights", "first_event", "last_event").orderBy("data_date")
 
 
 def val_missing_counts(df: DataFrame) -> DataFrame:  # AG2

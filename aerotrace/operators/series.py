@@ -27,14 +27,10 @@ narrower chunks make the summary as large as the data on sparse series
 
 A (key, day) that is hot anyway -- a burst, a replayed feed, a key holding
 a third of the table -- is split further by row count: a map-side-combined
-count per (key, chunk) finds the chunks above ``max_chunk_rows`` and each
-gets a width of ``chunk / ceil(2 * rows / max_chunk_rows)`` (at least 1 us);
-a second round re-cuts pieces that are still hot.
-A chunk id is the chunk's start in epoch microseconds, so day chunks and
-their finer sub-chunks interleave in time order within one key.  Only the
-``hot_chunk_limit`` largest hot chunks are refined (a broadcast of at most
-that many rows); any further hot chunk keeps its day width, which changes
-task sizes but never results.
+count per (key, chunk) finds the chunks above ``max_chunk_rows`` and each is
+cut into finer pieces, round by round, until every chunk fits or is one
+microsecond wide.  Chunk ids are chunk starts in epoch microseconds, so
+chunks of different widths interleave in time order.
 """
 
 from __future__ import annotations
@@ -52,6 +48,9 @@ CHUNK = "_chunk"
 POS = "_pos"  # -1 carry-in from the past, 0 real row, +1 carry-in from the future
 
 
+FINER = 64  # least number of pieces of a hot chunk, so a day is cut to microseconds in 6 rounds
+
+
 @dataclass(frozen=True)
 class Series:
     """How rows of one time series are keyed and ordered."""
@@ -61,20 +60,19 @@ class Series:
     tiebreak: tuple[str, ...] = field(default_factory=tuple)
     chunk_seconds: int = 86400
     max_chunk_rows: int | None = 2_000_000
-    hot_chunk_limit: int = 100_000
-    refine_rounds: int = 2
+    broadcast_chunks: int = 100_000
 
     @staticmethod
     def of(key, time, tiebreak=(), chunk_seconds=86400, max_chunk_rows=2_000_000,
-           hot_chunk_limit=100_000, refine_rounds=2) -> "Series":
+           broadcast_chunks=100_000) -> "Series":
         key = (key,) if isinstance(key, str) else tuple(key)
         tiebreak = (tiebreak,) if isinstance(tiebreak, str) else tuple(tiebreak)
-        return Series(key, time, tiebreak, chunk_seconds, max_chunk_rows, hot_chunk_limit, refine_rounds)
+        return Series(key, time, tiebreak, chunk_seconds, max_chunk_rows, broadcast_chunks)
 
     def rekey(self, key) -> "Series":
         key = (key,) if isinstance(key, str) else tuple(key)
         return Series(key, self.time, self.tiebreak, self.chunk_seconds, self.max_chunk_rows,
-                      self.hot_chunk_limit, self.refine_rounds)
+                      self.broadcast_chunks)
 
     @property
     def order(self) -> list[str]:
@@ -102,12 +100,11 @@ class Series:
 
         Each refinement round counts rows per (key, chunk) (partial
         aggregation; one small row per chunk) and re-cuts the chunks above
-        ``max_chunk_rows`` into pieces of ``width / ceil(2 * rows / max)``;
-        the second round catches bursts inside a piece of the first.  The
-        table of hot chunks is computed once per round and staged (a few
-        rows under the shared checkpoint folder), so the row pass and the
-        summary of the scan read it instead of each re-counting; a round
-        that finds none ends the refinement and adds nothing to the plan.
+        ``max_chunk_rows`` into ``ceil(2 * rows / max)`` pieces, 64 at least;
+        later rounds catch bursts inside a piece, until every chunk fits or is
+        one microsecond wide.  The table of hot chunks is computed once per
+        round and staged under the shared checkpoint folder; it is broadcast
+        up to ``broadcast_chunks`` rows and joined by shuffle beyond.
         A frame that already has the column (chained scans) is returned as
         is, so one assignment serves every scan of the chain."""
         if CHUNK in df.columns:
@@ -117,21 +114,23 @@ class Series:
                             "_cw": F.lit(self.chunk_seconds * 1_000_000).cast("long")})
         if self.max_chunk_rows:
             hk = [f"_hk{i}" for i in range(len(self.chunk_keys))]
-            for _ in range(self.refine_rounds):
+            while True:
                 hot = stage_table(
                     d.groupBy(*self.chunk_keys)
                     .agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
-                    .where(F.col("_n") > F.lit(self.max_chunk_rows))
-                    .orderBy(F.desc("_n")).limit(self.hot_chunk_limit)
+                    .where((F.col("_n") > F.lit(self.max_chunk_rows)) & (F.col("_w") > 1)
+                           & F.col(CHUNK).isNotNull())
                     .selectExpr(*[f"{q(k)} AS {h}" for k, h in zip(self.chunk_keys, hk)],
-                                f"greatest(1L, floor(_w / ceil(_n * 2 / {int(self.max_chunk_rows)}))) AS _hw"),
+                                f"greatest(1L, floor(_w / greatest({FINER}L, ceil(_n * 2 / {int(self.max_chunk_rows)})))) AS _hw"),
                     "hot-chunks")
-                if hot.isEmpty():
+                n_hot = hot.count()
+                if not n_hot:
                     break
+                small = n_hot <= self.broadcast_chunks
                 on = [d[k].eqNullSafe(hot[h]) for k, h in zip(self.chunk_keys, hk)]
                 fine = F.col(CHUNK) + F.floor((micros - F.col(CHUNK)) / F.col("_hw")).cast("long") * F.col("_hw")
                 refined = F.col("_hw").isNotNull()
-                d = (d.join(F.broadcast(hot), on, "left")
+                d = (d.join(F.broadcast(hot) if small else hot, on, "left")
                      .withColumns({CHUNK: F.when(refined, fine).otherwise(F.col(CHUNK)),
                                    "_cw": F.when(refined, F.col("_hw")).otherwise(F.col("_cw"))})
                      .drop(*hk, "_hw"))

@@ -2,11 +2,8 @@
 
 Dimensions are ``select -> distinct`` (a partial aggregate, so map tasks
 drop repeats before the shuffle).  The fact is a pure projection of the
-enriched table.  The star join broadcasts only dimensions whose size is
-bounded by their domain (dates, minutes of the day, 4-digit octal squawks,
-the emergency vocabulary, trace-flag combinations); aircraft and flight
-dimensions grow with the data and are joined by shuffle, leaving AQE to
-switch to a broadcast at run time when the measured size allows it.
+enriched table.  The star join broadcasts the dimensions that
+are counted to be small and joins the others by shuffle.
 """
 
 from __future__ import annotations
@@ -14,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerotrace.functions.exprs import surrogate_key
+from aerotrace.functions.exprs import identity_key, surrogate_key
+from aerotrace.session import stage_table
 
 KEYS = {
     "aircraft_key": ["icao", "registration", "aircraft_type"],
@@ -39,11 +37,7 @@ DIMENSIONS = {
                                             "signal_integrity_class"]),
 }
 
-# Dimensions whose unique-key row count is bounded by a fixed domain, not by
-# data volume: calendar days, 1440 minutes of a day, 4096 validated octal
-# squawks (+ null), the 10-value emergency vocabulary x 2.  Trace flags are
-# an integer column in the raw feed, so that dimension is left to the planner.
-BOUNDED = {"dim_date", "dim_time", "dim_squawk", "dim_emergency"}
+BROADCAST_ROWS = 100_000  # a dimension of up to this many rows is broadcast
 
 MEASURES = ["event_timestamp", "lat", "lon", "resolved_altitude", "ground_speed",
             "resolved_vert_rate", "track", "climb_state", "is_on_ground", "ingestion_lag_seconds"]
@@ -70,7 +64,7 @@ def unique_dimension(df: DataFrame, name: str, latest=("event_timestamp", "row_i
 
 
 def fact(df: DataFrame) -> DataFrame:
-    return df.select(surrogate_key("icao", "event_timestamp").alias("trace_key"),
+    return df.select(identity_key("icao", "event_timestamp").alias("trace_key"),
                      *[key_expr(k) for k in KEYS], *MEASURES)
 
 
@@ -83,10 +77,15 @@ def build_star(df: DataFrame) -> dict[str, DataFrame]:
 
 
 def star_join(df: DataFrame) -> DataFrame:
-    """ST9: the fact joined to every dimension, as the BI model reads it."""
+    """ST9: the fact joined to every dimension, as the BI model reads it.
+
+    Each dimension is stored once and counted.  Up to ``BROADCAST_ROWS`` it is
+    broadcast, so the fact is read once and not shuffled for it; a larger one
+    is joined by shuffle between two stored tables, where AQE can split the
+    partition of a hot key (the missing callsign, for one)."""
     f = fact(df)
     for name, (key, attrs) in DIMENSIONS.items():
         d = unique_dimension(df, name)
-        d = d.drop(*[a for a in attrs if a in f.columns])
-        f = f.join(F.broadcast(d) if name in BOUNDED else d, key, "left")
+        d = stage_table(d.drop(*[a for a in attrs if a in f.columns]), name)
+        f = f.join(F.broadcast(d) if d.count() <= BROADCAST_ROWS else d, key, "left")
     return f

@@ -72,7 +72,7 @@ SELECT
   CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 11 = 1 END AS on_ground,
   CASE WHEN event_id % 8 = 0 THEN NULL ELSE value END AS velocity,
   CAST((event_id * 29) % 360 AS DOUBLE) AS true_track,
-  CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST((event_id * 5) % 80 AS DOUBLE) / 2 - 20 END AS vertical_rate,
+  CASE WHEN event_id % 10 = 0 THEN NULL ELSE CAST((event_id * 5) % 80 AS DOUBLE) * 0.75 - 30 END AS vertical_rate,
   CASE WHEN event_id % 6 = 0 THEN NULL ELSE CAST((event_id * 59) % 13500 AS DOUBLE) END AS geo_altitude,
   CASE WHEN event_id % 4 = 0 THEN NULL ELSE '1200' END AS squawk,
   CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id % 3 = 1 END AS spi,
@@ -112,12 +112,23 @@ FROM {traces} WHERE row_id % 3 = 0
 """
 
 
+def version(spark: SparkSession, base: str) -> tuple:
+    """Paths, sizes and times of the event files, to notice changed input."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    out = []
+    for name in sorted(spark.read.parquet(f"{base.rstrip('/')}/events.parquet").inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(out)
+
+
 def traces(spark: SparkSession, base: str) -> DataFrame:
-    return spark.sql(TRACES_SQL, events=read_table(spark, base, "events", spread=True))
+    return spark.sql(TRACES_SQL, events=read_table(spark, base, "events"))
 
 
 def states(spark: SparkSession, base: str) -> DataFrame:
-    return spark.sql(STATES_SQL, events=read_table(spark, base, "events", spread=True))
+    return spark.sql(STATES_SQL, events=read_table(spark, base, "events"))
 
 
 def ranges(spark: SparkSession, base: str) -> DataFrame:

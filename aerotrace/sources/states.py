@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerotrace.functions.exprs import json_unbracket
-from aerotrace.operators.skew import PART, split_hot
 
 STATE_SCHEMA = T.StructType([
     T.StructField("icao24", T.StringType()),
@@ -68,14 +67,12 @@ def _json_scalar(c: str, dtype: T.DataType):
 
 
 def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int = 89,
-                   max_states: int = 10_000) -> DataFrame:
+                   parts: int = 4) -> DataFrame:
     """Build poll responses ``{"time": t, "states": [[...18 slots...], ...]}``
     from flat state records, one payload per poll interval.  Every
     ``short_every``-th record (by ``row_id``) is sent as a 15-slot array, as
-    older responses do.  A poll with more than ``max_states`` records is
-    sent as several payloads of about ``max_states / 2`` records (hashed
-    parts, see :mod:`aerotrace.operators.skew`), so no payload grows with a
-    busy interval."""
+    older responses do.  A poll is always sent as ``parts`` payloads, by a
+    hash of the record, whatever its size."""
     dtypes = {f.name: f.dataType for f in STATE_SCHEMA.fields}
     slots = [_json_scalar(c, dtypes[c]) if c in states.columns else F.lit("null") for c in STATE_FIELDS]
     full = F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]"))
@@ -84,9 +81,9 @@ def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int =
         if "row_id" in states.columns else full
     poll = (F.col("time_position") / poll_seconds).cast("long") * poll_seconds
     salt = ["row_id"] if "row_id" in states.columns else ["icao24", "time_position", "last_contact"]
-    parted = split_hot(states.withColumn("_poll", poll), ["_poll"], max_states, salt)
-    return (parted.select(F.col("_poll").alias("time"), PART, arr.alias("s"))
-            .groupBy("time", PART)
+    part = F.pmod(F.xxhash64(*salt), F.lit(parts))
+    return (states.select(poll.alias("time"), part.alias("_part"), arr.alias("s"))
+            .groupBy("time", "_part")
             .agg(F.concat(F.lit('{"time":'), F.col("time").cast("string"), F.lit(',"states":['),
                           F.concat_ws(",", F.collect_list("s")), F.lit("]}")).alias("payload"))
             .select("time", "payload"))

@@ -5,22 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, base: str, name: str, spread: bool = False) -> DataFrame:
-    """Scan one Parquet table; projections/filters applied later are pushed
-    into the scan by Catalyst (ReadSchema / PushedFilters).
+#: Session setting: number of partitions for scans that feed heavy row-wise
+#: work.  Set it when the files are too few for the cores; unset, a scan keeps
+#: the splits of its files.
+SCAN_PARTITIONS = "aerotrace.scan.partitions"
+
 
-    ``spread=True`` is for inputs that feed heavy row-wise work before the
-    first shuffle: when the scan yields fewer splits than the cluster has
-    cores (a small file with one row group), it is repartitioned round-robin
-    over ``defaultParallelism`` so that work is not a single task.  A large
-    table already has more splits than cores and is left as is."""
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Scan one Parquet table; projections/filters applied later are pushed
+    into the scan by Catalyst (ReadSchema / PushedFilters)."""
     df = spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 -- sessions without an RDD view: scan as is
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
+    partitions = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df

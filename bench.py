@@ -34,7 +34,7 @@ def main() -> None:
     from aerotrace.session import get_spark
 
     spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-                      app_name="aerotrace-bench", extra={"spark.driver.memory": "16g"})
+                      app_name="aerotrace-bench", extra={"spark.driver.memory": "16g", "aerotrace.scan.partitions": cpus})
     # warm-up: JVM, codegen caches, file listing
     QUERIES["scan_table"](spark, base).write.format("noop").mode("overwrite").save()
     times = {}
