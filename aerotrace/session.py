@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import importlib.util
 import os
 import shutil
 import tempfile
@@ -93,3 +94,21 @@ def drop_staged(*tables: DataFrame) -> None:
         jvm, conf = table.sparkSession._jvm, table.sparkSession._jsparkSession.sessionState().newHadoopConf()
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers if they cannot import
+    it: where the repository is not on their path (a notebook, a remote
+    cluster), it is zipped and added to the application once."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    name = __package__.split(".")[0]
+    if not all(sc.parallelize([name], 1).map(importlib.util.find_spec).map(bool).collect()):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix=f"{name}-code-")
+        sc.addPyFile(shutil.make_archive(os.path.join(folder, name), "zip", root, name))
+    _shipped.add(sc.applicationId)
