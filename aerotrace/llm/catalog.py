@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerotrace.llm import chat, decontam, license_scan, minhash, mixing, quality, secrets, substrings, tokens
+from aerotrace.llm import chat, decontam, license_scan, minhash, mixing, oracles, quality, secrets, substrings, tokens
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_minhash_dedup": oracles.OP1_SQL,
+    "op10_quality_rules": oracles.OP10_SQL,
     "op3_secret_scan": secrets.OP3_SQL,
     "op4_chat_formatting": chat.OP4_SQL,
     "op7_source_mixing": mixing.OP7_SQL,
