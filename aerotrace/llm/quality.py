@@ -82,8 +82,8 @@ def repeated_words(words: Column) -> Column:
         let(F.length(F.bin(n)), lambda width: counted(n, width)))
 
 
-def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` plus one struct column ``_m`` with the counts of each text."""
+def measures(text: Column) -> Column:
+    """Counts of a text, as one struct."""
 
     def counts(text, word):
         lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE)) != "")
@@ -98,13 +98,11 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.size(F.filter(word, lambda w: w.rlike("\\p{L}"))).alias("lettered"),
             F.size(F.filter(word, lambda w: (F.upper(w) == w) & (F.lower(w) != w))).alias("upper"))
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumn("_m", let(text, lambda t: let(words(t), lambda w: counts(t, w))))
+    return let(F.coalesce(text, F.lit("")), lambda t: let(words(t), lambda w: counts(t, w)))
 
 
-def verdict(rules=RULES, least_words: int = 50, most_repeated: float = 0.5) -> tuple[Column, Column]:
-    """(base_failed, names of the failed rules) over the ``_m`` column."""
-    m = F.col("_m")
+def verdict(m: Column, rules=RULES, least_words: int = 50, most_repeated: float = 0.5) -> tuple[Column, Column]:
+    """(base_failed, names of the failed rules) from the counts of a text."""
     n = F.nullif(m["n_words"], F.lit(0))
     value = {
         "mean_word_chars": m["word_chars"] / n,
@@ -134,9 +132,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **l
     columns of ``docs`` are ignored.
     """
     m = F.col("_m")
-    base, failed = verdict(**limits)
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return measures(source, "_text").select(
+    base, failed = verdict(m, **limits)
+    return docs.select(F.col(id_col).alias("_id"), measures(F.col(text_col)).alias("_m")).select(
         F.col("_id").alias(id_col), m["n_words"].alias("n_words"), m["word_chars"].alias("word_chars"),
         m["n_symbols"].alias("n_symbols"), m["lines"]["dup"].alias("n_dup_lines"),
         m["n_repeat_words"].alias("n_repeat_words"), base.alias("base_failed"),
@@ -144,9 +141,13 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **l
 
 
 def passing(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
-    """The rows of ``docs`` that ``quality`` keeps, with all their columns."""
-    base, failed = verdict(**limits)
-    return measures(docs, text_col).where(~base & (F.size(failed) == 0)).select(*docs.columns)
+    """The rows of ``docs`` that ``quality`` keeps, with all their columns.
+    The counts are bound once inside the condition, so that a filter, which
+    Catalyst moves below projections, does not compute them per rule."""
+    def good(m):
+        base, failed = verdict(m, **limits)
+        return ~base & (F.size(failed) == 0)
+    return docs.where(let(measures(F.col(text_col)), good))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
