@@ -48,8 +48,9 @@ LAYOUTS = (
     Layout("instruction", ("instruction", "output"), ("system", "input"),
            (("system", "system"), ("user", "instruction"), ("user+", "input"), ("assistant", "output"))),
 )
-#: Names that layouts use for roles, and the canonical ones.
-ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+#: Names of roles in the conversations layout, and the canonical ones; the
+#: other layouts already name roles canonically and keep them as they are.
+ROLES = {"conversations": {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}}
 
 
 def _known_paths(layouts) -> list[str]:
@@ -89,9 +90,9 @@ def layout_of(record: Column, layouts=LAYOUTS) -> Column:
         F.map_entries(table), lambda e: e["key"] == h), F.lit(0))["value"])
 
 
-def _role(name: Column) -> Column:
+def _role(name: Column, layout: str) -> Column:
     out = F.coalesce(name, F.lit(""))
-    for old, new in ROLES.items():
+    for old, new in ROLES.get(layout, {}).items():
         out = F.when(name == old, new).otherwise(out)
     return out
 
@@ -103,12 +104,12 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     record = F.col("record")
     turns = F.array().cast(_TURNS)
 
-    def turn(role, text):
-        return F.struct(_role(role).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
+    def turn(role, text, layout=""):
+        return F.struct(_role(role, layout).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
     def listed(path, role, text):
         """Turns of a list of messages (or of the record itself)."""
-        one = lambda m: turn(m[role], m[text])
+        one = lambda m: turn(m[role], m[text], path)
         if path:
             kind = f"array<struct<`{role}`:string,`{text}`:string>>"
             return F.transform(F.from_json(F.get_json_object(record, f"$.{path}"), kind), one)
@@ -245,8 +246,7 @@ def _escaped_sql(expr: str) -> str:
 
 OP4_SQL = f"""
 WITH t AS (
-  SELECT conv_id, turn, coalesce(CASE role WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant'
-         WHEN 'model' THEN 'assistant' ELSE role END, '') AS role, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}')
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
