@@ -14,8 +14,9 @@ The suffix-array method of bucket-pointer refinement, spread over Spark:
    string of a larger id is marked, and a document loses the bytes that marked
    strings cover.
 
-Positions travel in packed arrays, one row per task slice and group of
-buckets.  A slice sends one position per bucket (and per equal surrounding) at
+Exact copies count as one text, that of their smallest id; the other copies
+repeat it whole.  Positions travel in packed arrays, one row per task slice and
+group of buckets.  A slice sends one position per bucket (and per equal surrounding) at
 most, and settles its other copies itself, so a bucket that a third of the
 documents share costs its group one row entry per slice.
 """
@@ -32,12 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerotrace.llm.textops import U64, prefix_hash, span_hash, text_buffer, text_slices
-from aerotrace.session import drop_staged, stage_table
+from aerotrace.session import stage_table
 
 LENGTH = 50
 GRAM = 20
 SLICE_BYTES = 2 << 20
-GROUP_BYTES = 8 << 20  # text bytes per group of buckets, which sets the number of groups
+GROUP_BYTES = 3 << 20  # text bytes per group of buckets, which sets the number of groups
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -92,9 +93,11 @@ def _anchors(docs: DataFrame, groups: int, length: int, gram: int) -> DataFrame:
                 piece = batch.slice(start, end - start)
                 key = np.asarray(piece.column("row"))
                 data, offsets = text_buffer(piece.column("text"))
-                text, _, _, bucket = anchor_runs(data, offsets, length, gram)
+                owner, _, _, bucket = anchor_runs(data, offsets, length, gram)
                 grp, number = _split(bucket, groups)
                 whole = (grp.astype(U64) << U64(32)) | number.astype(U64)
+                text = np.unique(key, return_index=True, return_inverse=True)
+                text = text[1][text[2]][owner]  # exact copies in the slice are one document
                 order = np.lexsort((text, whole))
                 whole, text = whole[order], text[order]
                 new = np.ones(len(whole), dtype=bool)
@@ -140,8 +143,11 @@ def _repeated(anchors: DataFrame) -> DataFrame:
             numbers.append(np.frombuffer(n, "<u4"))
         row, number = np.concatenate(rows), np.concatenate(numbers)
         if grp >= 0:
-            order = np.argsort(number, kind="stable")
+            order = np.lexsort((row, number))
             row, number = row[order], number[order]
+            new = np.ones(len(number), dtype=bool)
+            new[1:] = (number[1:] != number[:-1]) | (row[1:] != row[:-1])
+            row, number = row[new], number[new]
             same = np.zeros(len(number), dtype=bool)
             same[1:] = number[1:] == number[:-1]
             same[:-1] |= number[1:] == number[:-1]
@@ -284,21 +290,36 @@ def cut_text(raw: bytes, ranges: np.ndarray) -> bytes:
 
 def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                     gram: int = GRAM) -> DataFrame:
-    """``docs(id, text)`` with the ranges to remove: (id, text, ranges), where
-    ranges is a list of packed (begin, end) byte pairs, null if there is none."""
+    """``docs`` with what to remove: (id, text, copy, ranges).  ``copy`` marks a
+    copy of a text with a smaller id; ranges is a list of packed (begin, end)
+    byte pairs, null if there is none.
+
+    ``row`` names a text and ``place`` a text with its id, both by 64-bit
+    hashes.  Texts are exchanged by place, so copies spread, and this one
+    exchange serves both the surroundings and the result.
+    """
     if not 2 * gram < length <= 3 * gram:
         raise ValueError("the string length must be over two grams and at most three")
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn(
-        "row", F.when(F.col("id").isNotNull(), F.xxhash64("id", "text")))
-    usable = source.where(F.col("id").isNotNull() & (F.octet_length("text") >= length))
-    total = usable.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0
-    groups = 1 << max(6, math.ceil(math.log2(max(1, total / GROUP_BYTES))))
-    repeated = stage_table(_repeated(_anchors(usable.select("row", "text"), groups, length, gram)), "substring-anchors")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumns(
+        {"row": F.xxhash64("text"), "place": F.xxhash64("id", "text")})
+    fits = F.col("id").isNotNull() & (F.octet_length("text") >= length)
+    names = stage_table(source.where(fits).select("id", "row", "place", F.octet_length("text").cast("long").alias("size"))
+                        .distinct(), "substring-names")
+    total = names.agg(F.sum("size")).first()[0] or 0
+    groups = max(64, math.ceil(total / GROUP_BYTES))
+    firsts = stage_table(names.groupBy("row").agg(F.min("id").alias("first")), "substring-firsts")
+    names = stage_table(names.join(firsts, "row").select("row", "place", (F.col("id") > F.col("first")).alias("copy")), "substring-places")
+    first_places = names.where("NOT copy").select("row", "place")
+
+    repeated = stage_table(_repeated(_anchors(source.where(fits).select("row", "text"), groups, length, gram)), "substring-anchors")
     known = repeated.groupBy("row").agg(F.collect_list(F.struct("grp", "numbers")).alias("known"))
-    ranges = stage_table(_ranges(_surroundings(usable.join(known, "row"), groups, length, gram), length, gram), "substring-ranges")
-    drop_staged(repeated)
-    per_row = ranges.groupBy("row").agg(F.collect_list("ranges").alias("ranges"))
-    return source.join(per_row, "row", "left").select("id", "text", "ranges")
+    known = known.join(first_places, "row").select("place", "known")
+    texts = source.select("id", "text", "place")
+    around = texts.join(known, "place").select("id", F.col("place").alias("row"), "text", "known")
+    ranges = _ranges(_surroundings(around, groups, length, gram), length, gram)
+    ranges = ranges.groupBy(F.col("row").alias("place")).agg(F.collect_list("ranges").alias("ranges"), F.lit(False).alias("copy"))
+    copies = names.where("copy").select("place", F.lit(None).cast("array<binary>").alias("ranges"), F.lit(True).alias("copy"))
+    return texts.join(ranges.unionByName(copies), "place", "left").select("id", "text", "copy", "ranges")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
@@ -317,11 +338,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def run(batches):
         for batch in batches:
-            cells = batch.column("ranges").to_pylist()
+            cells, copies = batch.column("ranges").to_pylist(), batch.column("copy").to_pylist()
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             out = []
-            for raw, parts in zip(texts, cells):
-                raw = raw or b""
+            for raw, parts, copy in zip(texts, cells, copies):
+                parts = [np.array([0, len(raw)], "<i4").tobytes()] if copy else parts
                 pairs = np.frombuffer(b"".join(parts or ()), "<i4").reshape(-1, 2).astype(np.int64)
                 merged = merge_ranges(pairs)
                 kept = cut_text(raw, merged)
