@@ -34,9 +34,10 @@ from aerotrace.session import drop_staged, stage_table
 #: Signature length and rows per band.  A pair of similarity 0.8 shares no
 #: band with probability (1 - 0.8^4)^24 < 4e-6.
 SIZE, ROWS = 96, 4
-#: Pairs of similarity >= 0.8 agree on fewer signature positions than this
-#: share with probability < 1e-6 (expected share 0.8, 96 positions).
-LEAST_AGREEMENT = 0.58
+#: The last round compares longer signatures first.  A pair of similarity 0.8
+#: agrees on 0.8 of them on average, with deviation 0.018 at most; it falls
+#: below the least share with probability < 2e-5.
+LONG_SIZE, LEAST_AGREEMENT = 512, 0.725
 
 
 def super_minhash(values: np.ndarray, offsets: np.ndarray, m: int = SIZE) -> np.ndarray:
@@ -78,12 +79,12 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-SIGNATURE_SCHEMA = "id long, n_shingles long, key1 long, key2 long, bands array<long>, signature binary"
+SIGNATURE_SCHEMA = "id long, n_shingles long, key1 long, key2 long, bands array<long>"
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, m: int = SIZE, rows: int = ROWS) -> DataFrame:
-    """One row per document: set size, 128-bit key of the word sequence, band
-    hashes (empty without words) and the signature at one byte a position."""
+    """One row per document: set size, 128-bit key of the word sequence and
+    band hashes (empty without words)."""
 
     def run(batches):
         for batch in batches:
@@ -101,7 +102,6 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, m: int = SIZ
                 sets, set_offsets = distinct_sorted(shingle, offsets)
                 sig = super_minhash(sets, set_offsets, m)
                 bits = mix64(sig.view(U64).reshape(len(sig), m))
-                small = (bits >> U64(56)).astype(np.uint8)
                 has = words.counts > 0
                 n_bands = m // rows
                 band = np.zeros((len(sig), n_bands), dtype=U64)
@@ -112,8 +112,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, m: int = SIZ
                     pa.array(np.concatenate([[0], np.cumsum(np.where(has, n_bands, 0))]).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([
                     part.column("id"), pa.array(np.diff(set_offsets)), pa.array(_signed(keys[0])),
-                    pa.array(_signed(keys[1])), lists, pa.array([s.tobytes() for s in small], pa.binary())],
-                    names=["id", "n_shingles", "key1", "key2", "bands", "signature"])
+                    pa.array(_signed(keys[1])), lists], names=["id", "n_shingles", "key1", "key2", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, SIGNATURE_SCHEMA)
@@ -135,6 +134,28 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
+def long_signatures(sets: DataFrame, m: int = LONG_SIZE) -> DataFrame:
+    """``sets(id, shingles)`` -> ``(id, signature)``, one byte a position."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("shingles")
+            offsets = np.asarray(lists.offsets).astype(np.int64)
+            start = 0
+            while start < len(lists):
+                end = int(np.searchsorted(offsets, offsets[start] + (1 << 16), side="right")) - 1
+                end = min(max(end, start + 1), len(lists))
+                values = np.asarray(lists.values)[offsets[start]:offsets[end]].view(U64)
+                bits = mix64(super_minhash(values, offsets[start:end + 1] - offsets[start], m).view(U64))
+                small = (bits >> U64(56)).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(start, end - start), pa.array([x.tobytes() for x in small], pa.binary())],
+                    names=["id", "signature"])
+                start = end
+
+    return sets.mapInArrow(run, "id long, signature binary")
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets have 100 * shared >= percent * union."""
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -147,31 +168,42 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
     """Pairs ``(a, b)`` of one bucket that lie in different components and
-    agree on enough signature positions.  ``members``: bucket, id, component,
-    signature, minor (true outside the bucket's largest component).  A bucket
-    is cut into blocks by a hash of the id; every block of minor members meets
-    every block of the bucket, so a task holds two blocks at most, and members
-    of the largest component never meet each other."""
+    agree on enough signature positions.  ``members``: bucket, band, id,
+    component, signature, minor (true outside the bucket's largest component),
+    all (the id's buckets with their bands).  A bucket is cut into blocks by a
+    hash of the id; every block of minor members meets every block of the
+    bucket, so a task holds two blocks at most, and members of the largest
+    component never meet each other.  A pair that shares several buckets comes
+    out of the first of them only."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("minor").cast("long")).alias("n_minor"))
     split = members.join(sizes, "bucket").select(
         "*", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
         F.ceil(F.col("n_minor") / block).cast("int").alias("minor_blocks"))
     of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    left = split.where("minor").select("bucket", "id", "component", "signature", of("minor_blocks").alias("i"),
+    columns = ["bucket", "band", "id", "component", "minor", "signature", "all"]
+    left = split.where("minor").select(*columns, of("minor_blocks").alias("i"),
                                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("own"))
-    right = split.select("bucket", "id", "component", "signature",
-                         F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("i"), of("blocks").alias("j"),
+    right = split.select(*columns, F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("i"), of("blocks").alias("j"),
                          F.lit(False).alias("own"))
 
     def meet(table: pa.Table) -> pa.Table:
         own = np.asarray(table.column("own"))
         ids, comp = np.asarray(table.column("id")), np.asarray(table.column("component"))
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
+        lists = table.column("all").combine_chunks()
+        flat, ends = lists.flatten(), np.asarray(lists.offsets)
+        row = np.repeat(np.arange(len(ids)), np.diff(ends))
+        bands = np.asarray(flat.field("band"))
+        held = np.zeros((len(ids), int(bands.max()) + 1), dtype=np.int64)
+        held[row, bands] = np.asarray(flat.field("bucket"))
+        here, minor = table.column("band")[0].as_py(), np.asarray(table.column("minor"))
         rest = np.flatnonzero(~own)
         out_a, out_b = [], []
         for x in np.flatnonzero(own):
             agree = (sig[rest] == sig[x]).sum(axis=1)
             hit = rest[(agree >= LEAST_AGREEMENT * sig.shape[1]) & (comp[rest] != comp[x])]
+            earlier = (held[hit, :here] == held[x, :here]) & (held[x, :here] != 0)
+            hit = hit[~earlier.any(axis=1) & (~minor[hit] | (ids[hit] > ids[x]))]
             out_a.append(np.minimum(ids[hit], ids[x]))
             out_b.append(np.maximum(ids[hit], ids[x]))
         cat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
@@ -201,10 +233,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage_table(words.groupBy("key1", "key2").agg(F.min("id").alias("rep")), "minhash-classes")
     reps = (words.join(classes.withColumnRenamed("rep", "id"), ["key1", "key2", "id"])
             .dropDuplicates(["key1", "key2"]))
-    reps = stage_table(reps.select("id", "bands", "signature"), "minhash-reps")
+    reps = stage_table(reps.select("id", "bands"), "minhash-reps")
 
     exploded = reps.select("id", F.posexplode("bands").alias("band", "value")).select(
-        "id", F.xxhash64("band", "value").alias("bucket"))
+        "id", "band", F.xxhash64("band", "value").alias("bucket"))
     buckets = stage_table(exploded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
                           .where("pivot < last").select("bucket", "pivot"), "minhash-buckets")
     members = stage_table(exploded.join(buckets, "bucket"), "minhash-members")
@@ -226,16 +258,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     drop_staged(links, component)
     links, component = more, connected_components(more)
 
-    member = labelled(members.select("bucket", "id"), "id", "component", component)
-    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"))
-    top = stage_table(top.where("parts > 1").select("bucket", F.col("top.component").alias("main")), "minhash-open")
-    open_members = member.join(top, "bucket").join(reps.select("id", "signature"), "id").select(
-        "bucket", "id", "component", "signature", (F.col("component") != F.col("main")).alias("minor"))
-    open_members = stage_table(open_members, "minhash-open-members")
-    pairs = stage_table(_block_pairs(open_members), "minhash-pairs")
+    member = labelled(members.select("bucket", "band", "id"), "id", "component", component)
+    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id") % (1 << 40)).alias("mark"))
+    top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"),
+                                      F.sum("n").alias("n"), F.sum("mark").alias("mark")).where("parts > 1")
+    # buckets with the same members are looked at once
+    top = stage_table(top.groupBy("n", "mark").agg(F.min(F.struct("bucket", "top.component")).alias("one"))
+                      .select("one.bucket", F.col("one.component").alias("main")), "minhash-open")
+    open_members = stage_table(member.join(top, "bucket").select(
+        "bucket", "band", "id", "component", (F.col("component") != F.col("main")).alias("minor")), "minhash-open-members")
+    lists = open_members.groupBy("id").agg(F.collect_list(F.struct("band", "bucket")).alias("all"))
+    long = stage_table(long_signatures(sets.join(open_members.select("id").distinct(), "id", "left_semi")), "minhash-long")
+    pairs = stage_table(_block_pairs(open_members.join(long, "id").join(lists, "id")), "minhash-pairs")
     more = stage_table(_confirm(pairs, sets, percent).unionByName(links), "minhash-links")
-    drop_staged(links, component, top, open_members, pairs, sets, members, buckets, reps)
+    drop_staged(links, component, top, open_members, long, pairs, sets, members, buckets, reps)
     component = connected_components(more)
 
     of_class = labelled(classes, "rep", "component_id", component)
