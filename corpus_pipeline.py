@@ -6,6 +6,8 @@ it kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from aerotrace.llm.decontam import clean_documents
 from aerotrace.llm.minhash import near_duplicates
 from aerotrace.llm.mixing import mixed_documents
@@ -26,9 +28,10 @@ def quality_rules(spark, docs, sf_dir):
 def near_dedup(spark, docs, sf_dir):
     """Keep one document (the smallest id) of every near-duplicate group.
     Documents without an id cannot be told apart and are dropped; rows that
-    repeat an id count once."""
+    repeat an id and its text count once."""
     kept = near_duplicates(docs, k=5).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_same", F.xxhash64("text"))
+    return rows.dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
 
 
 def decontaminate(spark, docs, sf_dir):
