@@ -8,7 +8,7 @@ from aerotrace.functions import constants as K
 from aerotrace.operators import ml
 from aerotrace.plans import medallion
 from aerotrace.sources import fixtures as fx
-from conftest import SF001
+from paths import SF001
 
 
 def test_train_score_reload(spark):

@@ -15,7 +15,7 @@ from aerotrace.operators.backfill import backfill
 from aerotrace.operators.dedup import dedup
 from aerotrace.plans import medallion
 from aerotrace.sources import fixtures as fx
-from conftest import SF001
+from paths import SF001
 
 
 def one(spark, rows, schema):

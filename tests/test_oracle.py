@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import check_oracle
-from conftest import SF001
+from paths import SF001
 
 from __spark_entry__ import entry, oracle_sql, queries
 

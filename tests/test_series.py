@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aerotrace.operators import series
 from aerotrace.sources import fixtures
-from conftest import SF001
+from paths import SF001
 
 COLS = ["lat", "alt_geom", "squawk", "registration"]
 

@@ -10,7 +10,7 @@ from aerotrace.operators.live import SERVING_COLUMNS, to_ml_feed, transform_stat
 from aerotrace.sources import fixtures as fx
 from aerotrace.sources.states import STATE_FIELDS, parse_states
 from aerotrace.streaming import sinks, streams
-from conftest import SF001
+from paths import SF001
 
 
 def _tmp():
