@@ -4,16 +4,16 @@ All rolling two-word grams of the documents are joined with the grams of the
 license phrases.  A hit at document word p and phrase word q lies on diagonal
 p - q; a phrase that stands in a text puts all its grams on one diagonal, and
 an inserted or missing word moves the rest to a neighbouring one.  Votes are
-counted per diagonal, neighbouring diagonals with enough votes are merged, and
-a merged span is verified by the share of the phrase's grams that it holds and
-by its length.
+counted per diagonal, neighbouring diagonals are merged whatever their votes,
+and a merged span is verified by the share of the phrase's grams that it holds
+and by its length.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerotrace.llm.textops import U64, Words, span_hash, text_slices
@@ -32,7 +32,6 @@ SENTENCES = (
     ("this work is licensed under a creative commons attribution", "cc-by"),
 )
 NEIGHBOUR = 3  # diagonals this near each other belong to one span
-LEAST_VOTES = 0.3  # share of a phrase's grams that a diagonal needs to take part
 LEAST_COVER = 0.8  # share of a phrase's grams that a span needs
 MOST_STRETCH = 1.5  # longest span, in phrase lengths
 BROADCAST_GRAMS = 100_000
@@ -96,6 +95,79 @@ def document_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         run, f"id {kind}, version long, p int, gram long")
 
 
+def merged_spans(group: np.ndarray, diagonal: np.ndarray, grams: np.ndarray, n: np.ndarray):
+    """(group, first word, end word, grams found) of the verified spans of each
+    group, whose diagonals come sorted; ``grams`` are bit sets of the ``n``
+    phrase grams that a diagonal holds.
+
+    Runs of neighbouring diagonals are tried from every diagonal on.  Of those
+    that hold enough grams in a short enough span the fullest is taken, then
+    the shortest; its diagonals take part in no other span."""
+    bits = (grams[:, None] >> np.arange(63)) & 1 > 0
+    low, high = diagonal + bits.argmax(axis=1), diagonal + 62 - bits[:, ::-1].argmax(axis=1) + GRAM
+    most = MOST_STRETCH * (n + GRAM - 1)
+    start = np.arange(len(group))
+    have, count, first, end = grams.copy(), np.zeros(len(group), np.int64), low.copy(), high.copy()
+    found, step = [], 0
+    while len(start):
+        last = start + step
+        now = bits_set(have)
+        good = (now > count) & (now >= LEAST_COVER * n[start]) & (end - first <= most[start])
+        found.append(np.stack([start, last, first, end, now], axis=1)[good])
+        step += 1
+        follow = np.minimum(last + 1, len(group) - 1)
+        go = ((last + 1 < len(group)) & (group[follow] == group[start]) & (diagonal[follow] - diagonal[last] <= NEIGHBOUR)
+              & (diagonal[follow] - diagonal[start] <= most[start] + n[start]))
+        start, follow, count = start[go], follow[go], now[go]
+        have, first, end = have[go] | grams[follow], np.minimum(first[go], low[follow]), np.maximum(end[go], high[follow])
+    runs = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
+    runs = runs[np.lexsort((runs[:, 0], runs[:, 1] - runs[:, 0], runs[:, 3] - runs[:, 2], -runs[:, 4]))]
+    used, out = np.zeros(len(group), dtype=bool), []
+    for i, (a, b) in enumerate(runs[:, :2].tolist()):
+        if not used[a:b + 1].any():
+            used[a:b + 1] = True
+            out.append(i)
+    runs = runs[out]
+    return group[runs[:, 0]], runs[:, 2], runs[:, 3], runs[:, 4]
+
+
+def bits_set(x: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x).astype(np.int64)
+
+
+def _verified(groups: DataFrame) -> DataFrame:
+    """``groups(id, version, phrase, label, exact, n, n_words, copies, cells)``
+    -> their spans (first, end, found); a group without a phrase stays as it
+    is.  A cell is a diagonal with the set of grams on it."""
+    kept = ["id", "version", "phrase", "label", "exact", "n_words", "copies"]
+
+    def run(batches):
+        for batch in batches:
+            cells = batch.column("cells")
+            sizes = np.diff(np.asarray(cells.offsets).astype(np.int64))
+            cells = cells.flatten()
+            row = np.repeat(np.arange(batch.num_rows), sizes)
+            diagonal = cells.field("diagonal").to_numpy(zero_copy_only=False).astype(np.int64)
+            grams = cells.field("grams").to_numpy(zero_copy_only=False).astype(np.int64)
+            n = batch.column("n").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            exact = batch.column("exact").fill_null(False).to_numpy(zero_copy_only=False)[row]
+            inexact = np.flatnonzero(~exact)
+            part = merged_spans(row[inexact], diagonal[inexact], grams[inexact], n[row[inexact]])
+            own = np.flatnonzero(exact)  # each of these diagonals has all grams
+            alone = np.flatnonzero(batch.column("phrase").is_null().to_numpy(zero_copy_only=False))
+            none = np.full(len(alone), -1)
+            who, first, end, have = (np.concatenate(x) for x in zip(
+                part, (row[own], diagonal[own], diagonal[own] + n[row[own]] + GRAM - 1, n[row[own]]), (alone, none, none, none)))
+            blank = first < 0
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(who)) for c in kept), pa.array(first.astype(np.int32), mask=blank),
+                 pa.array(end.astype(np.int32), mask=blank), pa.array(have / np.maximum(n[who], 1), mask=blank)],
+                names=[*kept, "first", "end", "cover"])
+
+    types = {f.name: f.dataType.simpleString() for f in groups.schema.fields}
+    return groups.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in kept) + ", first int, end int, cover double")
+
+
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base=BASE_PHRASES,
                   sentences=SENTENCES) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_base (exact places of base
@@ -115,24 +187,17 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     votes = (hits.withColumn("diagonal", F.when(~is_row, F.col("p") - F.col("q")))
              .withColumn("phrase", F.when(~is_row, F.col("phrase")))
              .groupBy("id", "version", "phrase", "diagonal").agg(
-                 F.count("*").alias("votes"), F.min("p").alias("first"), (F.max("p") + GRAM).alias("end"),
-                 F.bit_or(F.when(~is_row, F.expr("shiftleft(1L, q)"))).alias("grams"),
+                 F.count("*").alias("votes"), F.bit_or(F.when(~is_row, F.expr("shiftleft(1L, q)"))).alias("grams"),
                  F.max(F.when(is_row, F.col("gram"))).alias("n_words"), F.first("label").alias("label"),
                  F.first("exact").alias("exact"), F.first("n").alias("n")))
-    enough = F.col("phrase").isNull() | F.when(F.col("exact"), F.bit_count("grams") == F.col("n")).otherwise(
-        F.bit_count("grams") >= F.greatest(F.lit(2), F.col("n") * LEAST_VOTES))
-    near = Window.partitionBy("id", "version", "phrase").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > F.when(F.col("exact"), 0).otherwise(NEIGHBOUR), F.lit(True))
-    spans = (votes.where(enough).withColumn("new", apart.cast("int"))
-             .withColumn("run", F.sum("new").over(near))
-             .groupBy("id", "version", "phrase", "run").agg(
-                 F.max("votes").alias("votes"), F.min("first").alias("first"), F.max("end").alias("end"),
-                 F.bit_or("grams").alias("grams"), F.max("n_words").alias("n_words"), F.max("label").alias("label"),
-                 F.max("exact").alias("exact"), F.max("n").alias("n")))
-    cover = F.bit_count("grams") / F.col("n")
-    length = F.col("end") - F.col("first")
-    good = F.col("phrase").isNull() | (cover >= LEAST_COVER) & (length <= MOST_STRETCH * (F.col("n") + GRAM - 1))
-    found = spans.where(good).withColumn("cover", F.when(F.col("phrase").isNotNull(), cover))
+    whole = F.col("phrase").isNull() | ~F.col("exact") | (F.bit_count("grams") == F.col("n"))
+    cell = F.when(F.col("phrase").isNotNull(), F.struct("diagonal", "grams"))
+    # no span can hold more of a phrase's grams than its text
+    groups = (votes.where(whole).groupBy("id", "version", "phrase").agg(
+        F.max("label").alias("label"), F.max("exact").alias("exact"), F.max("n").alias("n"), F.max("n_words").alias("n_words"),
+        F.max("votes").alias("copies"), F.array_sort(F.collect_list(cell)).alias("cells"), F.bit_or("grams").alias("grams"))
+        .where(F.col("phrase").isNull() | (F.bit_count("grams") >= LEAST_COVER * F.col("n"))).drop("grams"))
+    found = _verified(groups)
     text = F.when(F.col("phrase").isNotNull(), F.concat_ws(":", "label", F.col("first").cast("string"), F.col("end").cast("string")))
     label = F.when(F.col("phrase").isNotNull(), F.col("label"))
     per_row = found.groupBy("id", "version").agg(
@@ -144,7 +209,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.array_join(F.array_sort(F.collect_set(label)), ",").alias("labels"),
         F.coalesce(F.max("cover"), F.lit(0.0)).alias("score"),
         F.array_join(F.array_sort(F.collect_set(text)), ",").alias("spans"),
-        F.max(F.when(F.col("phrase").isNull(), F.col("votes"))).alias("copies"))
+        F.max(F.when(F.col("phrase").isNull(), F.col("copies"))).alias("copies"))
     return per_row.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
         F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans")
 

@@ -51,6 +51,27 @@ def test_changed_sentences_are_found_and_others_not(spark):
     assert got[3].labels == "" and got[4].labels == ""
 
 
+def test_one_word_more_or_less_anywhere(spark):
+    rows, want = [], {}
+    noise = " this software of the terms and or modify it under a license with or without "
+    for s, label in SENTENCES:
+        w = s.split()
+        for at in range(len(w) + 1):
+            rows.append((len(rows), noise * 3 + " ".join([*w[:at], "zz", *w[at:]]) + noise * 3))
+            want[len(rows) - 1] = label
+            if (len(w) - 3) / (len(w) - 1) >= 0.8:  # a missing word takes two grams with it
+                rows.append((len(rows), "x " + " ".join(w[:at] + w[at + 1:]) + " y"))
+                want[len(rows) - 1] = label
+    isc = "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"
+    bsd = "Redistribution and use in any source and binary forms, with or without modification, are permitted"
+    rows += [(1000, isc), (1001, bsd), (1002, f"{isc} {isc}\n{bsd}")]
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: got[i].labels for i in want} == want
+    assert got[1000].spans == "isc:0:19" and round(got[1000].score, 4) == round(17 / 19, 4)
+    assert got[1001].spans == "bsd:0:15" and round(got[1001].score, 4) == round(12 / 13, 4)
+    assert got[1002].spans == "bsd:38:53,isc:0:19,isc:19:38"
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert scan_licenses(no_docs).count() == 0
     rows = scan_licenses(odd_docs).collect()
