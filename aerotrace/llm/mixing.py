@@ -80,12 +80,16 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     often as the mix takes it whole, and the documents at a cut once more with
     their first words only (joined by single spaces).  Documents without words
     are kept once, since they use no budget.  Rows that share an id also share
-    the smallest ``taken`` of that id and size."""
-    plan = mix(docs, **options)
-    plan = plan.groupBy("doc_id", "size").agg(F.min("taken").alias("taken"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), "taken")
-    rows = docs.withColumn("_words", word_count(F.col("text")))
-    rows = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size")))
+    the smallest ``taken`` of that id and size; a row without an id goes by its
+    source and text."""
+    blank = F.lit("")
+    own = F.concat_ws("#", blank, F.coalesce("source", blank), F.md5(F.coalesce("text", blank).cast("binary")))
+    docs_keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), own))
+    plan = mix(docs_keyed, id_col="_key", **options)
+    plan = plan.groupBy("_key", "size").agg(F.min("taken").alias("taken"))
+    plan = plan.select(F.col("_key").alias("_id"), F.col("size").alias("_size"), "taken")
+    rows = docs_keyed.withColumn("_words", word_count(F.col("text")))
+    rows = rows.join(plan, (F.col("_key") == F.col("_id")) & (F.col("_words") == F.col("_size")))
     whole = F.when(F.col("_words") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("_words"))).cast("int")
     left = F.when(F.col("_words") == 0, 0).otherwise(F.col("taken") % F.col("_words")).cast("int")
     copies = F.array_repeat(F.lit(0), whole)

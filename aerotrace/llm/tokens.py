@@ -380,7 +380,8 @@ def write_token_files(docs: DataFrame, target: str, id_col: str = "doc_id", text
 
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     by = [F.col("id").asc_nulls_last(), F.col("text")]
-    ordered.repartitionByRange(by[0]).sortWithinPartitions(*by).mapInArrow(run, FILE_SCHEMA).write.mode("overwrite").parquet(target)
+    # by the head of the text too, so that documents without an id spread
+    ordered.repartitionByRange(by[0], F.substring("text", 1, 64)).sortWithinPartitions(*by).mapInArrow(run, FILE_SCHEMA).write.mode("overwrite").parquet(target)
 
 
 def read_token_files(spark: SparkSession, target: str) -> DataFrame:

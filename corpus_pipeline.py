@@ -27,11 +27,13 @@ def quality_rules(spark, docs, sf_dir):
 
 def near_dedup(spark, docs, sf_dir):
     """Keep one document (the smallest id) of every near-duplicate group.
-    Documents without an id cannot be told apart and are dropped; rows that
-    repeat an id and its text count once."""
-    kept = near_duplicates(docs, k=5).where("kept").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_same", F.xxhash64("text"))
-    return rows.dropDuplicates(["doc_id", "_same"]).select(*docs.columns)
+    A document without an id is compared under a number made from its text,
+    2^62 and up, and keeps its null id; rows that repeat an id and its text,
+    or a text without an id, count once."""
+    number = F.xxhash64(F.lit("text"), "text").bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
+    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), number)).withColumn("_same", F.xxhash64("text"))
+    kept = near_duplicates(rows, "_id", k=5).where("kept").select("_id").distinct()
+    return rows.join(kept, "_id", "left_semi").dropDuplicates(["_id", "_same"]).select(*docs.columns)
 
 
 def decontaminate(spark, docs, sf_dir):

@@ -69,6 +69,30 @@ def test_tokens_are_those_of_the_mix(stages):
     assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in after) == want
 
 
+def test_documents_without_an_id_reach_the_token_files(spark):
+    rows = [r for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text and len(words_of(r.text)) >= 50]
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    comp = brute_components({r.doc_id: shingle_set(r.text, 5) for r in rows[:60]})
+    unique = [r for r in rows[:60] if comp[r.doc_id] == r.doc_id]
+    with_id, without = unique[:5], unique[5:25]
+    near = " ".join(words_of(without[0].text) + ["more"])
+    copies = [with_id[0].asDict() | {"doc_id": None}, without[1].asDict() | {"doc_id": None}, without[0].asDict() | {"doc_id": None, "text": near}]
+    given = [r.asDict() for r in with_id] + [r.asDict() | {"doc_id": None} for r in without] + copies
+    docs = spark.createDataFrame([tuple(r[c] for c in schema.names) for r in given], schema).repartition(3)
+    after = corpus_pipeline.near_dedup(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in after if r.doc_id is not None) == sorted(r.doc_id for r in with_id)
+    texts = [r.text for r in after if r.doc_id is None]
+    assert len(texts) == len(without) and (without[0].text in texts) + (near in texts) == 1
+    assert {r.text for r in without[1:]} <= set(texts)
+
+    # two sources whose documents have no id and the same sizes: the one under its budget stays whole
+    flat = [(None, f"{s} {i} " + "w " * 8, "en", s, 0) for s, n in (("a", 20), ("b", 200)) for i in range(n)]
+    mixed = corpus_pipeline.mix_sources(spark, spark.createDataFrame(flat, schema), SF)
+    assert {r.text for r in mixed.collect()} >= {r[1] for r in flat if r[3] == "a"}
+    tokens = corpus_pipeline.tokenize(spark, mixed, SF).collect()
+    assert len(tokens) == mixed.count() and all(r.doc_id is None for r in tokens)
+
+
 def test_empty_documents(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, f in corpus_pipeline.STAGES:
