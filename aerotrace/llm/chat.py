@@ -1,15 +1,14 @@
 """Chat formatting by schema fingerprints, in DataFrame expressions only.
 
 Records arrive as JSON in the layouts that public chat data uses.  The paths
-of a record's nested fields are listed, reduced to the paths that layouts
-know, sorted and hashed; the hash selects a declarative mapping from the
-layout to canonical turns.  Turns are then written with a template whose marks
+of a record's nested fields are listed, reduced to the paths of each layout,
+sorted and hashed; the first layout whose hash fits gives a declarative
+mapping to canonical turns, whatever other fields the record has.  Turns are then written with a template whose marks
 cannot appear inside a text, so the output can be read back exactly.
 """
 
 from __future__ import annotations
 
-import itertools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +27,8 @@ _TURNS = "array<struct<role:string,text:string>>"
 @dataclass(frozen=True)
 class Layout:
     """``fields``: paths that a record has; ``optional``: paths it may have.
-    ``turns``: (role, path) pairs for flat layouts, or (list path, role field,
-    text field) for lists of messages."""
+    ``turns``: (role, path) pairs for flat layouts; ``messages``: (list path,
+    role field, text field) for lists of messages, after the flat turns."""
     name: str
     fields: tuple
     optional: tuple = ()
@@ -37,16 +36,19 @@ class Layout:
     messages: tuple = ()
 
 
+#: In order of precedence: a record with the fields of several has the first.
 LAYOUTS = (
-    Layout("turn", ("role", "text"), messages=("", "role", "text")),
-    Layout("messages", ("messages", "messages[].content", "messages[].role"), messages=("messages", "role", "content")),
-    Layout("conversations", ("conversations", "conversations[].from", "conversations[].value"),
+    Layout("messages", ("messages", "messages[].content", "messages[].role"), ("system",), (("system", "system"),),
+           messages=("messages", "role", "content")),
+    Layout("conversations", ("conversations", "conversations[].from", "conversations[].value"), ("system",), (("system", "system"),),
            messages=("conversations", "from", "value")),
-    Layout("prompt", ("prompt", "response"), ("system",), (("system", "system"), ("user", "prompt"), ("assistant", "response"))),
-    Layout("completion", ("prompt", "completion"), ("system",),
-           (("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
+    Layout("prompt", ("prompt", "response"), ("system", "input"),
+           (("system", "system"), ("user", "prompt"), ("user+", "input"), ("assistant", "response"))),
+    Layout("completion", ("prompt", "completion"), ("system", "input"),
+           (("system", "system"), ("user", "prompt"), ("user+", "input"), ("assistant", "completion"))),
     Layout("instruction", ("instruction", "output"), ("system", "input"),
            (("system", "system"), ("user", "instruction"), ("user+", "input"), ("assistant", "output"))),
+    Layout("turn", ("role", "text"), messages=("", "role", "text")),
 )
 #: Names of roles in the conversations layout, and the canonical ones; the
 #: other layouts already name roles canonically and keep them as they are.
@@ -78,16 +80,13 @@ def fingerprint(paths: Column) -> Column:
 
 
 def layout_of(record: Column, layouts=LAYOUTS) -> Column:
-    """Name of the layout whose fingerprint the record has, else null."""
-    pairs = []
-    for x in layouts:
-        for n in range(len(x.optional) + 1):
-            for extra in itertools.combinations(x.optional, n):
-                text = "|".join(sorted(x.fields + extra))
-                pairs.append((F.xxhash64(F.lit(text)), F.lit(x.name)))
-    table = F.create_map(*[c for pair in pairs for c in pair])
-    return let(fingerprint(field_paths(record, layouts)), lambda h: F.get(F.filter(
-        F.map_entries(table), lambda e: e["key"] == h), F.lit(0))["value"])
+    """Name of the first layout whose fields the record has (the fingerprint
+    of its paths among them is theirs), else null."""
+    def fits(paths, x):
+        own = F.array_intersect(paths, F.array(*[F.lit(p) for p in x.fields]))
+        return fingerprint(own) == F.xxhash64(F.lit("|".join(sorted(x.fields))))
+
+    return let(field_paths(record, layouts), lambda paths: F.coalesce(*[F.when(fits(paths, x), x.name) for x in layouts]))
 
 
 def _role(name: Column, layout: str) -> Column:
@@ -100,7 +99,9 @@ def _role(name: Column, layout: str) -> Column:
 def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     """``records(conv_id, turn, record)`` -> ``(conv_id, turn, place, layout,
     role, text)``: the turns of each JSON record under its layout's mapping; a
-    record of no known layout (also null or broken JSON) gives none."""
+    record of no known layout (also null or broken JSON) gives none and is in
+    ``unknown_records``.  A system text beside a list of messages that begins
+    with it is one turn."""
     record = F.col("record")
     turns = F.array().cast(_TURNS)
 
@@ -132,13 +133,23 @@ def canonical_turns(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
         return let(F.from_json(record, ", ".join(f"`{n}` string" for n in names)), of)
 
     for x in layouts:
-        own = listed(*x.messages) if x.messages else flat(x)
+        own = flat(x) if x.turns else None
+        if x.messages:
+            own = listed(*x.messages) if own is None else let(F.coalesce(listed(*x.messages), F.array().cast(_TURNS)), lambda rest: F.concat(
+                F.filter(own.cast(_TURNS), lambda t: ~F.coalesce(t == F.get(rest.cast(_TURNS), F.lit(0)), F.lit(False))), rest.cast(_TURNS)))
         turns = F.when(F.col("layout") == x.name, own.cast(_TURNS)).otherwise(turns)
     named = records.select("conv_id", "turn", "record", layout_of(record, layouts).alias("layout"))
     return named.select("conv_id", "turn", "layout", F.posexplode(turns).alias("place", "t")).select(
         "conv_id", "turn", "place", "layout", F.col("t.role").alias("role"), F.col("t.text").alias("text"))
 
 
+def unknown_records(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
+    """The rows of ``records`` of no known layout (also null or broken JSON),
+    whole, with a null ``layout``: those that ``canonical_turns`` has no turns
+    of."""
+    return records.withColumn("layout", layout_of(F.col("record"), layouts)).where("layout IS NULL")
+
+
 def escape(text: Column) -> Column:
     out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
     for mark in CONTROL:
@@ -218,8 +229,8 @@ def format_records(records: DataFrame, layouts=LAYOUTS) -> DataFrame:
     """``records(conv_id, turn, record)`` -> ``format_chats`` of their turns.
 
     Null texts are empty texts, null roles empty roles; null conversation ids
-    form one conversation; repeated rows are turns each; conversations without
-    a known record do not appear; an empty table gives an empty result.
+    form one conversation; repeated rows are turns each; records of no known
+    layout are in ``unknown_records``; an empty table gives an empty result.
     """
     return format_chats(canonical_turns(records, layouts))
 

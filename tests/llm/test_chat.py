@@ -68,6 +68,33 @@ def test_layouts_give_the_same_turns(spark):
     assert len({prints[k] for k in (1, 2, 3, 4, 5, 6, 8)}) == 7
 
 
+def test_fields_of_other_layouts_do_not_hide_a_record(spark):
+    turns, told = [("user", "hi"), ("assistant", "yes")], ("system", "be kind")
+    said = [{"role": r, "content": t} for r, t in turns]
+    shared = [{"from": "human", "value": "hi"}, {"from": "gpt", "value": "yes"}]
+    records = {
+        1: ({"instruction": "hi", "input": "", "output": "yes", "text": "hi yes"}, turns),
+        2: ({"prompt": "hi", "messages": said}, turns),
+        3: ({"conversations": shared, "system": "be kind"}, [told, *turns]),
+        4: ({"messages": said, "system": "be kind"}, [told, *turns]),
+        5: ({"prompt": "hi", "response": "yes", "input": "x"}, [("user", "hi\n\nx"), ("assistant", "yes")]),
+        6: ({"messages": [{"role": "system", "content": "be kind"}, *said], "system": "be kind"}, [told, *turns]),
+        7: ({"messages": said, "system": None}, turns),
+        8: ({"messages": said, "conversations": shared}, turns),
+        9: ({"role": "user", "text": "hi", "id": 3, "prompt": None}, turns[:1]),
+        10: ({"prompt": "hi", "completion": "yes", "input": "x", "output": "z"}, [("user", "hi\n\nx"), ("assistant", "yes")]),
+    }
+    rows = [(k, 0, json.dumps(v)) for k, (v, _) in records.items()]
+    rows += [(20, 0, '{"prompt": "hi"}'), (21, 0, "{broken"), (22, 0, None), (23, 0, '{"system": "a", "input": "b"}')]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, record string")
+    got = {}
+    for r in chat.canonical_turns(df).orderBy("conv_id", "turn", "place").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got == {k: want for k, (_, want) in records.items()}
+    unknown = chat.unknown_records(df).collect()
+    assert sorted((r.conv_id, r.turn, r.record, r.layout) for r in unknown) == [(*r, None) for r in rows if r[0] >= 20]
+
+
 def test_odd_rows(spark):
     schema = "conv_id long, turn long, role string, text string, record string, block long"
     assert chat.chat_digests(chat.format_records(chat.chat_records(spark.createDataFrame([], schema)))).count() == 0
