@@ -18,7 +18,10 @@ Exact copies count as one text, that of their smallest id; the other copies
 repeat it whole.  Positions travel in packed arrays, one row per task slice and
 group of buckets.  A slice sends one position per bucket (and per equal surrounding) at
 most, and settles its other copies itself, so a bucket that a third of the
-documents share costs its group one row entry per slice.
+documents share costs its group one row entry per slice.  At the edge of a
+shared passage every document has surroundings of its own; a group with many
+documents is therefore cut by a second hash, that of the whole string, and its
+strings travel as hashes.
 """
 
 from __future__ import annotations
@@ -32,13 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerotrace.llm.textops import U64, prefix_hash, span_hash, text_buffer, text_slices
+from aerotrace.llm.textops import U64, mix64, prefix_hash, span_hash, text_buffer, text_slices
 from aerotrace.session import stage_table
 
 LENGTH = 50
 GRAM = 20
 SLICE_BYTES = 2 << 20
 GROUP_BYTES = 3 << 20  # text bytes per group of buckets, which sets the number of groups
+HOT_ENTRIES = 1 << 18  # buckets of documents in a group from which on it is cut, and strings in each part
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -77,6 +81,12 @@ def _split(bucket: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
     return (bucket % U64(groups)).astype(np.int64), ((bucket // U64(groups)) & U64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def _slice_number(part: int, tasks: int) -> int:
+    """Salt for rows that need not meet: so many tasks share one."""
+    from pyspark import TaskContext
+    return TaskContext.get().partitionId() // tasks * 64 + part % 64
+
+
 def _binary(parts) -> pa.Array:
     return pa.array(list(parts), pa.binary())
 
@@ -123,7 +133,7 @@ def _anchors(docs: DataFrame, groups: int, length: int, gram: int) -> DataFrame:
                         owners.append(place.astype("<u2").tobytes())
                     yield pa.RecordBatch.from_arrays([
                         pa.array([-1 - x if negative else x for x, _, _ in rows], pa.int64()),
-                        pa.array([part % 64 if negative else 0] * len(rows), pa.int32()),
+                        pa.array([_slice_number(part, 128) if negative else 0] * len(rows), pa.int32()),
                         _binary(rowkeys), _binary((w[a:b] & U64(0xFFFFFFFF)).astype("<u4").tobytes() for _, a, b in rows),
                         _binary(owners)], names=["grp", "salt", "row", "numbers", "owners"])
 
@@ -164,11 +174,38 @@ def _repeated(anchors: DataFrame) -> DataFrame:
     return anchors.groupBy("grp", "salt").applyInArrow(settle, "row long, grp long, numbers binary")
 
 
-def _surroundings(docs: DataFrame, groups: int, length: int, gram: int) -> DataFrame:
-    """Rows (grp, ids, rows, starts, sizes, bytes): per slice and group, the
-    strings' bytes around each repeated anchor.  Of equal surroundings in one
-    slice only those of the smallest id are sent; the others repeat it whole
-    and come as finished ranges with grp < 0."""
+def _hot_groups(repeated: DataFrame, length: int, gram: int) -> dict[int, int]:
+    """Parts of each group that holds buckets of many documents; there are at
+    most as many such groups as HOT_ENTRIES goes into all entries."""
+    entries = repeated.groupBy("grp").agg(F.sum(F.octet_length("numbers") / 4).cast("long").alias("n")).where(F.col("n") > HOT_ENTRIES)
+    return {r["grp"]: math.ceil(r["n"] * (length - gram + 1) / HOT_ENTRIES) for r in entries.collect()}
+
+
+def _string_runs(record: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of consecutive positions of a record."""
+    cut = np.ones(len(at), dtype=bool)
+    cut[1:] = (np.diff(at) != 1) | (record[1:] != record[:-1])
+    lead = np.flatnonzero(cut)
+    return lead, np.append(lead[1:], len(at))[:len(lead)] - 1
+
+
+def _string_keys(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the string at each position, one of them from its buckets."""
+    sums = prefix_hash(data)
+    key = np.zeros(len(at), dtype=U64)
+    for offset in (0, gram, length - gram):
+        key = mix64(key * U64(0x9E3779B97F4A7C15) + span_hash(sums, at + offset, at + offset + gram))
+    return key, span_hash(sums, at, at + length)
+
+
+def _surroundings(docs: DataFrame, groups: int, length: int, gram: int, hot: dict[int, int]) -> DataFrame:
+    """Rows (grp, salt, ids, rows, starts, sizes, bytes): per slice and group,
+    the strings' bytes around each repeated anchor.  Of equal surroundings in
+    one slice only those of the smallest id are sent; the others repeat it
+    whole and come as finished ranges with grp < 0.  In a hot group the same
+    holds for single strings, which come as hash pairs with salt > 0 by hash."""
+    hot_groups = np.array(sorted(hot), dtype=np.int64)
+    hot_parts = np.array([hot[g] for g in sorted(hot)], dtype=np.int64)
 
     def run(batches):
         part = 0
@@ -197,21 +234,52 @@ def _surroundings(docs: DataFrame, groups: int, length: int, gram: int) -> DataF
                 lowest = ids[text][lead][np.cumsum(lead) - 1]
                 sent = ids[text] == lowest
                 part += 1
-                place = first - offsets[text]
-                for own, negative in ((sent, False), (~sent, True)):
-                    o = np.flatnonzero(own)
-                    o = o[np.argsort(grp[o], kind="stable")]
-                    g = grp[o] if not negative else np.zeros(len(o), np.int64)
-                    cuts = np.flatnonzero(np.diff(g)) + 1
-                    for idx in np.split(o, cuts) if len(o) else []:
-                        size = last[idx] + length - first[idx]
-                        content = b"" if negative else zlib.compress(
-                            b"".join(data[a:a + n].tobytes() for a, n in zip(first[idx].tolist(), size.tolist())), 1)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([-1 if negative else int(grp[idx[0]])], pa.int64()), pa.array([part % 64 if negative else 0], pa.int32()),
-                            _binary([ids[text[idx]].astype("<i8").tobytes()]), _binary([key[text[idx]].astype("<i8").tobytes()]),
-                            _binary([place[idx].astype("<i4").tobytes()]), _binary([size.astype("<i4").tobytes()]), _binary([content])],
-                            names=["grp", "salt", "ids", "rows", "starts", "sizes", "bytes"])
+                salt = _slice_number(part, 16)
+
+                def rows(grp, salt, text, start, size, content, own_ids=ids, own_key=key, offsets=offsets):
+                    return pa.RecordBatch.from_arrays([
+                        pa.array([int(grp)], pa.int64()), pa.array([int(salt)], pa.int32()),
+                        _binary([own_ids[text].astype("<i8").tobytes()]), _binary([own_key[text].astype("<i8").tobytes()]),
+                        _binary([(start - offsets[text]).astype("<i4").tobytes()]), _binary([size.astype("<i4").tobytes()]), _binary([content])],
+                        names=["grp", "salt", "ids", "rows", "starts", "sizes", "bytes"])
+
+                is_hot = np.isin(grp, hot_groups)
+                own = np.flatnonzero(~sent)
+                if len(own):
+                    yield rows(-1, salt, text[own], first[own], last[own] + length - first[own], b"")
+                own = np.flatnonzero(sent & ~is_hot)
+                own = own[np.argsort(grp[own], kind="stable")]
+                for idx in np.split(own, np.flatnonzero(np.diff(grp[own])) + 1) if len(own) else []:
+                    size = last[idx] + length - first[idx]
+                    content = zlib.compress(b"".join(data[a:a + n].tobytes() for a, n in zip(first[idx].tolist(), size.tolist())), 1)
+                    yield rows(grp[idx[0]], 0, text[idx], first[idx], size, content)
+                own = np.flatnonzero(sent & is_hot)
+                if not len(own):
+                    continue
+                count = last[own] - first[own] + 1
+                record = np.repeat(own, count)
+                at = first[record] + np.arange(len(record)) - np.repeat(np.cumsum(count) - count, count)
+                key1, key2 = _string_keys(data, at, length, gram)
+                order = np.lexsort((ids[text[record]], key2, key1))
+                lead = np.ones(len(order), dtype=bool)
+                lead[1:] = (np.diff(key1[order]) != 0) | (np.diff(key2[order]) != 0)
+                lowest = np.empty(len(order), dtype=np.int64)
+                lowest[order] = ids[text[record]][order][lead][np.cumsum(lead) - 1]
+                sent = ids[text[record]] == lowest
+                done = np.flatnonzero(~sent)
+                if len(done):
+                    a, b = _string_runs(record[done], at[done])
+                    a, b = done[a], done[b]
+                    yield rows(-1, salt, text[record[a]], at[a], at[b] + length - at[a], b"")
+                hot_at = np.searchsorted(hot_groups, grp[record])
+                cell = key1 % hot_parts[hot_at].astype(U64)
+                o = np.flatnonzero(sent)
+                o = o[np.lexsort((cell[o], hot_at[o]))]
+                cuts = np.flatnonzero((np.diff(hot_at[o]) != 0) | (np.diff(cell[o]) != 0)) + 1
+                for idx in np.split(o, cuts):
+                    pairs = np.stack([key1[idx], key2[idx]], axis=1).astype("<u8")
+                    yield rows(grp[record[idx[0]]], 1 + int(cell[idx[0]]), text[record[idx]], at[idx],
+                               np.full(len(idx), length), pairs.tobytes())
 
     return docs.mapInArrow(run, "grp long, salt int, ids binary, rows binary, starts binary, sizes binary, bytes binary")
 
@@ -235,6 +303,15 @@ def _ranges(surroundings: DataFrame, length: int, gram: int) -> DataFrame:
         ids, rows, starts, sizes = cat("ids", "<i8"), cat("rows", "<i8"), cat("starts", "<i4"), cat("sizes", "<i4")
         if table.column("grp")[0].as_py() < 0:
             begin, end, row = starts, starts + sizes, rows
+        elif table.column("salt")[0].as_py() > 0:
+            pairs = cat("bytes", "<i8").reshape(-1, 2)
+            order = np.lexsort((ids, pairs[:, 1], pairs[:, 0]))
+            lead = np.ones(len(order), dtype=bool)
+            lead[1:] = (pairs[order[1:]] != pairs[order[:-1]]).any(axis=1)
+            marked = order[ids[order] > ids[order][lead][np.cumsum(lead) - 1]]
+            marked = marked[np.lexsort((starts[marked], rows[marked]))]
+            a, b = _string_runs(rows[marked], starts[marked])
+            begin, end, row = starts[marked[a]], starts[marked[b]] + length, rows[marked[a]]
         else:
             data = np.frombuffer(b"".join(zlib.decompress(x) for x in table.column("bytes").to_pylist()), np.uint8)
             stop = np.cumsum(sizes)
@@ -252,10 +329,7 @@ def _ranges(surroundings: DataFrame, length: int, gram: int) -> DataFrame:
             first_owner = np.full(int(bucket.max()) + 1, np.iinfo(np.int64).max)
             np.minimum.at(first_owner, bucket, owner)
             at = at[first_owner[bucket] < owner]
-            cut = np.ones(len(at), dtype=bool)
-            cut[1:] = (np.diff(at) != 1) | (record[at[1:]] != record[at[:-1]])
-            lead = np.flatnonzero(cut)
-            tail = np.append(lead[1:], len(at))[:len(lead)] - 1
+            lead, tail = _string_runs(record[at], at)
             r = record[at[lead]]
             shift = starts[r] - (stop[r] - sizes[r])
             begin, end, row = at[lead] + shift, at[tail] + shift + length, rows[r]
@@ -316,7 +390,7 @@ def repeated_ranges(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = known.join(first_places, "row").select("place", "known")
     texts = source.select("id", "text", "place")
     around = texts.join(known, "place").select("id", F.col("place").alias("row"), "text", "known")
-    ranges = _ranges(_surroundings(around, groups, length, gram), length, gram)
+    ranges = _ranges(_surroundings(around, groups, length, gram, _hot_groups(repeated, length, gram)), length, gram)
     ranges = ranges.groupBy(F.col("row").alias("place")).agg(F.collect_list("ranges").alias("ranges"), F.lit(False).alias("copy"))
     copies = names.where("copy").select("place", F.lit(None).cast("array<binary>").alias("ranges"), F.lit(True).alias("copy"))
     return texts.join(ranges.unionByName(copies), "place", "left").select("id", "text", "copy", "ranges")

@@ -3,6 +3,9 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
+from aerotrace.llm import substrings
 from aerotrace.llm.substrings import merge_ranges, remove_repeats
 
 
@@ -53,6 +56,27 @@ def test_removed_bytes_equal_brute_force(spark):
         assert sum(x[1] for x in want.values()) > 2000
 
 
+def test_a_shared_passage_is_cut_into_bounded_groups(spark, monkeypatch):
+    """Every document has its own bytes at the edges of one shared passage."""
+    rng = random.Random(5)
+    say = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage = say(180)
+    docs = [(i, say(rng.randrange(20, 60)) + passage + say(rng.randrange(20, 60))) for i in range(1500)]
+    docs += [(2000 + i, t) for i, t in corpus(rng)]
+    seen, settle = [], substrings._ranges
+
+    def watch(surroundings, *args):
+        seen.append(surroundings.where("grp >= 0").groupBy("grp", "salt").agg(F.sum(F.octet_length("ids") / 8).alias("n")).agg(F.max("n")).first()[0])
+        return settle(surroundings, *args)
+
+    monkeypatch.setattr(substrings, "_ranges", watch)
+    monkeypatch.setattr(substrings, "HOT_ENTRIES", 50, raising=False)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in remove_repeats(df).collect()}
+    assert got == brute([(i, t.encode()) for i, t in docs], 50)
+    assert seen[0] <= 500
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert remove_repeats(no_docs).count() == 0
     rows = remove_repeats(odd_docs).collect()
