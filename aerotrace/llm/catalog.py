@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerotrace.llm import chat, decontam, license_scan, minhash, mixing, oracles, quality, secrets, substrings, tokens
+from aerotrace.llm import align, chat, decontam, license_scan, minhash, mixing, oracles, quality, secrets, substrings, tokens
 
 QUERIES = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_repeated_substrings": substrings.op8_repeated_substrings,
     "op9_token_files": tokens.op9_token_files,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_tokenizer_alignment": align.op11_tokenizer_alignment,
 }
 
 ORACLE: dict[str, str] = {

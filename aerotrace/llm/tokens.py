@@ -142,7 +142,7 @@ class Encoder:
         return ids, counts
 
     def _pieces(self, joined, code, kind, end_id):
-        start = piece_starts(code, kind)
+        start = self.starts_of(code, kind)
         first = np.flatnonzero(start)
         last = np.append(first[1:], len(code))
         sums = np.empty(len(code) + 1, dtype=U64)
@@ -173,6 +173,10 @@ class Encoder:
         total = stop[is_end]
         return ids, np.diff(np.concatenate([[0], total]))
 
+    @staticmethod
+    def starts_of(code: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        return piece_starts(code, kind)
+
     def _grow(self, extra: int) -> None:
         """Keep the table at most half full, whatever one slice brings."""
         if 2 * (self.n + extra) <= self.slots:
