@@ -261,11 +261,11 @@ proofs AS (
   SELECT grp, idx, list({{'l': array_to_string(hs[1:place], ''), 'r': array_to_string(hs[place + 2:], '')}} ORDER BY step) AS p
   FROM steps GROUP BY grp, idx),
 folded AS (
-  SELECT l.grp, l.idx, 0 AS at, coalesce(p.p, []) AS p, coalesce(l.changed, l.leaf) AS h
+  SELECT l.grp, l.idx, 0 AS done, coalesce(p.p, []) AS p, coalesce(l.changed, l.leaf) AS h
   FROM leaves l LEFT JOIN proofs p ON p.grp = l.grp AND p.idx = l.idx
   UNION ALL
-  SELECT grp, idx, at + 1, p, sha256(p[at + 1].l || h || p[at + 1].r) FROM folded WHERE at < len(p))
+  SELECT grp, idx, done + 1, p, sha256(p[done + 1].l || h || p[done + 1].r) FROM folded WHERE done < len(p))
 SELECT l.doc_id, l.leaf, s.subroot, a.h AS root,
        sha256(array_to_string(list_transform(f.p, lambda x: x.l || x.r), '')) AS proof_sha256, f.h AS folded_root, f.h = a.h AS verified
-FROM leaves l JOIN subroots s ON s.grp = l.grp JOIN above a ON a.n = 1 JOIN folded f ON f.grp = l.grp AND f.idx = l.idx AND f.at = len(f.p)
+FROM leaves l JOIN subroots s ON s.grp = l.grp JOIN above a ON a.n = 1 JOIN folded f ON f.grp = l.grp AND f.idx = l.idx AND f.done = len(f.p)
 """
