@@ -836,3 +836,8 @@ _AS_OF = "2024-02-03 00:00:00"
 def q_retention(spark, b):
     from aerotrace.streaming.sinks import expire
     return expire(live_table(spark, b), _AS_OF, days=K.RETENTION_DAYS)
+
+
+# ---------------------------------------------------------------------------
+# joins over time, ranks, set operations, grouping sets, sketches
+from aerotrace.plans import catalog_tables  # noqa: E402, F401  (registers its queries here)

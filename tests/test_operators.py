@@ -312,7 +312,7 @@ def test_changed_input_builds_the_tables_anew(spark):
     from aerotrace.plans import catalog
     d = tempfile.mkdtemp(prefix="aerotrace-test-", dir="/tmp")
     for name in ("events", "nation"):
-        shutil.copy(os.path.join(SF001, f"{name}.parquet"), d)
+        shutil.copyfile(os.path.join(SF001, f"{name}.parquet"), os.path.join(d, f"{name}.parquet"))
     before = catalog.silver(spark, d).count()
     events = spark.read.parquet(os.path.join(SF001, "events.parquet"))
     less = events.where(F.col("user_id") % 2 == 0).toPandas()
