@@ -9,7 +9,7 @@ a text can stop after step ``j`` once every position holds less than
 
 The steps after the signatures:
 
-1. texts with the same word sequence form a class, represented by the smallest id;
+1. texts with the same word sequence form a class, represented by one row;
 2. signatures are cut into bands; classes that agree on a band share a bucket;
 3. links are confirmed on full shingle sets, in three rounds: each class
    against the smallest bucket pivot, then against the pivots of its other
@@ -79,16 +79,26 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-SIGNATURE_SCHEMA = "id long, n_shingles long, key1 long, key2 long, bands array<long>"
+SIGNATURE_SCHEMA = "id long, t1 long, t2 long, n_shingles long, key1 long, key2 long, bands array<long>"
+#: Text bytes handled at once; the permutations take some 100 bytes a shingle.
+PIECE_BYTES = 1 << 20
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, m: int = SIZE, rows: int = ROWS) -> DataFrame:
-    """One row per document: set size, 128-bit key of the word sequence and
-    band hashes (empty without words)."""
+def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, t1, t2, text): a text is named by a 128-bit hash, so that rows
+    which share an id, or have none, are told apart."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("t1"),
+                       F.xxhash64(F.lit("text"), text).alias("t2"), text.alias("text"))
+
+
+def signatures(texts: DataFrame, k: int, m: int = SIZE, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``texts`` (``named_texts``): its name, set size,
+    128-bit key of the word sequence and band hashes (empty without words)."""
 
     def run(batches):
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", PIECE_BYTES):
                 part = batch.slice(start, end - start)
                 words = Words(part.column("text"))
                 shingle, offsets = words.shingles(k)
@@ -111,31 +121,30 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, m: int = SIZ
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(np.where(has, n_bands, 0))]).astype(np.int32)), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array(np.diff(set_offsets)), pa.array(_signed(keys[0])),
-                    pa.array(_signed(keys[1])), lists], names=["id", "n_shingles", "key1", "key2", "bands"])
+                    *[part.column(c) for c in ("id", "t1", "t2")], pa.array(np.diff(set_offsets)), pa.array(_signed(keys[0])),
+                    pa.array(_signed(keys[1])), lists], names=["id", "t1", "t2", "n_shingles", "key1", "key2", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, SIGNATURE_SCHEMA)
+    return texts.mapInArrow(run, SIGNATURE_SCHEMA)
 
 
-def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """``docs(id, text)`` -> ``(id, shingles)``: the sorted distinct hashes."""
+def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
+    """``texts(node, text)`` -> ``(node, shingles)``: the sorted distinct hashes."""
 
     def run(batches):
         for batch in batches:
-            for start, end in text_slices(batch, "text"):
+            for start, end in text_slices(batch, "text", PIECE_BYTES):
                 part = batch.slice(start, end - start)
                 words = Words(part.column("text"))
                 sets, offsets = distinct_sorted(*words.shingles(k))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(_signed(sets)))],
-                    names=["id", "shingles"])
+                    [part.column("node"), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(_signed(sets)))],
+                    names=["node", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return texts.mapInArrow(run, "node long, shingles array<long>")
 
 
 def long_signatures(sets: DataFrame, m: int = LONG_SIZE) -> DataFrame:
-    """``sets(id, shingles)`` -> ``(id, signature)``, one byte a position."""
+    """``sets(node, shingles)`` -> ``(node, signature)``, one byte a position."""
 
     def run(batches):
         for batch in batches:
@@ -149,17 +158,17 @@ def long_signatures(sets: DataFrame, m: int = LONG_SIZE) -> DataFrame:
                 bits = mix64(super_minhash(values, offsets[start:end + 1] - offsets[start], m).view(U64))
                 small = (bits >> U64(56)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(start, end - start), pa.array([x.tobytes() for x in small], pa.binary())],
-                    names=["id", "signature"])
+                    [batch.column("node").slice(start, end - start), pa.array([x.tobytes() for x in small], pa.binary())],
+                    names=["node", "signature"])
                 start = end
 
-    return sets.mapInArrow(run, "id long, signature binary")
+    return sets.mapInArrow(run, "node long, signature binary")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets have 100 * shared >= percent * union."""
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - F.col("shared")
     return (pairs.join(b, "b").join(a, "a").withColumn("shared", shared)
@@ -168,10 +177,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
     """Pairs ``(a, b)`` of one bucket that lie in different components and
-    agree on enough signature positions.  ``members``: bucket, band, id,
+    agree on enough signature positions.  ``members``: bucket, band, node,
     component, signature, minor (true outside the bucket's largest component),
-    all (the id's buckets with their bands).  A bucket is cut into blocks by a
-    hash of the id; every block of minor members meets every block of the
+    all (the node's buckets with their bands).  A bucket is cut into blocks by a
+    hash of the node; every block of minor members meets every block of the
     bucket, so a task holds two blocks at most, and members of the largest
     component never meet each other.  A pair that shares several buckets comes
     out of the first of them only."""
@@ -179,8 +188,8 @@ def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
     split = members.join(sizes, "bucket").select(
         "*", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
         F.ceil(F.col("n_minor") / block).cast("int").alias("minor_blocks"))
-    of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    columns = ["bucket", "band", "id", "component", "minor", "signature", "all"]
+    of = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    columns = ["bucket", "band", "node", "component", "minor", "signature", "all"]
     left = split.where("minor").select(*columns, of("minor_blocks").alias("i"),
                                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("own"))
     right = split.select(*columns, F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("i"), of("blocks").alias("j"),
@@ -188,7 +197,7 @@ def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
 
     def meet(table: pa.Table) -> pa.Table:
         own = np.asarray(table.column("own"))
-        ids, comp = np.asarray(table.column("id")), np.asarray(table.column("component"))
+        ids, comp = np.asarray(table.column("node")), np.asarray(table.column("component"))
         sig = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(len(ids), -1)
         lists = table.column("all").combine_chunks()
         flat, ends = lists.flatten(), np.asarray(lists.offsets)
@@ -212,39 +221,32 @@ def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
     return left.unionByName(right).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
-                    percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: (id_col, n_shingles, component_id, kept).
-
-    Words are maximal runs without ASCII white space, A-Z lower-cased; a text
-    has the set of its distinct ``k``-word shingles, or its whole word
-    sequence if it is shorter.  Documents are linked when 100 * shared >=
-    percent * union; component_id is the smallest id reachable over links and
-    kept marks the document that has it.
-
-    Null, empty and blank texts have an empty set and are linked with nothing.
-    A null id gives a row with its set size, a null component and kept false;
-    its text links nothing.  Rows that repeat an id count as one document per
-    distinct text but share the id; exact repeats of a row are all returned.
-    An empty table gives an empty result.  Other columns are ignored.
-    """
-    staged = stage_table(signatures(docs, id_col, text_col, k), "minhash")
-    words = staged.where("id IS NOT NULL AND n_shingles > 0")
-    classes = stage_table(words.groupBy("key1", "key2").agg(F.min("id").alias("rep")), "minhash-classes")
-    reps = (words.join(classes.withColumnRenamed("rep", "id"), ["key1", "key2", "id"])
-            .dropDuplicates(["key1", "key2"]))
-    reps = stage_table(reps.select("id", "bands"), "minhash-reps")
-
-    exploded = reps.select("id", F.posexplode("bands").alias("band", "value")).select(
-        "id", "band", F.xxhash64("band", "value").alias("bucket"))
-    buckets = stage_table(exploded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
+def _classes(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """(key1, key2, rep, component) of each word sequence in ``rows``
+    (``signatures`` with words): rep is its smallest row name (no_id, id, t1,
+    t2), ids first, and component the same value for classes that are linked.
+
+    A class goes by a number of its own through buckets, sets and links, so it
+    does not matter which ids its rows have."""
+    name = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2")
+    classes = stage_table(rows.groupBy("key1", "key2").agg(F.min(name).alias("rep")).select(
+        "*", F.monotonically_increasing_id().alias("node")), "minhash-classes")
+    wanted = classes.select("key1", "key2", "node", "rep.id", "rep.t1", "rep.t2")
+    same = [rows["key1"] == wanted["key1"], rows["key2"] == wanted["key2"], rows["id"].eqNullSafe(wanted["id"]),
+            rows["t1"] == wanted["t1"], rows["t2"] == wanted["t2"]]
+    reps = stage_table(rows.join(wanted, same).select("node", "bands").dropDuplicates(["node"]), "minhash-reps")
+
+    exploded = reps.select("node", F.posexplode("bands").alias("band", "value")).select(
+        "node", "band", F.xxhash64("band", "value").alias("bucket"))
+    buckets = stage_table(exploded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
                           .where("pivot < last").select("bucket", "pivot"), "minhash-buckets")
     members = stage_table(exploded.join(buckets, "bucket"), "minhash-members")
-    active = members.select("id").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = stage_table(shingle_sets(texts.join(active, "id", "left_semi"), k).dropDuplicates(["id"]), "minhash-sets")
+    active = wanted.join(members.select("node").distinct(), "node").select("node", "id", "t1", "t2")
+    same = [texts["id"].eqNullSafe(active["id"]), texts["t1"] == active["t1"], texts["t2"] == active["t2"]]
+    chosen = texts.join(active, same).select("node", "text").dropDuplicates(["node"])
+    sets = stage_table(shingle_sets(chosen, k), "minhash-sets")
 
-    first = members.where("pivot < id").groupBy(F.col("id").alias("b")).agg(F.min("pivot").alias("a"))
+    first = members.where("pivot < node").groupBy(F.col("node").alias("b")).agg(F.min("pivot").alias("a"))
     links = stage_table(_confirm(first, sets, percent), "minhash-links")
     component = connected_components(links)
 
@@ -252,36 +254,96 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return table.join(labels.select(F.col("node").alias(key), F.col("component").alias("_c")), key, "left").withColumn(
             name, F.coalesce("_c", key)).drop("_c")
 
-    stars = members.where("pivot < id").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    stars = members.where("pivot < node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     stars = labelled(labelled(stars, "b", "cb", component), "a", "ca", component).where("ca <> cb").select("a", "b")
     more = stage_table(_confirm(stars, sets, percent).unionByName(links), "minhash-links")
     drop_staged(links, component)
     links, component = more, connected_components(more)
 
-    member = labelled(members.select("bucket", "band", "id"), "id", "component", component)
-    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id") % (1 << 40)).alias("mark"))
+    member = labelled(members.select("bucket", "band", "node"), "node", "component", component)
+    # two sums of 64-bit hashes stand for the members of a bucket
+    marks = [F.sum(F.xxhash64(F.lit(salt), "node").cast("decimal(20,0)")).alias(salt) for salt in ("m1", "m2")]
+    sizes = member.groupBy("bucket", "component").agg(F.count("*").alias("n"), *marks)
     top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"),
-                                      F.sum("n").alias("n"), F.sum("mark").alias("mark")).where("parts > 1")
+                                      F.sum("n").alias("n"), F.sum("m1").alias("m1"), F.sum("m2").alias("m2")).where("parts > 1")
     # buckets with the same members are looked at once
-    top = stage_table(top.groupBy("n", "mark").agg(F.min(F.struct("bucket", "top.component")).alias("one"))
+    top = stage_table(top.groupBy("n", "m1", "m2").agg(F.min(F.struct("bucket", "top.component")).alias("one"))
                       .select("one.bucket", F.col("one.component").alias("main")), "minhash-open")
     open_members = stage_table(member.join(top, "bucket").select(
-        "bucket", "band", "id", "component", (F.col("component") != F.col("main")).alias("minor")), "minhash-open-members")
-    lists = open_members.groupBy("id").agg(F.collect_list(F.struct("band", "bucket")).alias("all"))
-    long = stage_table(long_signatures(sets.join(open_members.select("id").distinct(), "id", "left_semi")), "minhash-long")
-    pairs = stage_table(_block_pairs(open_members.join(long, "id").join(lists, "id")), "minhash-pairs")
+        "bucket", "band", "node", "component", (F.col("component") != F.col("main")).alias("minor")), "minhash-open-members")
+    lists = open_members.groupBy("node").agg(F.collect_list(F.struct("band", "bucket")).alias("all"))
+    long = stage_table(long_signatures(sets.join(open_members.select("node").distinct(), "node", "left_semi")), "minhash-long")
+    pairs = stage_table(_block_pairs(open_members.join(long, "node").join(lists, "node")), "minhash-pairs")
     more = stage_table(_confirm(pairs, sets, percent).unionByName(links), "minhash-links")
     drop_staged(links, component, top, open_members, long, pairs, sets, members, buckets, reps)
     component = connected_components(more)
+    return labelled(classes, "node", "component", component).select("key1", "key2", "rep", "component")
 
-    of_class = labelled(classes, "rep", "component_id", component)
-    return staged.select("id", "n_shingles", "key1", "key2").join(
-        of_class.select("key1", "key2", "component_id"), ["key1", "key2"], "left").select(
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
+                    percent: int = 80) -> DataFrame:
+    """One row per row of ``docs``: (id_col, n_shingles, component_id, kept).
+
+    Words are maximal runs without ASCII white space, A-Z lower-cased; a text
+    has the set of its distinct ``k``-word shingles, or its whole word
+    sequence if it is shorter.  Documents are linked when 100 * shared >=
+    percent * union; component_id is the smallest id reachable over links and
+    kept marks the document that has it.
+
+    Null, empty and blank texts have an empty set and are linked with nothing.
+    A null id gives a row with its set size, a null component and kept false;
+    its text links nothing.  Rows that repeat an id count as one document per
+    distinct text but share the id: what is linked with one of the texts is
+    not thereby linked with the other; exact repeats of a row are all returned.
+    An empty table gives an empty result.  Other columns are ignored.
+    """
+    texts = named_texts(docs, id_col, text_col)
+    staged = stage_table(signatures(texts, k), "minhash")
+    classes = _classes(staged.where("id IS NOT NULL AND n_shingles > 0"), texts, k, percent)
+    least = classes.groupBy("component").agg(F.min("rep.id").alias("component_id"))
+    of_class = classes.join(least, "component").select("key1", "key2", "component_id")
+    return staged.select("id", "n_shingles", "key1", "key2").join(of_class, ["key1", "key2"], "left").select(
         F.col("id").alias(id_col), "n_shingles",
         F.when(F.col("id").isNotNull(), F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")))
         .alias("component_id")).withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
 
 
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one of each
+    group of near-duplicates stays: the one with the smallest id (rows without
+    an id last), then by hashes of the text.
+
+    Rows that repeat an id and its text, or a text without an id, count once;
+    of them the row that is smallest, column by column, stays.  Documents
+    without words are near-duplicates of nothing and all stay.  Links are
+    those of ``near_duplicates``, for rows without an id too.  Texts are not
+    shuffled with the keys: the rows that go are found first, and the table is
+    read once more without them.  Any further column passes through whatever
+    its name; an empty table stays empty.
+    """
+    texts = named_texts(docs, id_col, text_col)
+    staged = stage_table(signatures(texts, k), "minhash")
+    words = staged.where("n_shingles > 0")
+    classes = _classes(words, texts, k, percent)
+    best = classes.groupBy("component").agg(F.min("rep").alias("best"))
+    best = stage_table(best.select("best.id", "best.t1", "best.t2"), "minhash-kept")
+    names = words.groupBy("id", "t1", "t2").agg(F.count("*").alias("n"))
+    match = lambda a, b: [a["id"].eqNullSafe(b["id"]), a["t1"] == b["t1"], a["t2"] == b["t2"]]
+    gone = names.join(best, match(names, best), "left_anti").select("id", "t1", "t2")
+    again = stage_table(names.where("n > 1").join(best, match(names, best), "left_semi").select("id", "t1", "t2"), "minhash-again")
+    text = docs[text_col]
+    row = lambda other: [docs[id_col].cast("long").eqNullSafe(other["id"]), F.xxhash64(text) == other["t1"],
+                         F.xxhash64(F.lit("text"), text) == other["t2"]]
+    if again.isEmpty():
+        return docs.join(gone, row(gone), "left_anti")
+    leave = stage_table(gone.unionByName(again), "minhash-gone")
+    repeated = docs.join(again, row(again), "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = (repeated.groupBy(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t")).agg(F.min(whole).alias("one"))
+            .select("one.*"))
+    return docs.join(leave, row(leave), "left_anti").unionByName(once)
+
+
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of ``documents`` over 4-word shingles."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text", k=4)

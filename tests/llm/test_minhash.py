@@ -74,3 +74,39 @@ def test_components_of_chains_and_stars(spark):
 def test_words_are_split_at_ascii_white_space_only():
     assert re.findall(r"[^\x20\x09-\x0D]+", "a b\x0bc") == ["a b", "c"]
     assert shingle_set("a b\x0bc", 4) == {("a b", "c")}
+
+
+def test_ids_that_name_several_texts(spark):
+    """Every text is compared, whatever id it shares; ids 1 and 2 are near
+    copies of the two texts of id 5."""
+    rng = random.Random(8)
+    a, b = ([f"{c}{rng.randrange(10**6)}" for _ in range(150)] for c in "ab")
+    near = [" ".join(mutate(rng, t, 2)) for t in (a, b)]
+    a, b = " ".join(a), " ".join(b)
+    rows = [(1, near[0]), (2, near[1]), (5, a), (5, b), (5, b.upper()), (9, "words of its own " * 30)]
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(3), k=4).collect())
+    assert got == [(1, 1, True), (2, 2, True), (5, 1, False), (5, 2, False), (5, 2, False), (9, 9, True)]
+
+
+def test_one_per_group_keeps_a_defined_row(spark, odd_docs, no_docs):
+    from aerotrace.llm.minhash import one_per_group
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+    near = " ".join(mutate(rng, base, 2))
+    base = " ".join(base)
+    other = "another text without an id " * 8
+    rows = [(7, base, "s1", 3, "b"), (7, base, "s0", 3, "a"), (7, base, None, 4, "c"), (3, near, "s9", 1, "d"), (None, base, "s", 1, "e"),
+            (None, other, "y", 2, "f"), (None, other, "x", 2, "g"), (8, "", "s", 1, "h"), (8, "", "s", 1, "h"), (None, None, "s", 1, "i"),
+            (11, other + "tail", "z", 0, "j")]
+    schema = "doc_id long, text string, source string, _id long, t1 string"
+    for parts in (1, 5):
+        got = one_per_group(spark.createDataFrame(rows, schema).repartition(parts), k=5)
+        assert got.columns == ["doc_id", "text", "source", "_id", "t1"]
+        assert sorted(r.t1 for r in got.collect()) == ["d", "h", "h", "i", "j"]
+    alone = [r for r in rows if r[4] not in "dj"]
+    got = one_per_group(spark.createDataFrame(alone, schema).repartition(4), k=5).collect()
+    assert sorted((r.t1, r.source or "") for r in got) == [("c", ""), ("g", "x"), ("h", "s"), ("h", "s"), ("i", "s")]
+    assert one_per_group(no_docs).count() == 0
+    kept = one_per_group(odd_docs, k=5).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None and r.doc_id >= 100) == [100]
