@@ -6,10 +6,8 @@ it kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from aerotrace.llm.decontam import clean_documents
-from aerotrace.llm.minhash import near_duplicates
+from aerotrace.llm.minhash import one_per_group
 from aerotrace.llm.mixing import mixed_documents
 from aerotrace.llm.quality import passing
 from aerotrace.llm.tokens import token_table
@@ -26,14 +24,12 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """Keep one document (the smallest id) of every near-duplicate group.
-    A document without an id is compared under a number made from its text,
-    2^62 and up, and keeps its null id; rows that repeat an id and its text,
-    or a text without an id, count once."""
-    number = F.xxhash64(F.lit("text"), "text").bitwiseAND((1 << 62) - 1) + F.lit(1 << 62)
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), number)).withColumn("_same", F.xxhash64("text"))
-    kept = near_duplicates(rows, "_id", k=5).where("kept").select("_id").distinct()
-    return rows.join(kept, "_id", "left_semi").dropDuplicates(["_id", "_same"]).select(*docs.columns)
+    """Keep one document of every near-duplicate group over 5-word shingles:
+    the one with the smallest id, documents without an id last.  Rows that
+    repeat an id and its text, or a text without an id, count once; documents
+    without words all stay; columns of any name pass through; an empty table
+    stays empty."""
+    return one_per_group(docs, k=5)
 
 
 def decontaminate(spark, docs, sf_dir):
