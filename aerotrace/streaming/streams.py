@@ -94,6 +94,28 @@ def episode_stream(df: DataFrame, gap: str = "5 minutes", delay: str = "10 minut
                     to_wall_clock(F.col("s.end")).alias("episode_end"), "n_points", "peak_score"))
 
 
+def verdict_join(scores: DataFrame, verdicts: DataFrame, how: str = "left", key: str = "icao",
+                 score_time: str = "event_timestamp", verdict_time: str = "verdict_timestamp", early: str = "0 seconds",
+                 late: str = "30 minutes", score_delay: str = "10 minutes", verdict_delay: str = "10 minutes") -> DataFrame:
+    """Scored states with the sequence verdicts that come for them, at most
+    ``early`` before and ``late`` after the state (both ends included): every
+    score with each of its verdicts, and with nulls where none can come any
+    more (``how="left"``), or the pairs only (``"inner"``).
+
+    On streams both sides have a watermark, and the time range tells Spark
+    when a waiting row cannot find a partner any more: its state is dropped,
+    and an unmatched score comes out then.  Rows behind their watermark are
+    dropped.  The same call on tables is the batch join.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how is left or inner")
+    s = with_instant(scores, score_time).withColumnRenamed(EVENT_INSTANT, "_score_at").withWatermark("_score_at", score_delay)
+    v = with_instant(verdicts, verdict_time).withColumnRenamed(EVENT_INSTANT, "_verdict_at").withColumnRenamed(key, "_verdict_key") \
+        .withWatermark("_verdict_at", verdict_delay)
+    match = F.expr(f"`{key}` = _verdict_key AND _verdict_at >= _score_at - INTERVAL {early} AND _verdict_at <= _score_at + INTERVAL {late}")
+    return s.join(v, match, how).drop("_score_at", "_verdict_at", "_verdict_key")
+
+
 def unprocessed_files(listed: DataFrame, processed: DataFrame, col: str = "path") -> DataFrame:
     """SE2 batch form of "files not yet processed": an anti join of the
     current listing against the processed log (the streaming file source
