@@ -161,20 +161,29 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, "\\\\(\\\\?)", "$1")
 
 
+def escape_role(role: Column) -> Column:
+    """``escape`` on one line."""
+    return F.replace(F.replace(escape(role), F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A"))
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.replace(F.replace(role, F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%")))
+
+
 def format_chats(turns: DataFrame) -> DataFrame:
     """``turns(conv_id, turn, place, role, text)`` -> ``(conv_id, formatted,
     loss)``: one text per conversation, and the code point spans (start, end)
     of its assistant texts.
 
     A turn is start mark, role, line feed, escaped text, end mark, line feed.
-    Turns are ordered by turn (null last), place, role and text.  White space
-    in roles counts as one space.  A long conversation is put together from
+    Turns are ordered by turn (null last), place, role and text.  A line feed
+    inside a role is written as %0A (and % as %25).  A long conversation is put together from
     blocks of 256 turn numbers, so only its block texts meet in one row.
     """
-    role = F.regexp_replace(F.coalesce("role", F.lit("")), "\\s+", " ")
+    role = F.coalesce("role", F.lit(""))
     text = escape(F.coalesce("text", F.lit("")))
     order = [F.col("turn").isNull().alias("late"), F.col("turn"), F.col("place"), F.col("role"), F.col("text")]
-    head = F.concat(F.lit(START), escape(role), F.lit("\n"))
+    head = F.concat(F.lit(START), escape_role(role), F.lit("\n"))
     rows = turns.select("conv_id", F.floor(F.col("turn") / BLOCK_TURNS).alias("block"), F.struct(
         *order, F.concat(head, text, F.lit(END + "\n")).alias("piece"),
         F.when(role == "assistant", F.struct(F.length(head).alias("start"), (F.length(head) + F.length(text)).alias("end"))).alias("loss"))
@@ -204,7 +213,7 @@ def read_chats(formatted: DataFrame) -> DataFrame:
     def turn(piece):
         cut = F.instr(piece, "\n")
         body = F.substring(piece, cut + 1, F.length(piece) - cut - len(END) - 1)
-        return F.struct(unescape(F.substring(piece, F.lit(1), cut - 1)).alias("role"), unescape(body).alias("text"))
+        return F.struct(unescape_role(F.substring(piece, F.lit(1), cut - 1)).alias("role"), unescape(body).alias("text"))
 
     pieces = F.split(F.col("formatted"), "<\\|im_start\\|>", -1)
     under = F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"])))
@@ -263,6 +272,6 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length('{START}' || {_escaped_sql('role')} || chr(10) || {_escaped_sql('text')} || '{END}' || chr(10))) AS BIGINT) AS formatted_chars
+  CAST(sum(length('{START}' || replace(replace({_escaped_sql('role')}, '%', '%25'), chr(10), '%0A') || chr(10) || {_escaped_sql('text')} || '{END}' || chr(10))) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id
 """

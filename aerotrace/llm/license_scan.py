@@ -35,6 +35,7 @@ NEIGHBOUR = 3  # diagonals this near each other belong to one span
 LEAST_COVER = 0.8  # share of a phrase's grams that a span needs
 MOST_STRETCH = 1.5  # longest span, in phrase lengths
 BROADCAST_GRAMS = 100_000
+BITS = 63  # grams in one long; a phrase of more has several
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[0:0x30] = False
@@ -59,13 +60,19 @@ def phrase_grams(spark: SparkSession, base=BASE_PHRASES, sentences=SENTENCES) ->
     gram, offsets = _grams(words)
     for i, (_, label, exact) in enumerate(phrases):
         own = gram[offsets[i]:offsets[i + 1]].view(np.int64).tolist()
-        if not 1 <= len(own) <= 63:
-            raise ValueError("a phrase needs 2 to 64 words")
+        if not own:
+            raise ValueError("a phrase needs two words")
         rows += [(g, i, label, exact, q, len(own)) for q, g in enumerate(own)]
     table = spark.createDataFrame(rows, "gram long, phrase int, label string, exact boolean, q int, n int")
     return F.broadcast(table) if len(rows) <= BROADCAST_GRAMS else table
 
 
+def gram_sets(base=BASE_PHRASES, sentences=SENTENCES) -> int:
+    """Longs that hold a bit for each gram of the longest phrase."""
+    words = Words(pa.array([p for p, _ in (*base, *sentences)]), is_word=_IS_WORD)
+    return max(1, -(-int(words.counts.max(initial=0) - GRAM + 1) // BITS))
+
+
 def document_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, version, p, gram): every gram of every text at its word p, and one
     row with p = -1 and the number of words in place of the gram.  ``version``
@@ -97,14 +104,13 @@ def document_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def merged_spans(group: np.ndarray, diagonal: np.ndarray, grams: np.ndarray, n: np.ndarray):
     """(group, first word, end word, grams found) of the verified spans of each
-    group, whose diagonals come sorted; ``grams`` are bit sets of the ``n``
-    phrase grams that a diagonal holds.
+    group, whose diagonals come sorted; ``grams`` (rows of longs) are bit sets
+    of the ``n`` phrase grams that a diagonal holds.
 
     Runs of neighbouring diagonals are tried from every diagonal on.  Of those
     that hold enough grams in a short enough span the fullest is taken, then
     the shortest; its diagonals take part in no other span."""
-    bits = (grams[:, None] >> np.arange(63)) & 1 > 0
-    low, high = diagonal + bits.argmax(axis=1), diagonal + 62 - bits[:, ::-1].argmax(axis=1) + GRAM
+    low, high = diagonal + lowest_bit(grams), diagonal + highest_bit(grams) + GRAM
     most = MOST_STRETCH * (n + GRAM - 1)
     start = np.arange(len(group))
     have, count, first, end = grams.copy(), np.zeros(len(group), np.int64), low.copy(), high.copy()
@@ -132,7 +138,22 @@ def merged_spans(group: np.ndarray, diagonal: np.ndarray, grams: np.ndarray, n:
 
 
 def bits_set(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).astype(np.int64)
+    return np.bitwise_count(x).sum(axis=-1).astype(np.int64)
+
+
+def lowest_bit(x: np.ndarray) -> np.ndarray:
+    """Place of the lowest bit of each row of longs (a row has one at least)."""
+    word = (x != 0).argmax(axis=1)
+    own = x[np.arange(len(x)), word]
+    return word * BITS + np.bitwise_count((own & -own) - 1).astype(np.int64)
+
+
+def highest_bit(x: np.ndarray) -> np.ndarray:
+    word = x.shape[1] - 1 - (x[:, ::-1] != 0).argmax(axis=1)
+    own = x[np.arange(len(x)), word]
+    for shift in (1, 2, 4, 8, 16, 32):  # every bit below the highest one
+        own = own | own >> shift
+    return word * BITS + np.bitwise_count(own).astype(np.int64) - 1
 
 
 def _verified(groups: DataFrame) -> DataFrame:
@@ -148,7 +169,8 @@ def _verified(groups: DataFrame) -> DataFrame:
             cells = cells.flatten()
             row = np.repeat(np.arange(batch.num_rows), sizes)
             diagonal = cells.field("diagonal").to_numpy(zero_copy_only=False).astype(np.int64)
-            grams = cells.field("grams").to_numpy(zero_copy_only=False).astype(np.int64)
+            lists = cells.field("grams")
+            grams = np.asarray(lists.flatten()).astype(np.int64).reshape(len(lists), -1) if len(lists) else np.zeros((0, 1), np.int64)
             n = batch.column("n").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             exact = batch.column("exact").fill_null(False).to_numpy(zero_copy_only=False)[row]
             inexact = np.flatnonzero(~exact)
@@ -177,26 +199,30 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A-Z is lower-cased; words are runs of 0-9, a-z and all non-ASCII
     characters.  Null, empty and wordless texts have n_words 0, no labels and
-    score 0.  Null ids and rows that share an id are scanned each; exact
+    score 0.  A template may be of any length, a whole license text too.  Null ids and rows that share an id are scanned each; exact
     repeats of a row are all returned.  An empty table gives an empty result;
     other columns of ``docs`` are ignored.
     """
-    phrases = phrase_grams(docs.sparkSession, base, sentences)
+    phrases, n_sets = phrase_grams(docs.sparkSession, base, sentences), gram_sets(base, sentences)
     hits = document_grams(docs, id_col, text_col).join(phrases, "gram", "left").where("p < 0 OR phrase IS NOT NULL")
     is_row = F.col("p") < 0
     votes = (hits.withColumn("diagonal", F.when(~is_row, F.col("p") - F.col("q")))
              .withColumn("phrase", F.when(~is_row, F.col("phrase")))
              .groupBy("id", "version", "phrase", "diagonal").agg(
-                 F.count("*").alias("votes"), F.bit_or(F.when(~is_row, F.expr("shiftleft(1L, q)"))).alias("grams"),
+                 F.count("*").alias("votes"), *[F.bit_or(F.when(~is_row & (F.expr(f"q div {BITS}") == i), F.expr(f"shiftleft(1L, q % {BITS})"))).alias(f"grams{i}")
+                                        for i in range(n_sets)],
                  F.max(F.when(is_row, F.col("gram"))).alias("n_words"), F.first("label").alias("label"),
                  F.first("exact").alias("exact"), F.first("n").alias("n")))
-    whole = F.col("phrase").isNull() | ~F.col("exact") | (F.bit_count("grams") == F.col("n"))
-    cell = F.when(F.col("phrase").isNotNull(), F.struct("diagonal", "grams"))
+    sets = [f"grams{i}" for i in range(n_sets)]
+    held = sum((F.coalesce(F.bit_count(c), F.lit(0)) for c in sets), F.lit(0))
+    whole = F.col("phrase").isNull() | ~F.col("exact") | (held == F.col("n"))
+    packed = F.array(*[F.coalesce(c, F.lit(0).cast("long")) for c in sets]).alias("grams")
+    cell = F.when(F.col("phrase").isNotNull(), F.struct("diagonal", packed))
     # no span can hold more of a phrase's grams than its text
     groups = (votes.where(whole).groupBy("id", "version", "phrase").agg(
         F.max("label").alias("label"), F.max("exact").alias("exact"), F.max("n").alias("n"), F.max("n_words").alias("n_words"),
-        F.max("votes").alias("copies"), F.array_sort(F.collect_list(cell)).alias("cells"), F.bit_or("grams").alias("grams"))
-        .where(F.col("phrase").isNull() | (F.bit_count("grams") >= LEAST_COVER * F.col("n"))).drop("grams"))
+        F.max("votes").alias("copies"), F.array_sort(F.collect_list(cell)).alias("cells"), *[F.bit_or(c).alias(c) for c in sets])
+        .where(F.col("phrase").isNull() | (held >= LEAST_COVER * F.col("n"))).drop(*sets))
     found = _verified(groups)
     text = F.when(F.col("phrase").isNotNull(), F.concat_ws(":", "label", F.col("first").cast("string"), F.col("end").cast("string")))
     label = F.when(F.col("phrase").isNotNull(), F.col("label"))

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerotrace.llm.prefix import running_sums
-from aerotrace.llm.quality import words
 from aerotrace.session import stage_table
 
 WEIGHTS = (5, 2, 1)
@@ -43,25 +42,38 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, most_epochs: int = MOST_EP
     return filled.select("source", "source_size", "weight", F.least(F.col("cap"), share).alias("target"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
+def draw_key(doc_id: Column, text: Column, seed: str) -> Column:
+    """Hash-random key of a document; one without an id draws by its text."""
+    known = F.concat(F.lit(f"{seed}:"), doc_id.cast("string"))
+    return F.md5(F.when(doc_id.isNotNull(), known).otherwise(F.concat(F.lit(f"{seed}::"), F.coalesce(F.md5(text.cast("binary")), F.lit("")))))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights=WEIGHTS, most_epochs: int = MOST_EPOCHS, seed: str = SEED) -> DataFrame:
     """One row per row of ``docs``: (id_col, size, source_size, target, taken).
 
-    Every document draws a random key from a hash of the seed and its id;
-    documents are range-sorted by key within their source, and prefix sums of
+    Every document draws a random key from a hash of the seed and its id (of
+    its text if it has none); documents are range-sorted by key within their source, and prefix sums of
     sizes cut each source at its budget (the target, rounded).  A budget of
     more than one source size takes whole epochs first; the document at the
     cut is taken in part.  Reruns give the same result.
 
     Null or blank texts have size 0 and are taken with 0 words; null sources
-    are a source of their own, last in order; null ids draw the key of the
-    empty id.  Ties in the key are ordered by id and size; exact repeats of a
-    row are documents of their own.  An empty table gives an empty result;
+    are a source of their own, last in order.  Ties in the key (rows that
+    repeat an id, or a text without one) are ordered by id and size; exact
+    repeats of a row are documents of their own.  An empty table gives an empty result;
     other columns are ignored.
     """
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
-    sized = stage_table(sized.withColumn(
-        "draw", F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")))), "mix-sizes")
+    sized = stage_table(docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        draw_key(F.col(id_col), F.col(text_col), seed).alias("draw")), "mix-sizes")
     targets = source_targets(sized, weights, most_epochs)
     placed = running_sums(sized, [F.col("draw"), F.col("id").asc_nulls_last(), F.col("size")], {"before": "size"}, by=["source"])
     t = targets.select(F.col("source").alias("_s"), "source_size", "target")
@@ -75,31 +87,38 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"))
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """``text`` up to the end of its ``n``-th word, white space as it is."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0)), F.lit(1), n), "")
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs`` (doc_id, text, source, ...), each as
-    often as the mix takes it whole, and the documents at a cut once more with
-    their first words only (joined by single spaces).  Documents without words
-    are kept once, since they use no budget.  Rows that share an id also share
-    the smallest ``taken`` of that id and size; a row without an id goes by its
-    source and text."""
+    often as the mix takes it whole, and the documents at a cut once more, up
+    to the end of the last word taken.  n_chars follows a cut text.
+
+    Null, empty and blank texts use no budget and are kept once.  Rows that
+    share an id and size share the smallest ``taken`` of them; a row without
+    an id goes by its source and text.  Any further column passes through
+    whatever its name; an empty table gives an empty result."""
+    key, size, first = (unused(docs, n) for n in ("_key", "_size", "_first"))
     blank = F.lit("")
     own = F.concat_ws("#", blank, F.coalesce("source", blank), F.md5(F.coalesce("text", blank).cast("binary")))
-    docs_keyed = docs.withColumn("_key", F.coalesce(F.col("doc_id").cast("string"), own))
-    plan = mix(docs_keyed, id_col="_key", **options)
-    plan = plan.groupBy("_key", "size").agg(F.min("taken").alias("taken"))
-    plan = plan.select(F.col("_key").alias("_id"), F.col("size").alias("_size"), "taken")
-    rows = docs_keyed.withColumn("_words", word_count(F.col("text")))
-    rows = rows.join(plan, (F.col("_key") == F.col("_id")) & (F.col("_words") == F.col("_size")))
-    whole = F.when(F.col("_words") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("_words"))).cast("int")
-    left = F.when(F.col("_words") == 0, 0).otherwise(F.col("taken") % F.col("_words")).cast("int")
+    sized = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("string"), own)).withColumn(size, word_count(F.col("text")))
+    plan = mix(sized.select(F.col(key).alias("doc_id"), "text", "source"), **options)
+    plan = plan.groupBy("doc_id", "size").agg(F.min("taken").alias("taken"))
+    rows = sized.join(plan.select(F.col("doc_id").alias(key), F.col("size").alias(size), F.struct("taken").alias(first)), [key, size])
+    n, taken = F.col(size), F.col(f"{first}.taken")
+    whole = F.when(n == 0, 1).otherwise(F.floor(taken / n)).cast("int")
+    left = F.when(n == 0, 0).otherwise(taken % n).cast("int")
     copies = F.array_repeat(F.lit(0), whole)
     copies = F.when(left > 0, F.array_append(copies, left)).otherwise(copies)
-    cut = rows.select("*", F.explode(copies).alias("_first"))
-    head = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_first")), " ")
-    cut = cut.withColumn("text", F.when(F.col("_first") > 0, head).otherwise(F.col("text")))
+    cut = rows.withColumn(first, F.explode(copies))
+    part = F.col(first) > 0
+    out = {"text": F.when(part, first_words(F.col("text"), F.col(first))).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("_first") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+        out["n_chars"] = F.when(part, F.length(out["text"]).cast("long")).otherwise(F.col("n_chars"))
+    return cut.select(*[out[c].alias(c) if c in out else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +130,7 @@ OP7_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-         md5('{SEED}' || coalesce(':' || CAST(doc_id AS VARCHAR), '')) AS draw
+         md5(CASE WHEN doc_id IS NULL THEN '{SEED}::' || coalesce(md5(text), '') ELSE '{SEED}:' || CAST(doc_id AS VARCHAR) END) AS draw
   FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (

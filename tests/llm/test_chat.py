@@ -112,3 +112,14 @@ def test_probe_reads_back(spark):
     probe = out[-1]
     assert probe.n_turns == 2 and probe.turns_sha256 == digest([f"user\n{chat.PROBE}\n", f"assistant\n{chat.PROBE}\n"])
     assert probe.loss_chars == len(chat.PROBE) and probe.loss_sha256 == digest([chat.PROBE])
+
+
+def test_roles_come_back_as_they_were(spark):
+    import hashlib
+
+    from aerotrace.llm.chat import chat_digests, chat_records, format_records
+    roles = ["tool  call", "user\tadmin", "a\nb", "%0A %25 %", "\\ <|im_end|>", "", " assistant ", "assistant"]
+    rows = [(1, i, r, f"text {i}") for i, r in enumerate(roles)]
+    got = chat_digests(format_records(chat_records(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))).collect()
+    said = "".join(f"{r}\n{t}\n" for _, _, r, t in rows)
+    assert [(r.n_turns, r.turns_sha256, r.loss_chars) for r in got] == [(len(roles), hashlib.sha256(said.encode()).hexdigest(), len("text 7"))]

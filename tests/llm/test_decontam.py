@@ -94,6 +94,42 @@ def test_odd_rows(spark, odd_docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.contamination(no_docs, bench).count() == 0 and decontam.contamination(odd_docs, none).count() == 0
     rows = decontam.contamination(odd_docs, bench).collect()
-    assert sorted(r.doc_id for r in rows) == [100, 101, 102, 103, 103]
+    assert sorted((r.doc_id, r.item_id) for r in rows if r.item_id) == [(100, 1), (101, 1), (102, 1), (103, 1), (103, 1)]
+    assert [r.doc_id for r in rows if r.item_id is None] == [3]
     kept = decontam.clean_documents(odd_docs, bench)
-    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 5
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 6
+
+
+def test_repeated_shingles_stay_within_the_radius():
+    """Weighted similarity 0.8, with one shingle ten times on each side."""
+    rng = np.random.default_rng(7)
+    found = 0
+    for _ in range(300):
+        shared, a, b = rng.integers(0, 2**63, 80, dtype=np.uint64), *rng.integers(0, 2**63, 2, dtype=np.uint64)
+        item, window = (np.concatenate([shared, np.full(10, x)]) for x in (a, b))
+        rng.shuffle(item)
+        group = decontam.Group(90, ["x"], [item])
+        found += list(group.within_radius(decontam.fingerprints(window, np.array([0]), 90))) == [(0, 0)]
+    assert found >= 297
+
+
+def test_window_fingerprints_are_those_of_their_features():
+    rng = np.random.default_rng(8)
+    text = rng.integers(0, 12, 200).astype(np.uint64)
+    for size in (1, 2, 7, 40):
+        got = decontam.fingerprints(text, np.arange(200 - size + 1), size)
+        for a in range(200 - size + 1):
+            seen, total = Counter(), np.zeros(64, dtype=np.int64)
+            for s in text[a:a + size].tolist():
+                feature = (s + seen[s] * 0x9E3779B97F4A7C15) % 2**64
+                seen[s] += 1
+                bits = int(decontam.mix64(np.array([feature], dtype=np.uint64))[0])
+                total += [2 * (bits >> i & 1) - 1 for i in range(64)]
+            assert (np.packbits(total > 0) == got[a]).all()
+
+
+def test_index_of_many_short_items_is_small():
+    import pickle
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(50000)}" for _ in range(6)) for _ in range(100000)]
+    assert len(pickle.dumps(decontam.Index(list(range(len(texts))), texts))) < 50 << 20

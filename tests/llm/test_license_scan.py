@@ -77,3 +77,43 @@ def test_odd_rows(odd_docs, no_docs):
     rows = scan_licenses(odd_docs).collect()
     assert len(rows) == odd_docs.count()
     assert sum(r.doc_id == 103 for r in rows) == 2
+
+
+MIT = """permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files
+the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish
+distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the
+following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+software the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of
+merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any
+claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software
+or the use or other dealings in the software"""
+
+
+def brute_spans(text, sentences):
+    """(label:first:end, cover) of whole templates: the span is looked for at
+    every start, whatever lies between its words."""
+    w, out = words(text), []
+    for s, label in sentences:
+        t = words(s)
+        for i in range(len(w)):
+            if w[i:i + len(t)] == t:
+                out.append((f"{label}:{i}:{i + len(t)}", 1.0))
+    return out
+
+
+def test_whole_license_texts(spark):
+    """Templates of more words than one long has bits."""
+    rng = random.Random(3)
+    sentences = ((MIT, "mit-text"), (" ".join(f"q{i}" for i in range(64)), "even"), (" ".join(f"r{i}" for i in range(65)), "odd"),
+                 (" ".join(f"s{i % 90}" for i in range(700)), "loop"))
+    exact = [("x y " * rng.randrange(9)) + s + " z" * rng.randrange(9) for s, _ in sentences]
+    changed = [" ".join(w for w in words(s) if rng.random() > 0.05) for s, _ in sentences[:1]]
+    half = [" ".join(words(s)[:len(words(s)) // 2]) for s, _ in sentences[:3]]
+    rows = list(enumerate([*exact, *changed, *half, None, "", exact[0] + " " + exact[2]]))
+    got = {r.doc_id: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), sentences=sentences).collect()}
+    for i, text in rows:
+        want = brute_spans(text, sentences)
+        if want and i != 3:  # a text that repeats its own words has several diagonals of the same cover
+            assert got[i].spans == ",".join(sorted(s for s, _ in want)) and got[i].score == 1
+    assert got[3].labels == "loop" and got[3].score == 1 and got[len(exact)].labels == "mit-text" and 0.8 <= got[len(exact)].score < 1
+    assert all(got[len(exact) + 1 + i].labels == "" for i in range(3))

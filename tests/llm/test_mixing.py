@@ -74,3 +74,23 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(got) == odd_docs.count()
     assert all(r.taken == 0 for r in got if r.size == 0)
     assert mixed_documents(odd_docs).columns == odd_docs.columns
+
+
+def test_rows_without_an_id_are_taken_at_random(spark):
+    """Whether such a row is taken does not follow its size."""
+    rng = random.Random(2)
+    rows = [(None, "a", f"t{i} " + "w " * rng.randrange(1, 60)) for i in range(300)] + [(1, "b", "word " * 6000)]
+    got = mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), weights=(2, 7)).collect()
+    mine = [r for r in got if r.doc_id is None]
+    whole, left = [[r.size for r in mine if (r.taken >= r.size) == x] for x in (True, False)]
+    assert len(whole) > 50 and len(left) > 50 and abs(sum(whole) / len(whole) - sum(left) / len(left)) < 10
+
+
+def test_cut_texts_keep_their_white_space_and_other_columns(spark):
+    rows = [(i, "a", f" one\t\ttwo{i}\n three  four ", i, "k", "z") for i in range(9)] + [(99, "b", "x " * 400, 7, "k", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, _key long, _size string, _first string")
+    out = mixed_documents(docs, weights=(1, 30)).collect()
+    text = {r[0]: r[2] for r in rows}
+    assert all(r._key == (7 if r.doc_id == 99 else r.doc_id) and (r._size, r._first) == ("k", "z") for r in out)
+    cut = [r for r in out if r.text != text[r.doc_id]]
+    assert cut and all(text[r.doc_id].startswith(r.text) and r.text[-1].strip() for r in cut)
