@@ -218,7 +218,9 @@ def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
         cat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
         return pa.table({"a": cat(out_a), "b": cat(out_b)})
 
-    return left.unionByName(right).groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+    # dealt by block: left to itself Spark keeps a bucket's rows where the join on the bucket has put them
+    cells = left.unionByName(right).repartition("bucket", "i", "j")
+    return cells.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
 
 
 def _classes(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
