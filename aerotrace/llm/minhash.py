@@ -229,10 +229,13 @@ def _classes(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     t2), ids first, and component the same value for classes that are linked.
 
     A class goes by a number of its own through buckets, sets and links, so it
-    does not matter which ids its rows have."""
+    does not matter which ids its rows have.  Numbers follow the order of the
+    names: the pivot of a bucket is its smallest name, more often the text that
+    the others were copied from than any other member."""
     name = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2")
-    classes = stage_table(rows.groupBy("key1", "key2").agg(F.min(name).alias("rep")).select(
-        "*", F.monotonically_increasing_id().alias("node")), "minhash-classes")
+    order = ["rep.no_id", "rep.id", "rep.t1", "rep.t2"]
+    classes = rows.groupBy("key1", "key2").agg(F.min(name).alias("rep")).repartitionByRange(*order).sortWithinPartitions(*order)
+    classes = stage_table(classes.select("*", F.monotonically_increasing_id().alias("node")), "minhash-classes")
     wanted = classes.select("key1", "key2", "node", "rep.id", "rep.t1", "rep.t2")
     same = [rows["key1"] == wanted["key1"], rows["key2"] == wanted["key2"], rows["id"].eqNullSafe(wanted["id"]),
             rows["t1"] == wanted["t1"], rows["t2"] == wanted["t2"]]
