@@ -6,6 +6,8 @@ they stay inside whole-stage codegen and never cross into Python.
 
 from __future__ import annotations
 
+import json
+import re
 from itertools import chain
 
 from pyspark.sql import Column
@@ -31,6 +33,24 @@ def map_lookup(mapping: dict, key: str | Column, default: str | None = None) ->
     return looked if default is None else F.coalesce(looked, F.lit(default))
 
 
+def read_map(path: str) -> dict[str, str]:
+    """A code map kept as configuration: ``code: label`` lines (quotes and
+    ``#`` comments as in simple YAML) or a JSON object, for ``map_lookup`` and
+    the label functions' ``mapping``.  Read on the driver, a few rows."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    if text.lstrip().startswith("{"):
+        return {str(k): str(v) for k, v in json.loads(text).items()}
+    out = {}
+    for number, line in enumerate(text.splitlines(), 1):
+        found = re.fullmatch(r"""\s*(?:(["']?)([^"'#:]+?)\1\s*:\s*(?:"([^"]*)"|'([^']*)'|([^#"']*?)))?\s*(?:#.*)?""", line)
+        if found is None:
+            raise ValueError(f"{path}:{number}: not a 'code: label' line")
+        if found[2] is not None:
+            out[found[2]] = next(x for x in found.groups()[2:] if x is not None)
+    return out
+
+
 def null_if_blank(c: str | Column) -> Column:
     """The trimmed text, null when nothing is left."""
     return F.nullif(F.trim(col(c)), F.lit(""))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from aerotrace.functions import constants as K
 from aerotrace.functions.exprs import epoch_micros_ntz, epoch_ntz, json_unbracket, ntz_from_micros
+from aerotrace.operators.series import CHUNK, Series
 
 # --- fixed values: positional slots of a trace point ---
 POINT_SLOTS = {
@@ -96,15 +97,16 @@ def _json_value(c, numeric: bool):
     return json_unbracket(F.to_json(F.array(col)))
 
 
-def trace_documents(flat: DataFrame, slice_minutes: int = 60) -> DataFrame:
+def trace_documents(flat: DataFrame, slice_minutes: int = 60, max_points: int = 20_000) -> DataFrame:
     """Inverse of :func:`flatten_traces`, used to produce raw documents from
     flat observations: one document per (aircraft, day).  Document-level
     fields take the day's maximum; ``alt_baro`` is written as a number when
     numeric and as a string (``"ground"``) otherwise.
 
-    Each document holds ``slice_minutes`` of an aircraft-day, whatever the
-    number of reports, and carries the whole day's header; flattening the
-    slices gives the same rows as one document a day would."""
+    Each document holds ``slice_minutes`` of an aircraft-day, or less where
+    these have more than ``max_points`` reports (``Series.with_chunk``), and
+    carries the whole day's header; flattening the slices gives the same rows
+    as one document a day would."""
     day_start = F.timestamp_diff("SECOND", epoch_ntz(), F.col("data_date").cast("timestamp_ntz"))
     off = (epoch_micros_ntz("event_timestamp") - day_start * F.lit(1_000_000)) / F.lit(1e6)
     alt = F.when(F.col("alt_baro").try_cast("double").isNotNull(), F.col("alt_baro")) \
@@ -125,13 +127,13 @@ def trace_documents(flat: DataFrame, slice_minutes: int = 60) -> DataFrame:
     # header fields: document key -> source column
     header = {"r": "registration", "t": "aircraft_type", "desc": "description", "dbFlags": "db_flags",
               "source_file": "source_file", "ingestion_ts": "ingestion_ts"}
-    part = F.floor(epoch_micros_ntz("event_timestamp") / (slice_minutes * 60_000_000))
-    keyed = flat.select("icao", "data_date", part.alias("_part"), *header.values(), "event_timestamp",
+    cut = Series.of(["icao", "data_date"], "event_timestamp", chunk_seconds=slice_minutes * 60, max_chunk_rows=max_points)
+    keyed = cut.with_chunk(flat).select("icao", "data_date", F.col(CHUNK).alias("_part"), *header.values(), "event_timestamp",
                         point.alias("_p"), day_start.alias("_base"))
     docs = keyed.groupBy("icao", "data_date", "_part").agg(
         *[F.max(c).alias(k) for k, c in header.items()], F.first("_base").alias("timestamp"),
         F.array_sort(F.collect_list(F.struct("event_timestamp", "_p"))).alias("_pts"))
-    # the day's header from its slices: at most 24 * 60 / slice_minutes rows a window
+    # the day's header from its slices, a row each
     day = Window.partitionBy("icao", "data_date")
     docs = docs.withColumns({k: F.max(k).over(day) for k in header})
     docs = docs.withColumn("_h", F.to_json(F.struct("icao", "r", "t", "desc", "dbFlags", "timestamp")))

@@ -64,7 +64,10 @@ def position_source_label(c="position_source") -> Column:  # PL10
     return map_lookup(K.POSITION_SOURCE, c, K.POSITION_SOURCE_DEFAULT)
 
 
-def emitter_category_label(c="category") -> Column:  # PL11
+def emitter_category_label(c="category", mapping: dict | None = None) -> Column:  # PL11
+    """``mapping`` (``exprs.read_map``, codes as text) in place of the standard labels."""
+    if mapping:
+        return map_lookup(mapping, col(c).cast("string"), K.LIVE_CATEGORY_DEFAULT)
     return map_lookup(K.LIVE_CATEGORY, c, K.LIVE_CATEGORY_DEFAULT)
 
 

@@ -18,6 +18,7 @@ from aerotrace.operators import series
 from aerotrace.operators.joins import hybrid_left_join
 from aerotrace.operators.prefix import running_sums
 from aerotrace.operators.series import Series
+from aerotrace.session import stage_table
 
 # feature -> (lag name, lead name)
 SHIFTED = {
@@ -160,8 +161,8 @@ def category_thresholds(df: DataFrame, q: float = 0.99) -> DataFrame:
     Scores are counted per (category, score), range-sorted, and given their
     rank by distributed prefix sums, so a category of any size spreads over
     many tasks and the answer is the same order statistic at every size."""
-    scores = df.where(F.col("xgb_anomaly_score").isNotNull()).groupBy("category", "xgb_anomaly_score").agg(
-        F.count("*").alias("n"))
+    scores = stage_table(df.where(F.col("xgb_anomaly_score").isNotNull()).groupBy("category", "xgb_anomaly_score").agg(
+        F.count("*").alias("n")), "scores")
     score = F.col("xgb_anomaly_score")
 
     def quantile(hist, by, name):
@@ -197,10 +198,19 @@ def by_aircraft(seed: int, share: float = 0.8):
     return F.pmod(F.xxhash64(F.lit(seed), "icao"), F.lit(1000)) < int(share * 1000)
 
 
+def by_row(seed: int, share: float = 0.8):
+    """True for the ``share`` of rows that are trained on: a hash of the
+    observation, the same on every run and however the rows are partitioned.
+    Neighbouring rows of an aircraft fall on both sides."""
+    return F.pmod(F.xxhash64(F.lit(seed), "icao", "event_timestamp"), F.lit(1000)) < int(share * 1000)
+
+
 def train_next_state(df: DataFrame, path: str | None = None, params: dict | None = None,
-                     seed: int = 42) -> tuple[dict, dict]:
+                     seed: int = 42, split: str = "rows") -> tuple[dict, dict]:
     """ML4: one gradient-boosted regressor per target, trained on 80 % of the
-    aircraft and tested on the others, so no aircraft is on both sides.
+    rows and tested on the others (``split="rows"``, random over time within
+    an aircraft too), or split by aircraft (``"aircraft"``), which leaves no
+    aircraft on both sides and gives the honest error of an unseen one.
     Returns (models, hold-out MAE per target).  Rows with a null label are
     dropped per target.  Models are saved under ``path`` when given."""
     from pyspark.ml.regression import GBTRegressor
@@ -211,7 +221,7 @@ def train_next_state(df: DataFrame, path: str | None = None, params: dict | None
     # Seven fits read the same split: persist it once (spills to disk, and a
     # lost executor recomputes only its partitions) instead of re-running
     # the feature lineage per target.
-    in_train = by_aircraft(seed)
+    in_train = {"rows": by_row, "aircraft": by_aircraft}[split](seed)
     train, test = [data.filter(side).persist(StorageLevel.MEMORY_AND_DISK) for side in (in_train, ~in_train)]
     models, mae = {}, {}
     try:

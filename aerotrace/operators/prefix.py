@@ -1,4 +1,4 @@
-"""Distributed prefix sums."""
+"""Distributed prefix sums and row positions."""
 
 from __future__ import annotations
 
@@ -36,3 +36,27 @@ def running_sums(df: DataFrame, order: list, sums: dict[str, str], by: list[str]
     inside = Window.partitionBy("_part", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return staged.join(offsets, match).select(
         *df.columns, *[(F.col(f"_o_{n}") + F.coalesce(F.sum(v).over(inside), zero)).alias(n) for n, v in sums.items()])
+
+
+def row_positions(df: DataFrame, order: list, by: list[str] | None = None, name: str = "position") -> DataFrame:
+    """``df`` plus ``name``: how many rows come before the row in ``order``
+    within its ``by`` group (null being a group of its own).
+
+    Rows are range-partitioned and sorted by (by, order) and stored with their
+    place in the stored partition.  One row per partition and group then says
+    how many rows lie ahead of it, so the rows are shuffled once and no window
+    holds them.  ``order`` must be total up to rows that are equal in all of
+    df's columns.
+    """
+    by = by or []
+    keys = [*[F.col(c).asc_nulls_last() for c in by], *order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    staged = stage_table(placed, "positions").withColumn("_part", F.shiftright("_place", 33))
+    parts = staged.groupBy("_part", *by).agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    ahead = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("_part").alias("_p2"), *[F.col(c).alias(f"_by_{c}") for c in by],
+                         (F.col("_first") - F.coalesce(F.sum("_rows").over(ahead), F.lit(0))).alias("_base"))
+    match = F.col("_part") == F.col("_p2")
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return staged.join(parts, match).select(*df.columns, (F.col("_place") - F.col("_base")).alias(name))

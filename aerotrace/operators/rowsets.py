@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerotrace.operators.prefix import running_sums
+from aerotrace.operators.prefix import row_positions, running_sums
 from aerotrace.session import stage_table
 
 
@@ -18,7 +18,7 @@ def rank_family(df: DataFrame, value: str, tiebreak: list[str], by: list[str] |
     Ranks come from a histogram of the distinct values: its prefix sums count
     the rows and the values ahead, and every row looks its value up.  Row
     numbers, which order ties by ``tiebreak`` (unique together with the
-    value), are prefix sums over the range-sorted rows.  No window holds a
+    value), are places in the range-sorted rows.  No window holds a
     group, however large, and values with many ties are one histogram row.
     """
     by = list(by or [])
@@ -27,7 +27,7 @@ def rank_family(df: DataFrame, value: str, tiebreak: list[str], by: list[str] |
     counts = stage_table(df.groupBy(*by, value).agg(F.count("*").alias("_n")).withColumn("_one", one), "rank-values")
     ahead = running_sums(counts, [order], {"_before": "_n", "_values": "_one"}, by)
     total = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    numbered = running_sums(df.withColumn("_one", one), [order, *[F.col(c) for c in tiebreak]], {"_row": "_one"}, by)
+    numbered = row_positions(df, [order, *[F.col(c) for c in tiebreak]], by, "_row")
 
     def match(a, b, names):
         hit = F.lit(True)

@@ -39,6 +39,9 @@ DIMENSIONS = {
 
 BROADCAST_ROWS = 100_000  # a dimension of up to this many rows is broadcast
 
+#: Dimensions whose domain bounds their rows: 25 hours (null too) of 61 minutes.
+BOUNDED = ("dim_time",)
+
 MEASURES = ["event_timestamp", "lat", "lon", "resolved_altitude", "ground_speed",
             "resolved_vert_rate", "track", "climb_state", "is_on_ground", "ingestion_lag_seconds"]
 
@@ -48,8 +51,9 @@ def key_expr(name: str):
 
 
 def dimension(df: DataFrame, name: str) -> DataFrame:
+    """The distinct attributes, then their key: one md5 per dimension row."""
     key, attrs = DIMENSIONS[name]
-    return df.select(key_expr(key), *attrs).distinct()
+    return df.select(*attrs).distinct().select(key_expr(key), *attrs)
 
 
 def unique_dimension(df: DataFrame, name: str, latest=("event_timestamp", "row_id")) -> DataFrame:
@@ -58,9 +62,12 @@ def unique_dimension(df: DataFrame, name: str, latest=("event_timestamp", "row_i
     several rows per key and a join would fan out)."""
     key, attrs = DIMENSIONS[name]
     latest = [c for c in latest if c in df.columns]
-    best = F.max(F.struct(*[F.col(c) for c in latest], *[F.col(a) for a in attrs])).alias("_b")
-    return (df.select(key_expr(key), *latest, *attrs).groupBy(key).agg(best)
-            .select(key, *[F.col(f"_b.{a}").alias(a) for a in attrs]))
+    more = [a for a in attrs if a not in KEYS[key]]
+    if not more:
+        return dimension(df, name)
+    best = F.max(F.struct(*[F.col(c) for c in latest], *[F.col(a) for a in more])).alias("_b")
+    rows = df.groupBy(*KEYS[key]).agg(best)
+    return rows.select(key_expr(key), *[F.col(f"_b.{a}").alias(a) if a in more else F.col(a) for a in attrs])
 
 
 def fact(df: DataFrame) -> DataFrame:
@@ -79,13 +86,19 @@ def build_star(df: DataFrame) -> dict[str, DataFrame]:
 def star_join(df: DataFrame) -> DataFrame:
     """ST9: the fact joined to every dimension, as the BI model reads it.
 
-    Each dimension is stored once and counted.  Up to ``BROADCAST_ROWS`` it is
+    Dimensions whose values bound their rows (``BOUNDED``) are broadcast.  Each
+    of the others is stored once and counted.  Up to ``BROADCAST_ROWS`` it is
     broadcast, so the fact is read once and not shuffled for it; a larger one
     is joined by shuffle between two stored tables, where AQE can split the
     partition of a hot key (the missing callsign, for one)."""
     f = fact(df)
+    taken = set(f.columns)
     for name, (key, attrs) in DIMENSIONS.items():
-        d = unique_dimension(df, name)
-        d = stage_table(d.drop(*[a for a in attrs if a in f.columns]), name)
+        d = unique_dimension(df, name).drop(*[a for a in attrs if a in taken])
+        taken |= set(d.columns)
+        if name in BOUNDED:
+            f = f.join(F.broadcast(d), key, "left")
+            continue
+        d = stage_table(d, name)
         f = f.join(F.broadcast(d) if d.count() <= BROADCAST_ROWS else d, key, "left")
     return f

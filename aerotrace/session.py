@@ -96,6 +96,14 @@ def drop_staged(*tables: DataFrame) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def listing(spark: SparkSession, pattern: str) -> str:
+    """The file system's entries under a glob pattern (path, length, time of
+    change, ...) as one text: one call, however many files there are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
+    return spark._jvm.scala.runtime.ScalaRunTime.stringOf(found) if found else ""
+
+
 _shipped: set[str] = set()
 
 

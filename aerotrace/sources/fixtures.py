@@ -11,8 +11,12 @@ window.  The derivations are row-wise projections of the whole table
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
+from aerotrace.session import listing
 from aerotrace.sources.tables import read_table
 
 TRACES_SQL = """
@@ -112,15 +116,15 @@ FROM {traces} WHERE row_id % 3 = 0
 """
 
 
-def version(spark: SparkSession, base: str) -> tuple:
-    """Paths, sizes and times of the event files, to notice changed input."""
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    out = []
-    for name in sorted(spark.read.parquet(f"{base.rstrip('/')}/events.parquet").inputFiles()):
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        status = path.getFileSystem(conf).getFileStatus(path)
-        out.append((name, status.getLen(), status.getModificationTime()))
-    return tuple(out)
+def version(spark: SparkSession, base: str) -> str:
+    """A digest of the names, sizes and times of the files of the tables that
+    the views read, to notice changed input: one listing per table."""
+    seen = hashlib.sha256()
+    for table in ("events", "nation"):
+        for pattern in (f"{table}.parquet", f"{table}.parquet/*"):  # a file or a folder of files
+            listed = listing(spark, f"{base.rstrip('/')}/{pattern}")
+            seen.update(re.sub(r"access_time=\d+", "", listed).encode())
+    return seen.hexdigest()
 
 
 def traces(spark: SparkSession, base: str) -> DataFrame:

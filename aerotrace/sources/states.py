@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerotrace.functions.exprs import json_unbracket
+from aerotrace.operators.prefix import row_positions
 
 STATE_SCHEMA = T.StructType([
     T.StructField("icao24", T.StringType()),
@@ -41,6 +42,22 @@ def parse_states(df: DataFrame, col: str = "value") -> DataFrame:
     return parsed.select(*[F.col(f"_s.{c}").alias(c) for c in STATE_FIELDS], *other)
 
 
+#: What a Kafka read needs, and what it takes when nothing else is said.
+KAFKA_REQUIRED = ("kafka.bootstrap.servers",)
+KAFKA_TOPIC = ("subscribe", "subscribePattern", "assign")
+KAFKA_DEFAULTS = {"startingOffsets": "latest"}
+
+
+def kafka_options(options: dict) -> dict[str, str]:
+    """The full option set of a Kafka read; raises where the broker or the
+    topic is missing, or the topic is given in two ways."""
+    missing = [k for k in KAFKA_REQUIRED if not options.get(k)]
+    topics = [k for k in KAFKA_TOPIC if options.get(k)]
+    if missing or len(topics) != 1:
+        raise ValueError(f"a Kafka read needs {', '.join(KAFKA_REQUIRED)} and one of {', '.join(KAFKA_TOPIC)}; got {sorted(options)}")
+    return {k: str(v) for k, v in {**KAFKA_DEFAULTS, **options}.items()}
+
+
 def read_states_stream(spark: SparkSession, fmt: str = "kafka", options: dict | None = None,
                        path: str | None = None) -> DataFrame:
     """SRC1: subscribe to the state topic (``fmt="kafka"``, options such as
@@ -48,8 +65,7 @@ def read_states_stream(spark: SparkSession, fmt: str = "kafka", options: dict |
     tests and replays, a directory of JSON-lines text files (``fmt="text"``).
     Either way the value is parsed by :func:`parse_states`."""
     reader = spark.readStream.format(fmt)
-    opts = {"startingOffsets": "latest"} if fmt == "kafka" else {}
-    opts.update(options or {})
+    opts = kafka_options(options or {}) if fmt == "kafka" else options or {}
     for k, v in opts.items():
         reader = reader.option(k, v)
     raw = reader.load(path) if path else reader.load()
@@ -67,12 +83,12 @@ def _json_scalar(c: str, dtype: T.DataType):
 
 
 def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int = 89,
-                   parts: int = 4) -> DataFrame:
+                   rows_per_payload: int = 2000) -> DataFrame:
     """Build poll responses ``{"time": t, "states": [[...18 slots...], ...]}``
     from flat state records, one payload per poll interval.  Every
     ``short_every``-th record (by ``row_id``) is sent as a 15-slot array, as
-    older responses do.  A poll is always sent as ``parts`` payloads, by a
-    hash of the record, whatever its size."""
+    older responses do.  A poll of more than ``rows_per_payload`` records is
+    sent as several payloads, cut by the record's position in the poll."""
     dtypes = {f.name: f.dataType for f in STATE_SCHEMA.fields}
     slots = [_json_scalar(c, dtypes[c]) if c in states.columns else F.lit("null") for c in STATE_FIELDS]
     full = F.concat(F.lit("["), F.concat_ws(",", *slots), F.lit("]"))
@@ -80,9 +96,10 @@ def state_payloads(states: DataFrame, poll_seconds: int = 10, short_every: int =
     arr = F.when(F.col("row_id") % short_every == 0, short).otherwise(full) \
         if "row_id" in states.columns else full
     poll = (F.col("time_position") / poll_seconds).cast("long") * poll_seconds
-    salt = ["row_id"] if "row_id" in states.columns else ["icao24", "time_position", "last_contact"]
-    part = F.pmod(F.xxhash64(*salt), F.lit(parts))
-    return (states.select(poll.alias("time"), part.alias("_part"), arr.alias("s"))
+    order = ["row_id"] if "row_id" in states.columns else ["icao24", "time_position", "last_contact"]
+    rows = states.select(poll.alias("time"), F.struct(*order).alias("_o"), arr.alias("s"))
+    rows = row_positions(rows, [F.col("_o"), F.col("s")], ["time"])
+    return (rows.select("time", F.floor(F.col("position") / rows_per_payload).alias("_part"), "s")
             .groupBy("time", "_part")
             .agg(F.concat(F.lit('{"time":'), F.col("time").cast("string"), F.lit(',"states":['),
                           F.concat_ws(",", F.collect_list("s")), F.lit("]}")).alias("payload"))

@@ -8,16 +8,19 @@ driver: every write is distributed.
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerotrace.operators.live import SERVING_COLUMNS
-from aerotrace.session import drop_staged, stage_table
+from aerotrace.session import drop_staged, listing, stage_table
 
 
 def write_raw_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -34,20 +37,54 @@ def write_raw_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict |
 TABLE_PARTITIONS = ("event_month", "load_id")
 
 
-def serving_batch_writer(path: str, columns: list[str] = SERVING_COLUMNS, query_id: str | None = None) -> Callable:
+def serving_batch_writer(path: str, columns: list[str] = SERVING_COLUMNS, query_id: str | None = None,
+                         compact_after: int | None = 500, retain_days: int | None = None) -> Callable:
     """SNK2 batch function: writes a micro-batch into the live table under a
     load id made of the streaming query's id and the batch id.
 
     A batch that is replayed after a failure replaces its own load; batches of
     another checkpoint have another query id and never touch it.  An empty
-    batch writes nothing.  ``query_id`` is taken from the running query."""
+    batch writes nothing.  The batch is computed once, kept while it is sorted
+    and written, and always let go.  ``query_id`` is taken from the running
+    query.
+
+    Before the write, when all earlier batches are committed, a month of more
+    than ``compact_after`` loads is compacted and, with ``retain_days``, rows
+    that many days older than the batch's latest are expired."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        running = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        spark = batch.sparkSession
+        running = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         load = f"{query_id or running or 'batch'}-{batch_id}"
-        write_states_table(batch.select(*columns), path, load)
+        rows = batch.select(*columns).persist()
+        try:
+            if rows.isEmpty():
+                return
+            if compact_after is not None or retain_days is not None:
+                latest = rows.agg(F.max("event_time").cast("string")).first()[0] if retain_days is not None else None
+                maintain(spark, path, compact_after, latest, retain_days, keep={load})
+            write_states_table(rows, path, load)
+        finally:
+            rows.unpersist()
     return write
 
 
+def maintain(spark: SparkSession, path: str, compact_after: int | None = 500, as_of: str | None = None,
+             retain_days: int | None = None, keep: set[str] | frozenset = frozenset()) -> list[str]:
+    """Upkeep of the live table by one listing of its folders: expire rows
+    older than ``retain_days`` before ``as_of``, then compact every month of
+    more than ``compact_after`` loads, leaving the loads in ``keep`` alone (a
+    batch that may be written again).  Returns the months compacted."""
+    if as_of is not None and retain_days is not None and _folders(spark, path):
+        retain(spark, path, as_of, retain_days)
+    if compact_after is None:
+        return []
+    loads = Counter(month for month, load in _folders(spark, path) if load not in keep)
+    months = sorted(m for m, n in loads.items() if n > compact_after)
+    for month in months:
+        compact_month(spark, path, month, keep)
+    return months
+
+
 def write_serving_stream(df: DataFrame, path: str, checkpoint: str,
                          trigger: dict | None = None) -> StreamingQuery:
     """SNK2: the live serving table through ``foreachBatch``."""
@@ -103,9 +140,9 @@ def _table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _folders(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """(month, load) folders of the table: metadata, a few per month after compaction."""
-    rows = _table(spark, path).select(*TABLE_PARTITIONS).distinct().collect()
-    return [(r["event_month"], r["load_id"]) for r in rows]
+    """(month, load) folders of the table, by one listing of the file system."""
+    listed = listing(spark, f"{path.rstrip('/')}/event_month=*/load_id=*")
+    return [(m, unquote(load)) for m, load in re.findall(r"/event_month=([^/;,]+)/load_id=([^/;,]+);", listed)]
 
 
 def _delete(spark: SparkSession, path: str, folders: list[tuple[str, str]]) -> None:
@@ -115,11 +152,13 @@ def _delete(spark: SparkSession, path: str, folders: list[tuple[str, str]]) -> N
         target.getFileSystem(conf).delete(target, True)
 
 
-def compact_month(spark: SparkSession, path: str, month: str) -> str:
-    """Rewrite the loads of one month as a single load, sorted anew; the old
-    loads are deleted after the new one is written."""
-    old = [f for f in _folders(spark, path) if f[0] == month]
-    rows = stage_table(_table(spark, path).where(F.col("event_month") == month).drop(*TABLE_PARTITIONS), "compact")
+def compact_month(spark: SparkSession, path: str, month: str, keep: set[str] | frozenset = frozenset()) -> str:
+    """Rewrite the loads of one month, but those in ``keep``, as a single
+    load, sorted anew; the old loads are deleted after the new one is written."""
+    old = [f for f in _folders(spark, path) if f[0] == month and f[1] not in keep]
+    here = _table(spark, path).where(F.col("event_month") == month).where(~F.col("load_id").isin(*keep)) if keep else \
+        _table(spark, path).where(F.col("event_month") == month)
+    rows = stage_table(here.drop(*TABLE_PARTITIONS), "compact")
     load = write_states_table(rows, path, f"compact-{uuid.uuid4().hex}")
     _delete(spark, path, old)
     drop_staged(rows)

@@ -7,6 +7,9 @@ DataFrames; only sources, sinks, watermarks and triggers differ.
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerotrace.functions.exprs import epoch_micros_ntz, ntz_from_micros
 from aerotrace.operators.live import transform_states
+from aerotrace.session import stage_table
 from aerotrace.sources.states import STATE_SCHEMA, read_states_stream
 from aerotrace.streaming import sinks
 
@@ -124,6 +128,41 @@ def unprocessed_files(listed: DataFrame, processed: DataFrame, col: str = "path"
     return live.join(processed.select(col).distinct(), col, "left_anti")
 
 
+def process_new_files(spark: SparkSession, source: str, target: str, log: str, schema: T.StructType, transform,
+                      pattern: str = "part-*.parquet") -> DataFrame:
+    """SNK8 as a batch job that fails the file, not the run: the files that
+    ``log`` does not have as done are read together, a file that cannot be
+    opened is left out and logged as failed (and tried again next time), all
+    others are transformed, written as one load, and logged as done.  Returns
+    the log of this run: (path, length, status, load).
+
+    Only the paths of the new files pass the driver, as for any read.  The
+    load is written before the log, so a run that dies in between is repeated
+    under the same load id (a digest of its files) and replaces its own load."""
+    listed = list_files(spark, source, pattern)
+    logged = F.col("status") == "done"
+    try:
+        done = spark.read.parquet(log).where(logged).select("path")
+    except AnalysisException:  # no run yet
+        done = spark.createDataFrame([], "path string")
+    new = stage_table(unprocessed_files(listed, done).select("path", "length"), "new-files")
+    paths = sorted(r["path"] for r in new.select("path").collect())
+    load = hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
+    if paths:
+        rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(*paths).withColumn("_file", F.col("_metadata.file_path"))
+        rows = stage_table(rows, "new-rows")  # what could be read, once
+        seen = rows.select("_file").distinct()
+        transform(rows.drop("_file")).write.mode("overwrite").parquet(f"{target.rstrip('/')}/load={load}")
+    else:
+        seen = spark.createDataFrame([], "_file string")
+    decoded = F.url_decode(F.regexp_replace(F.col("_file"), "\\+", "%2B"))
+    same = F.regexp_replace(decoded, "^file:/+", "file:/") == F.regexp_replace("path", "^file:/+", "file:/")
+    status = F.when(F.col("_file").isNull(), "failed").otherwise("done").alias("status")
+    out = stage_table(new.join(seen, same, "left").select("path", "length", status, F.lit(load).alias("load")), "file-log")
+    out.write.mode("append").parquet(log)
+    return out
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = "part-*.parquet") -> DataFrame:
     """Listing of landed files (path, length, modificationTime) as a DataFrame."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)

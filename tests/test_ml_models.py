@@ -32,3 +32,8 @@ def test_train_score_reload(spark):
     sides = feats.select("icao", ml.by_aircraft(42).alias("side")).distinct()
     assert sides.count() == feats.select("icao").distinct().count()
     assert sides.select("side").distinct().count() == 2
+    # the default split is by row: a share of four fifths, and aircraft on both sides
+    rows = feats.groupBy("icao").agg(F.avg(ml.by_row(42).cast("int")).alias("share"), F.count("*").alias("n"))
+    total = rows.agg(F.sum(F.col("share") * F.col("n")) / F.sum("n")).first()[0]
+    assert 0.7 < total < 0.9 and rows.where("share > 0 AND share < 1").count() > 0
+    assert feats.repartition(7).where(ml.by_row(42)).count() == feats.where(ml.by_row(42)).count()

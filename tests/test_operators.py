@@ -241,8 +241,8 @@ def _sorted_rows(df):
 
 
 def test_document_and_payload_slices_do_not_change_rows(spark):
-    """Documents are cut by a fixed time slice and payloads into a fixed number
-    of parts, whatever their size; flattening / unpacking gives the same rows."""
+    """Documents are cut by time and number of reports, payloads by the position
+    of a record; flattening / unpacking gives the same rows."""
     from aerotrace.sources.states import state_payloads, unpack_states
     t = fx.traces(spark, SF001)
     whole = bronze.trace_documents(t, slice_minutes=1440)
@@ -250,10 +250,14 @@ def test_document_and_payload_slices_do_not_change_rows(spark):
     fine = bronze.trace_documents(t, slice_minutes=1)
     assert fine.count() == t.select("icao", F.date_trunc("minute", "event_timestamp")).distinct().count()
     assert _sorted_rows(bronze.flatten_traces(fine)) == _sorted_rows(bronze.flatten_traces(whole))
+    small = bronze.trace_documents(t, slice_minutes=1440, max_points=2)
+    assert small.select(F.max(F.size(F.from_json(F.get_json_object("raw_json", "$.trace"), "array<string>")))).first()[0] <= 2
+    assert _sorted_rows(bronze.flatten_traces(small)) == _sorted_rows(bronze.flatten_traces(whole))
     st = fx.states(spark, SF001)
-    one_part = state_payloads(st, poll_seconds=3600, parts=1)
-    many = state_payloads(st, poll_seconds=3600, parts=7)
-    assert many.count() > one_part.count()
+    one_part = state_payloads(st, poll_seconds=3600, rows_per_payload=10**6)
+    many = state_payloads(st, poll_seconds=3600, rows_per_payload=7)
+    sizes = [r.n for r in many.select(F.size(F.from_json(F.get_json_object("payload", "$.states"), "array<string>")).alias("n")).collect()]
+    assert many.count() > one_part.count() and max(sizes) == 7
     assert _sorted_rows(unpack_states(many).drop("sensors")) == _sorted_rows(unpack_states(one_part).drop("sensors"))
 
 
@@ -319,3 +323,22 @@ def test_changed_input_builds_the_tables_anew(spark):
     less.to_parquet(os.path.join(d, "events.parquet"), coerce_timestamps="us")
     spark.catalog.refreshByPath(os.path.join(d, "events.parquet"))
     assert 0 < catalog.silver(spark, d).count() < before
+
+
+def test_label_maps_from_configuration(spark):
+    from aerotrace.functions.exprs import read_map
+    from aerotrace.operators import enrich, live
+    d = tempfile.mkdtemp(prefix="aerotrace-test-", dir="/tmp")
+    text = os.path.join(d, "map.yaml")
+    with open(text, "w", encoding="utf-8") as f:
+        f.write('# codes\nA1: Light\n"A2": "Small: one"  # quoted\n3: \'Rotor # craft\'\n\n')
+    assert read_map(text) == {"A1": "Light", "A2": "Small: one", "3": "Rotor # craft"}
+    with open(os.path.join(d, "map.json"), "w", encoding="utf-8") as f:
+        f.write('{"3": "Glider"}')
+    df = one(spark, [("A2", 3), ("zz", 4)], "category string, code int")
+    got = df.select(enrich.category_label("category", read_map(text)), live.emitter_category_label("code", read_map(os.path.join(d, "map.json")))).collect()
+    assert [tuple(r) for r in got] == [("Small: one", "Glider"), ("Unknown category", "UNKNOWN")]
+    with open(text, "a", encoding="utf-8") as f:
+        f.write("no colon here\n")
+    with pytest.raises(ValueError, match="label"):
+        read_map(text)

@@ -60,6 +60,26 @@ def test_serving_batch_is_idempotent_per_batch_id(spark):
     assert spark.read.parquet(out).count() == 3 * live.count()
 
 
+def test_batches_compact_and_expire_the_table(spark):
+    """Upkeep runs before a batch is written and leaves that batch's load alone,
+    so a batch that comes again after it still replaces its own load."""
+    out = os.path.join(_tmp(), "serving")
+    live = transform_states(fx.states(spark, SF001)).where("event_time IS NOT NULL").cache()
+    write = sinks.serving_batch_writer(out, query_id="q", compact_after=2)
+    months = live.select(F.date_format("event_time", "yyyyMM")).distinct().count()
+    for i in range(5):
+        write(live, i)
+    write(live, 4)
+    assert sinks.read_states_table(spark, out).count() == 5 * live.count()
+    loads = {load for _, load in sinks._folders(spark, out)}
+    assert "q-4" in loads and len(loads) < 5 and sum(x.startswith("compact-") for x in loads) >= 1
+    assert len(sinks._folders(spark, out)) <= 3 * months
+    keep = sinks.serving_batch_writer(out, query_id="q", compact_after=None, retain_days=0)
+    keep(live, 5)  # all that came before is older than its latest row, or as old
+    assert sinks.read_states_table(spark, out).count() == live.count()
+    live.unpersist()
+
+
 def test_two_checkpoints_keep_every_row(spark):
     base = _tmp()
     src, out = os.path.join(base, "src"), os.path.join(base, "serving")
@@ -206,3 +226,37 @@ def test_unprocessed_files_anti_join(spark):
     processed = spark.createDataFrame([(paths[0],)], "path string")
     todo = streams.unprocessed_files(listed, processed)
     assert sorted(r.path for r in todo.collect()) == sorted(paths[1:])
+
+
+def test_kafka_reads_need_a_broker_and_one_topic():
+    import pytest
+
+    from aerotrace.sources.states import kafka_options
+    given = {"kafka.bootstrap.servers": "h:9092", "subscribe": "states", "maxOffsetsPerTrigger": 1000}
+    assert kafka_options(given) == {"startingOffsets": "latest", "kafka.bootstrap.servers": "h:9092", "subscribe": "states",
+                                    "maxOffsetsPerTrigger": "1000"}
+    assert kafka_options({**given, "startingOffsets": "earliest"})["startingOffsets"] == "earliest"
+    for bad in ({}, {"subscribe": "states"}, {"kafka.bootstrap.servers": "h"}, {**given, "subscribePattern": "s.*"}):
+        with pytest.raises(ValueError, match="needs"):
+            kafka_options(bad)
+
+
+def test_a_broken_file_fails_alone(spark):
+    base = _tmp()
+    src, out, log = (os.path.join(base, x) for x in ("src", "out", "log"))
+    states = transform_states(fx.states(spark, SF001))
+    states.repartition(3).write.parquet(src)
+    broken = os.path.join(src, "part-broken name+.parquet")
+    with open(broken, "wb") as f:
+        f.write(b"PAR1 this is no table")
+    run = lambda: streams.process_new_files(spark, src, out, log, states.schema, to_ml_feed)
+    first = sorted(r.status for r in run().collect())
+    assert first == ["done"] * 3 + ["failed"]
+    assert spark.read.parquet(out).count() == to_ml_feed(states).count()
+    states.limit(5).coalesce(1).write.parquet(os.path.join(base, "mended"))
+    good = next(f for f in os.listdir(os.path.join(base, "mended")) if f.endswith(".parquet"))
+    with open(os.path.join(base, "mended", good), "rb") as a, open(broken, "wb") as b:
+        b.write(a.read())
+    assert [r.status for r in run().collect()] == ["done"]
+    assert spark.read.parquet(out).count() == to_ml_feed(states).count() + to_ml_feed(spark.read.parquet(os.path.join(base, "mended"))).count()
+    assert run().count() == 0
