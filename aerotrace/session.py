@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings that matter at scale: AQE re-plans joins/partition counts at
 # runtime from real sizes, skew-join splits hot partitions, and the session
 # time zone is pinned so TIMESTAMP (LTZ) values print identically everywhere.
+# The generated code of wide projections (42 columns and more) is longer than
+# the JVM compiles by default; without the flag it runs interpreted.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
