@@ -19,7 +19,10 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Drop documents that the quality rules reject."""
+    """Drop documents that the quality rules reject: null, empty and blank
+    texts and those of under 50 words among them.  Each row is judged by its
+    text alone; ties, repeated rows, null ids and further columns of any name
+    do not matter; an empty table stays empty."""
     return passing(docs)
 
 
@@ -33,17 +36,25 @@ def near_dedup(spark, docs, sf_dir):
 
 
 def decontaminate(spark, docs, sf_dir):
-    """Drop documents with a window that matches a benchmark item."""
+    """Drop documents with a window that matches a benchmark item, items
+    without an id included.  Null and empty texts match nothing and stay, as do
+    all rows where either table is empty; repeated rows are judged each;
+    columns of any name pass through."""
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Repeat, keep or leave out documents so that each source meets its budget."""
+    """Repeat, keep or leave out documents so that each source meets its budget.
+    Null, empty and blank texts use none of it and stay once; a null source is
+    a source of its own; rows that repeat an id and size share their number of
+    copies; columns of any name pass through; an empty table stays empty."""
     return mixed_documents(docs)
 
 
 def tokenize(spark, docs, sf_dir):
-    """Write the token files and return what they hold per document."""
+    """Write the token files and return what they hold per document.  Null and
+    empty texts have the end id only; rows without an id come last; repeated
+    rows have a row each; other columns are ignored; an empty table gives none."""
     return token_table(docs)
 
 
