@@ -31,7 +31,8 @@ from aerotrace.session import stage_table
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Per-document distinct pairs in one stored slice, about; a document is never split.
 SLICE_PAIRS = 1 << 18
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19  # text bytes aligned at once
+CACHE = 1 << 18  # encoded parts that each tokenizer keeps in a worker
 #: Groups with at most so many pairs are expanded at once; larger ones by their distinct ids.
 PLAIN_PAIRS = 64
 MARK = "▁"
@@ -50,7 +51,7 @@ class ByteTokens(Encoder):
     Strings of special tokens inside texts are ordinary text."""
 
     def __init__(self, path: str):
-        super().__init__(path)
+        super().__init__(path, CACHE)
         self.tokenizer.encode_special_tokens = True
         alphabet = byte_alphabet()
         entries = [self.tokenizer.id_to_token(i) or "" for i in range(self.vocabulary_size)]
@@ -81,7 +82,7 @@ class PieceTokens(Encoder):
     character, merges never cross into a run of blanks, so a text is cut in
     front of each run and the parts are encoded once each and kept."""
 
-    def __init__(self, path: str, cache: int = 1 << 20):
+    def __init__(self, path: str, cache: int = CACHE):
         from sentencepiece import SentencePieceProcessor
         model = SentencePieceProcessor(model_file=path)
         self.tokenizer, self.vocabulary_size = _Pieces(model), model.get_piece_size()
