@@ -102,8 +102,8 @@ class Series:
         aggregation; one small row per chunk) and re-cuts the chunks above
         ``max_chunk_rows`` into ``ceil(2 * rows / max)`` pieces, 64 at least;
         later rounds catch bursts inside a piece, until every chunk fits or is
-        one microsecond wide.  The table of hot chunks is computed once per
-        round and staged under the shared checkpoint folder; it is broadcast
+        one microsecond wide.  A round ends with one number, the largest count;
+        only where it is too large the table of hot chunks is staged under the shared checkpoint folder; it is broadcast
         up to ``broadcast_chunks`` rows and joined by shuffle beyond.
         A frame that already has the column (chained scans) is returned as
         is, so one assignment serves every scan of the chain."""
@@ -115,17 +115,16 @@ class Series:
         if self.max_chunk_rows:
             hk = [f"_hk{i}" for i in range(len(self.chunk_keys))]
             while True:
+                sizes = (d.groupBy(*self.chunk_keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
+                         .where((F.col("_w") > 1) & F.col(CHUNK).isNotNull()))
+                if (sizes.agg(F.max("_n")).first()[0] or 0) <= self.max_chunk_rows:
+                    break
                 hot = stage_table(
-                    d.groupBy(*self.chunk_keys)
-                    .agg(F.count(F.lit(1)).alias("_n"), F.max("_cw").alias("_w"))
-                    .where((F.col("_n") > F.lit(self.max_chunk_rows)) & (F.col("_w") > 1)
-                           & F.col(CHUNK).isNotNull())
+                    sizes.where(F.col("_n") > F.lit(self.max_chunk_rows))
                     .selectExpr(*[f"{q(k)} AS {h}" for k, h in zip(self.chunk_keys, hk)],
                                 f"greatest(1L, floor(_w / greatest({FINER}L, ceil(_n * 2 / {int(self.max_chunk_rows)})))) AS _hw"),
                     "hot-chunks")
                 n_hot = hot.count()
-                if not n_hot:
-                    break
                 small = n_hot <= self.broadcast_chunks
                 on = [d[k].eqNullSafe(hot[h]) for k, h in zip(self.chunk_keys, hk)]
                 fine = F.col(CHUNK) + F.floor((micros - F.col(CHUNK)) / F.col("_hw")).cast("long") * F.col("_hw")
