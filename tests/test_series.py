@@ -84,3 +84,40 @@ def test_hot_chunks_split_by_row_count_equal_plain_windows(spark):
     plain = tl.select("row_id", F.collect_list(F.struct("lat", "lon")).over(w).alias("h"))
     got = series.tail_history(tl, s, ["lat", "lon"], 5, out="h").select("row_id", "h")
     assert _rows(got) == _rows(plain)
+
+
+def test_whole_and_cut_keys_equal_plain_windows(spark):
+    """Keys of up to ``whole_rows`` rows are one chunk, longer ones are cut:
+    all, some (a null key and null times among them) or none."""
+    t = fixtures.traces(spark, SF001).withColumns({
+        "icao": F.when(F.col("row_id") % 7 != 0, F.col("icao")),
+        "event_timestamp": F.when(F.col("row_id") % 11 != 0, F.col("event_timestamp"))})
+    rows = lambda df: sorted(map(str, df.collect()))
+    expected = rows(_plain(t))
+    w = Window.partitionBy("icao").orderBy("event_timestamp", "row_id").rowsBetween(-5, -1)
+    histories = rows(t.select("row_id", F.collect_list(F.struct("squawk")).over(w).alias("h")))
+    for limit in (1, 80, 10_000):
+        s = series.Series.of("icao", "event_timestamp", "row_id", whole_rows=limit, broadcast_chunks=limit)
+        filled = series.fill(t, s, forward=COLS, backward=COLS)
+        shifted = series.shift(filled, s, lags={"prev_lat": "lat"}, leads={"next_squawk": "squawk"})
+        got = shifted.select("row_id", *[f"ffill_{c}" for c in COLS], *[f"bfill_{c}" for c in COLS],
+                             "prev_lat", "next_squawk")
+        assert rows(got) == expected, limit
+        got = series.tail_history(t, s, ["squawk"], 5, out="h").select("row_id", "h")
+        assert rows(got) == histories, limit
+
+
+def test_short_series_are_scanned_with_one_exchange(spark):
+    """Backfill, lags and histories of aircraft that fit a task exchange the
+    rows once and build no summary and no carry rows."""
+    from aerotrace.operators import ml
+    from aerotrace.operators.backfill import backfill
+    from aerotrace.operators.clean import clean_traces
+    from aerotrace.session import stage_table
+    t = stage_table(fixtures.traces(spark, SF001), "short-series")
+    clean = stage_table(clean_traces(t), "short-series")
+    feats = ml.angle_features(ml.usable_rows(clean))
+    for df in (backfill(t), ml.flight_features(clean), ml.sequence_windows(feats)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" not in plan and "Aggregate" not in plan
+        assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
