@@ -42,6 +42,7 @@ LENGTH = 50
 GRAM = 20
 SLICE_BYTES = 2 << 20
 GROUP_BYTES = 3 << 20  # text bytes per group of buckets, which sets the number of groups
+HASH_BLOCK = 1 << 18  # positions hashed at a time: the passes' arrays are this long, not as long as the text
 HOT_ENTRIES = 1 << 18  # buckets of documents in a group from which on it is cut, and strings in each part
 
 
@@ -55,24 +56,47 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the gram at each position.  A span's hash does not depend on
+    where it lies, so blocks give the same numbers as the whole."""
+    out = np.empty(max(0, len(data) - gram + 1), dtype=U64)
+    for a in range(0, len(out), HASH_BLOCK):
+        at = np.arange(min(HASH_BLOCK, len(out) - a))
+        out[a:a + len(at)] = span_hash(prefix_hash(data[a:a + len(at) + gram - 1]), at, at + gram)
+    return out
+
+
+def _numbering(values: np.ndarray) -> np.ndarray:
+    """Rank of each value among the distinct values."""
+    order = np.argsort(values)
+    lead = np.zeros(len(values), dtype=bool)
+    lead[1:] = np.diff(values[order]) != 0
+    out = np.empty(len(values), dtype=np.int32)
+    out[order] = np.cumsum(lead, dtype=np.int32)
+    return out
+
+
 def anchor_runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     """(text, first string start, last string start, anchor bucket) of the runs
     of consecutive strings with one anchor bucket; positions in ``data``."""
     empty = np.zeros(0, np.int64)
     if len(data) < length:
         return empty, empty, empty, np.zeros(0, U64)
-    at = np.arange(len(data) - gram + 1)
-    bucket = span_hash(prefix_hash(data), at, at + gram)
-    anchor = _sliding_min(bucket, length - gram + 1)
-    text = np.searchsorted(offsets, np.arange(len(anchor)), "right") - 1
-    inside = np.arange(len(anchor)) + length <= offsets[text + 1]
+    anchor = _sliding_min(gram_hashes(data, gram), length - gram + 1)
+    starts, ends = offsets[:-1], offsets[1:]
+    inside = np.ones(len(data), dtype=bool)
+    for short in range(1, length):  # bytes that the string still has in its text
+        at = ends - short
+        inside[at[at >= starts]] = False
+    inside = inside[:len(anchor)]
     change = np.ones(len(anchor), dtype=bool)
-    change[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]) | (inside[1:] != inside[:-1])
+    change[1:] = (anchor[1:] != anchor[:-1]) | (inside[1:] != inside[:-1])
+    change[starts[starts < len(anchor)]] = True
     first = np.flatnonzero(change)
     last = np.append(first[1:], len(anchor)) - 1
     ok = inside[first]
     first, last = first[ok], last[ok]
-    return text[first], first, last, anchor[first]
+    return np.searchsorted(offsets, first, "right") - 1, first, last, anchor[first]
 
 
 def _split(bucket: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
@@ -289,9 +313,11 @@ def refine(numbers: np.ndarray, later: int, valid: np.ndarray) -> np.ndarray:
     are sorted by (own bucket, bucket at ``later`` bytes further on) and
     numbered anew.  Positions where that offset is not valid get -1."""
     at = np.flatnonzero(valid)
-    pair = (numbers[at].astype(U64) << U64(32)) | numbers[at + later].astype(U64)
-    out = np.full(len(numbers), -1, dtype=np.int64)
-    out[at] = np.unique(pair, return_inverse=True)[1]
+    pair = numbers[at].astype(U64)
+    pair <<= U64(32)
+    pair |= numbers[at + later].astype(U64)
+    out = np.full(len(numbers), -1, dtype=np.int32)
+    out[at] = _numbering(pair)
     return out
 
 
@@ -315,13 +341,14 @@ def _ranges(surroundings: DataFrame, length: int, gram: int) -> DataFrame:
         else:
             data = np.frombuffer(b"".join(zlib.decompress(x) for x in table.column("bytes").to_pylist()), np.uint8)
             stop = np.cumsum(sizes)
-            at = np.arange(len(data) - gram + 1)
-            hashes = span_hash(prefix_hash(data), at, at + gram)
-            record = np.repeat(np.arange(len(sizes)), sizes)
-            left = stop[record] - np.arange(len(data))  # bytes up to the end of the record
-            numbers = np.full(len(data), -1, dtype=np.int64)
-            good = np.flatnonzero(left[:len(at)] >= gram)
-            numbers[good] = np.unique(hashes[good], return_inverse=True)[1]
+            hashes = gram_hashes(data, gram)
+            record = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            left = np.repeat(stop.astype(np.int32), sizes)
+            left -= np.arange(len(data), dtype=np.int32)  # bytes up to the end of the record
+            numbers = np.full(len(data), -1, dtype=np.int32)
+            good = left[:len(hashes)] >= gram
+            numbers[:len(hashes)][good] = _numbering(hashes[good])
+            del hashes, good
             numbers = refine(numbers, gram, left >= 2 * gram)
             numbers = refine(numbers, length - 2 * gram, left >= length)
             at = np.flatnonzero(left >= length)

@@ -92,3 +92,25 @@ def test_odd_rows(odd_docs, no_docs):
 
 def test_merge_ranges():
     assert merge_ranges(np.array([[5, 9], [0, 3], [3, 4], [8, 12], [20, 21]])).tolist() == [[0, 4], [5, 12], [20, 21]]
+
+
+def test_peak_of_a_slice_is_a_few_times_its_bytes():
+    """Hashes and masks are made block by block; the runs stay the same."""
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    n = 1 << 20
+    data = rng.integers(97, 105, n).astype(np.uint8)
+    offsets = np.sort(np.concatenate([[0, n, n], rng.integers(0, n, 700), [5, 5, 30]]))
+    tracemalloc.start()
+    text, first, last, bucket = substrings.anchor_runs(data, offsets, 50, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * n
+    at = np.concatenate([np.arange(a, b - 49) for a, b in zip(offsets, offsets[1:]) if b - a >= 50])
+    assert int((last - first + 1).sum()) == len(at)
+    assert (np.concatenate([np.arange(a, b + 1) for a, b in zip(first, last)]) == at).all()
+    assert (offsets[text] <= first).all() and (last + 50 <= offsets[text + 1]).all()
+    sums = substrings.prefix_hash(data)
+    for i in (0, len(first) // 2, len(first) - 1):
+        grams = np.arange(first[i], first[i] + 31)
+        assert bucket[i] == substrings.span_hash(sums, grams, grams + 20).min()
