@@ -240,6 +240,18 @@ def _sorted_rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
+def test_aircraft_days_are_one_document_unless_long(spark):
+    """Without ``slice_minutes`` a day is one document;
+    a day of more than ``max_points`` reports is cut."""
+    t = fx.traces(spark, SF001)
+    days = bronze.trace_documents(t)
+    assert days.count() == t.select("icao", "data_date").distinct().count()
+    busy = t.withColumn("icao", F.when(F.col("row_id") % 2 == 0, "a00001").otherwise(F.col("icao")))
+    cut = bronze.trace_documents(busy, max_points=4)
+    assert cut.select(F.max(F.size(F.from_json(F.get_json_object("raw_json", "$.trace"), "array<string>")))).first()[0] <= 4
+    assert _sorted_rows(bronze.flatten_traces(cut)) == _sorted_rows(bronze.flatten_traces(bronze.trace_documents(busy)))
+
+
 def test_document_and_payload_slices_do_not_change_rows(spark):
     """Documents are cut by time and number of reports, payloads by the position
     of a record; flattening / unpacking gives the same rows."""
