@@ -121,3 +121,30 @@ def test_short_series_are_scanned_with_one_exchange(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Union" not in plan and "Aggregate" not in plan
         assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_silver_shuffles_wide_rows_once(spark, monkeypatch):
+    """Dedup and fills of aircraft that fit a task run where one exchange put
+    the rows, nothing is staged, and a large table takes partitions by its
+    rows; a longer aircraft goes the staged way.  The rows are the same."""
+    from aerotrace.functions import constants as K
+    from aerotrace.plans import medallion
+    t = fixtures.traces_dup(spark, SF001).withColumns({
+        "icao": F.when(F.col("row_id") % 7 != 0, F.col("icao")),
+        "event_timestamp": F.when(F.col("row_id") % 11 != 0, F.col("event_timestamp"))})
+    rows = lambda df: sorted(map(str, df.collect()))
+    expected = rows(medallion.silver(t))
+    assert expected
+    got = medallion.silver(t, rescan=True)
+    assert rows(got) == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+    assert set(got.inputFiles()) == set(t.inputFiles())
+    monkeypatch.setattr(series, "TASK_ROWS", 20)
+    small = medallion.silver(t, rescan=True)
+    assert rows(small) == expected
+    plan = small._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert f"{-(-t.count() // 20)}), REPARTITION_BY_NUM" in plan
+    monkeypatch.setattr(K, "WHOLE_SERIES_ROWS", 3)
+    long = medallion.silver(t, rescan=True)
+    assert rows(long) == expected and not set(long.inputFiles()) & set(t.inputFiles())
