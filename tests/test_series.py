@@ -148,3 +148,20 @@ def test_silver_shuffles_wide_rows_once(spark, monkeypatch):
     monkeypatch.setattr(K, "WHOLE_SERIES_ROWS", 3)
     long = medallion.silver(t, rescan=True)
     assert rows(long) == expected and not set(long.inputFiles()) & set(t.inputFiles())
+
+
+def test_staged_tables_are_written_in_compiled_pieces(spark, monkeypatch):
+    """The method limit holds for the write only, and a session's own stays."""
+    from aerotrace.plans import medallion
+    seen, write = [], medallion.stage_table
+    monkeypatch.setattr(medallion, "stage_table",
+                        lambda df, name: seen.append(spark.conf.get(medallion.METHOD_LIMIT)) or write(df, name))
+    before = spark.conf.get(medallion.METHOD_LIMIT)
+    assert medallion.stage(spark.range(3), "limit").count() == 3
+    assert seen == ["8000"] and spark.conf.get(medallion.METHOD_LIMIT) == before
+    spark.conf.set(medallion.METHOD_LIMIT, "20000")
+    try:
+        medallion.stage(spark.range(3), "limit")
+        assert seen[1] == spark.conf.get(medallion.METHOD_LIMIT) == "20000"
+    finally:
+        spark.conf.unset(medallion.METHOD_LIMIT)
