@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over the same texts.
 
 The tokens of both tokenizers tile the bytes of a text.  For each batch of
-texts two ``merge_asof`` joins, keyed by document, find for every token start
+texts two ``merge_asof`` joins, on (document, offset) as one number, find for every token start
 the token of the other side that covers it; the union of both directions is
 every overlapping pair, and pairs with equal ends cut the text into groups.
 All A and B tokens of one group are linked.
@@ -170,13 +170,16 @@ class Aligned:
         self.n_groups = int(self.closes[0].sum())
 
     def overlaps(self) -> tuple[np.ndarray, np.ndarray]:
-        """All (A token, B token) pairs that share a byte, some twice."""
-        frames = [pd.DataFrame({"start": s, "doc": d, name: np.arange(len(s))})
-                  for s, d, name in zip(self.start, self.doc, "ab")]
+        """All (A token, B token) pairs that share a byte, some twice.
+
+        Offsets run on from text to text and both sides begin a text at the
+        same one; with the text's number added, no text's key reaches the
+        next text's first, so a match never leaves its text."""
+        frames = [pd.DataFrame({"start": s + d, name: np.arange(len(s))}) for s, d, name in zip(self.start, self.doc, "ab")]
         if not len(frames[0]):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        one = pd.merge_asof(frames[0], frames[1], on="start", by="doc")
-        two = pd.merge_asof(frames[1], frames[0], on="start", by="doc")
+        one = pd.merge_asof(frames[0], frames[1], on="start")
+        two = pd.merge_asof(frames[1], frames[0], on="start")
         return (np.concatenate([one["a"].to_numpy(np.int64), two["a"].to_numpy(np.int64)]),
                 np.concatenate([one["b"].to_numpy(np.int64), two["b"].to_numpy(np.int64)]))
 
@@ -200,12 +203,18 @@ class Aligned:
             times.append((na[:, None] * nb[None, :]).ravel())
             docs.append(np.full(len(codes[-1]), self.doc[0][firsts[0][x]]))
         doc, code, time = np.concatenate(docs), np.concatenate(codes), np.concatenate(times)
-        order = np.lexsort((code, doc))
-        doc, code, time = doc[order], code[order], time[order]
         if not len(doc):
             return doc, code, time
-        new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(code) != 0)])
-        first = np.flatnonzero(new)
+        span = int(code.max()) + 1
+        if self.n * span < 1 << 63:  # one sort key holds both
+            key = doc * span + code
+            order = np.argsort(key)
+            key, time = key[order], time[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return *np.divmod(key[first], span), np.add.reduceat(time, first)
+        order = np.lexsort((code, doc))
+        doc, code, time = doc[order], code[order], time[order]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(code) != 0)]))
         return doc[first], code[first], np.add.reduceat(time, first)
 
     def digests(self, both: tuple[Side, Side]) -> list[str]:

@@ -110,3 +110,34 @@ def test_groups(spark):
             assert b"".join(a.tokens.bytes[x] for x in ia) == b"".join(b.tokens.bytes[x] for x in ib) == raw[start:end]
             at = end
         assert at == len(raw)
+
+
+def test_overlaps_and_pairs_with_one_key(monkeypatch):
+    """Matches stay in their text, also of tokens without bytes at a text's
+    end, with (document, offset) as one key; pairs are the same whether
+    document and code fit one sort key or not."""
+    import numpy as np
+    import pandas as pd
+
+    from aerotrace.llm import align
+    x = align.Aligned.__new__(align.Aligned)
+    x.n = 9
+    x.doc = [np.array([0, 0, 0, 2, 2]), np.array([0, 0, 2, 2, 2])]
+    size = [np.array([2, 3, 0, 4, 0]), np.array([4, 1, 1, 2, 1])]
+    x.start = [np.cumsum(n) - n for n in size]
+    frames = [pd.DataFrame({"start": s, "doc": d, c: np.arange(len(s))}) for s, d, c in zip(x.start, x.doc, "ab")]
+    one = pd.merge_asof(frames[0], frames[1], on="start", by="doc")
+    two = pd.merge_asof(frames[1], frames[0], on="start", by="doc")
+    keyed = []
+    plain = pd.merge_asof
+    monkeypatch.setattr(pd, "merge_asof", lambda *a, **k: keyed.append("by" in k) or plain(*a, **k))
+    a, b = x.overlaps()
+    assert a.tolist() == [*one["a"], *two["a"]] and b.tolist() == [*one["b"], *two["b"]]
+    assert keyed == [False, False]
+    both = align.sides(align.vocabulary_path(align.VOCABULARY_A), align.vocabulary_path(align.VOCABULARY_B))
+    x = align.Aligned(both, [*ODD, "the same the same the same", "", "the same"])
+    got = []
+    for width in (len(both[1].size), 1 << 45):
+        doc, code, times = x.linked(width)
+        got.append(list(zip(doc.tolist(), (code // width).tolist(), (code % width).tolist(), times.tolist())))
+    assert got[0] == got[1] and len(got[0]) == len({r[:3] for r in got[0]})
