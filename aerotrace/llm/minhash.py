@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerotrace.llm.components import connected_components
+from aerotrace.llm.components import labels_of_others
 from aerotrace.llm.textops import U64, Words, distinct_sorted, mix64, text_slices
 from aerotrace.session import drop_staged, stage_table
 
@@ -38,6 +38,10 @@ SIZE, ROWS = 96, 4
 #: agrees on 0.8 of them on average, with deviation 0.018 at most; it falls
 #: below the least share with probability < 2e-5.
 LONG_SIZE, LEAST_AGREEMENT = 512, 0.725
+#: Rows that a task takes at least, on average, by what they hold: a class with
+#: its bands; node and bucket; a text, a set or a pair of sets to compare; a
+#: set to draw a long signature from.
+CLASS_ROWS, MEMBER_ROWS, SET_ROWS, LONG_ROWS = 1 << 12, 1 << 16, 1 << 9, 1 << 8
 
 
 def super_minhash(values: np.ndarray, offsets: np.ndarray, m: int = SIZE) -> np.ndarray:
@@ -144,7 +148,8 @@ def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
 
 
 def long_signatures(sets: DataFrame, m: int = LONG_SIZE) -> DataFrame:
-    """``sets(node, shingles)`` -> ``(node, signature)``, one byte a position."""
+    """``sets(node, shingles, all)`` -> ``(node, signature, all)``, one byte a
+    position; ``all`` is the node's buckets with their bands."""
 
     def run(batches):
         for batch in batches:
@@ -158,11 +163,12 @@ def long_signatures(sets: DataFrame, m: int = LONG_SIZE) -> DataFrame:
                 bits = mix64(super_minhash(values, offsets[start:end + 1] - offsets[start], m).view(U64))
                 small = (bits >> U64(56)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(start, end - start), pa.array([x.tobytes() for x in small], pa.binary())],
-                    names=["node", "signature"])
+                    [batch.column("node").slice(start, end - start), pa.array([x.tobytes() for x in small], pa.binary()),
+                     batch.column("all").slice(start, end - start)],
+                    names=["node", "signature", "all"])
                 start = end
 
-    return sets.mapInArrow(run, "node long, signature binary")
+    return sets.mapInArrow(run, "node long, signature binary, all array<struct<band:int,bucket:long>>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -179,21 +185,19 @@ def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
     """Pairs ``(a, b)`` of one bucket that lie in different components and
     agree on enough signature positions.  ``members``: bucket, band, node,
     component, signature, minor (true outside the bucket's largest component),
-    all (the node's buckets with their bands).  A bucket is cut into blocks by a
-    hash of the node; every block of minor members meets every block of the
-    bucket, so a task holds two blocks at most, and members of the largest
-    component never meet each other.  A pair that shares several buckets comes
+    all (the node's buckets with their bands), n and n_minor (members of the
+    bucket, and minor ones).  A bucket is cut into blocks by a hash of the
+    node; every block of minor members meets every block of the bucket, so a
+    task holds two blocks at most, and members of the largest component never
+    meet each other.  A pair that shares several buckets comes
     out of the first of them only."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("minor").cast("long")).alias("n_minor"))
-    split = members.join(sizes, "bucket").select(
-        "*", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
-        F.ceil(F.col("n_minor") / block).cast("int").alias("minor_blocks"))
-    of = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    columns = ["bucket", "band", "node", "component", "minor", "signature", "all"]
-    left = split.where("minor").select(*columns, of("minor_blocks").alias("i"),
-                                       F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("own"))
-    right = split.select(*columns, F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("i"), of("blocks").alias("j"),
-                         F.lit(False).alias("own"))
+    split = members.withColumns({"blocks": F.ceil(F.col("n") / block).cast("int"),
+                                 "minor_blocks": F.ceil(F.col("n_minor") / block).cast("int")})
+    of = lambda n: f"pmod(xxhash64(node), {n})"
+    own = f"transform(sequence(0, blocks - 1), j -> struct(int({of('minor_blocks')}) AS i, j AS j, true AS own))"
+    met = f"transform(sequence(0, minor_blocks - 1), i -> struct(i AS i, int({of('blocks')}) AS j, false AS own))"
+    cells = split.withColumn("cell", F.explode(F.expr(f"concat(if(minor, {own}, array()), {met})"))).select(
+        "bucket", "band", "node", "component", "minor", "signature", "all", "cell.i", "cell.j", "cell.own")
 
     def meet(table: pa.Table) -> pa.Table:
         own = np.asarray(table.column("own"))
@@ -219,8 +223,7 @@ def _block_pairs(members: DataFrame, block: int = 512) -> DataFrame:
         return pa.table({"a": cat(out_a), "b": cat(out_b)})
 
     # dealt by block: left to itself Spark keeps a bucket's rows where the join on the bucket has put them
-    cells = left.unionByName(right).repartition("bucket", "i", "j")
-    return cells.groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+    return cells.repartition("bucket", "i", "j").groupBy("bucket", "i", "j").applyInArrow(meet, "a long, b long")
 
 
 def _classes(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -232,38 +235,41 @@ def _classes(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     does not matter which ids its rows have.  Numbers follow the order of the
     names: the pivot of a bucket is its smallest name, more often the text that
     the others were copied from than any other member."""
-    name = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2")
+    n = rows.count()
+    files = lambda count, each: 1 + count // each
+    # rows of a class have the same bands, so these do not change which name is smallest
+    name = F.struct(F.col("id").isNull().alias("no_id"), "id", "t1", "t2", "bands")
     order = ["rep.no_id", "rep.id", "rep.t1", "rep.t2"]
     classes = rows.groupBy("key1", "key2").agg(F.min(name).alias("rep")).repartitionByRange(*order).sortWithinPartitions(*order)
-    classes = stage_table(classes.select("*", F.monotonically_increasing_id().alias("node")), "minhash-classes")
-    wanted = classes.select("key1", "key2", "node", "rep.id", "rep.t1", "rep.t2")
-    same = [rows["key1"] == wanted["key1"], rows["key2"] == wanted["key2"], rows["id"].eqNullSafe(wanted["id"]),
-            rows["t1"] == wanted["t1"], rows["t2"] == wanted["t2"]]
-    reps = stage_table(rows.join(wanted, same).select("node", "bands").dropDuplicates(["node"]), "minhash-reps")
+    classes = stage_table(classes.select("key1", "key2", F.struct(*order).alias("rep"), "rep.bands",
+                                         F.monotonically_increasing_id().alias("node")), "minhash-classes", files(n, CLASS_ROWS))
 
-    exploded = reps.select("node", F.posexplode("bands").alias("band", "value")).select(
+    exploded = classes.select("node", F.posexplode("bands").alias("band", "value")).select(
         "node", "band", F.xxhash64("band", "value").alias("bucket"))
+    n_members = n * (SIZE // ROWS)
     buckets = stage_table(exploded.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-                          .where("pivot < last").select("bucket", "pivot"), "minhash-buckets")
-    members = stage_table(exploded.join(buckets, "bucket"), "minhash-members")
-    active = wanted.join(members.select("node").distinct(), "node").select("node", "id", "t1", "t2")
+                          .where("pivot < last").select("bucket", "pivot"), "minhash-buckets", files(n_members, MEMBER_ROWS))
+    members = stage_table(exploded.join(buckets, "bucket"), "minhash-members", files(n_members, MEMBER_ROWS))
+    pivots = stage_table(members.groupBy("node").agg(F.collect_set("pivot").alias("pivots")), "minhash-pivots", files(n, CLASS_ROWS))
+    n_active, n_stars = pivots.agg(F.count("*"), F.coalesce(F.sum(F.size("pivots")), F.lit(0))).first()
+    active = classes.select("node", "rep.id", "rep.t1", "rep.t2").join(pivots.select("node"), "node")
     same = [texts["id"].eqNullSafe(active["id"]), texts["t1"] == active["t1"], texts["t2"] == active["t2"]]
-    chosen = texts.join(active, same).select("node", "text").dropDuplicates(["node"])
+    chosen = texts.join(active, same).select("node", "text").dropDuplicates(["node"]).coalesce(files(n_active, SET_ROWS))
     sets = stage_table(shingle_sets(chosen, k), "minhash-sets")
 
-    first = members.where("pivot < node").groupBy(F.col("node").alias("b")).agg(F.min("pivot").alias("a"))
-    links = stage_table(_confirm(first, sets, percent), "minhash-links")
-    component = connected_components(links)
+    first = pivots.select(F.array_min("pivots").alias("a"), F.col("node").alias("b")).where("a < b")
+    links = stage_table(_confirm(first, sets, percent), "minhash-links", files(n_active, SET_ROWS))
+    component = labels_of_others(links, n_active)
 
     def labelled(table: DataFrame, key: str, name: str, labels: DataFrame) -> DataFrame:
         return table.join(labels.select(F.col("node").alias(key), F.col("component").alias("_c")), key, "left").withColumn(
             name, F.coalesce("_c", key)).drop("_c")
 
-    stars = members.where("pivot < node").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = pivots.select(F.explode("pivots").alias("a"), F.col("node").alias("b")).where("a < b")
     stars = labelled(labelled(stars, "b", "cb", component), "a", "ca", component).where("ca <> cb").select("a", "b")
-    more = stage_table(_confirm(stars, sets, percent).unionByName(links), "minhash-links")
+    more = stage_table(_confirm(stars, sets, percent).unionByName(links), "minhash-links", files(n_stars, SET_ROWS))
     drop_staged(links, component)
-    links, component = more, connected_components(more)
+    links, component = more, labels_of_others(more, n_active + n_stars)
 
     member = labelled(members.select("bucket", "band", "node"), "node", "component", component)
     # two sums of 64-bit hashes stand for the members of a bucket
@@ -272,16 +278,20 @@ def _classes(rows: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     top = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts"),
                                       F.sum("n").alias("n"), F.sum("m1").alias("m1"), F.sum("m2").alias("m2")).where("parts > 1")
     # buckets with the same members are looked at once
-    top = stage_table(top.groupBy("n", "m1", "m2").agg(F.min(F.struct("bucket", "top.component")).alias("one"))
-                      .select("one.bucket", F.col("one.component").alias("main")), "minhash-open")
+    one = F.min(F.struct("bucket", "top.component", (F.col("n") - F.col("top.n")).alias("n_minor")))
+    top = stage_table(top.groupBy("n", "m1", "m2").agg(one.alias("one"))
+                      .select("one.bucket", F.col("one.component").alias("main"), "n", "one.n_minor"),
+                      "minhash-open", files(n_members, MEMBER_ROWS))
     open_members = stage_table(member.join(top, "bucket").select(
-        "bucket", "band", "node", "component", (F.col("component") != F.col("main")).alias("minor")), "minhash-open-members")
+        "bucket", "band", "node", "component", (F.col("component") != F.col("main")).alias("minor"), "n", "n_minor"),
+        "minhash-open-members", files(n_members, MEMBER_ROWS))
     lists = open_members.groupBy("node").agg(F.collect_list(F.struct("band", "bucket")).alias("all"))
-    long = stage_table(long_signatures(sets.join(open_members.select("node").distinct(), "node", "left_semi")), "minhash-long")
-    pairs = stage_table(_block_pairs(open_members.join(long, "node").join(lists, "node")), "minhash-pairs")
-    more = stage_table(_confirm(pairs, sets, percent).unionByName(links), "minhash-links")
-    drop_staged(links, component, top, open_members, long, pairs, sets, members, buckets, reps)
-    component = connected_components(more)
+    long = stage_table(long_signatures(sets.join(lists, "node").coalesce(files(n_active, LONG_ROWS))), "minhash-long")
+    pairs = stage_table(_block_pairs(open_members.join(long, "node")), "minhash-pairs")
+    n_pairs = pairs.count()
+    more = stage_table(_confirm(pairs, sets, percent).unionByName(links), "minhash-links", files(n_pairs + n_active, SET_ROWS))
+    drop_staged(links, component, top, open_members, long, pairs, sets, members, buckets, pivots)
+    component = labels_of_others(more, n_active + n_stars + n_pairs)
     return labelled(classes, "node", "component", component).select("key1", "key2", "rep", "component")
 
 

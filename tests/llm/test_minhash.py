@@ -110,3 +110,38 @@ def test_one_per_group_keeps_a_defined_row(spark, odd_docs, no_docs):
     assert one_per_group(no_docs).count() == 0
     kept = one_per_group(odd_docs, k=5).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id is not None and r.doc_id >= 100) == [100]
+
+
+def test_steps_on_few_rows_take_few_tasks(spark, monkeypatch):
+    """However many partitions a shuffle has; the results stay those of brute
+    force, and no pair or node comes out twice."""
+    from aerotrace.llm import components, minhash
+    files, repeats, stage = {}, {}, minhash.stage_table
+
+    def seen(df, name, *more):
+        table = stage(df, name, *more)
+        files[name] = max(files.get(name, 0), len(table.inputFiles()))
+        if name in ("minhash-pairs", "cc-labels", "minhash-members"):
+            keys = {"cc-labels": ["node"], "minhash-members": ["bucket", "node"]}.get(name, table.columns)
+            repeats[name] = repeats.get(name, 0) + table.count() - table.select(keys).distinct().count()
+        return table
+
+    monkeypatch.setattr(minhash, "stage_table", seen)
+    monkeypatch.setattr(components, "stage_table", seen)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        texts = corpus()
+        docs = spark.createDataFrame([(i * 3 + 1, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        got = {r.doc_id: r.component_id for r in near_duplicates(docs, k=4).collect()}
+        chain = spark.createDataFrame([(i, i + 1) for i in range(1, 60)], "a long, b long")
+        labels = components.labels_of_others(chain)
+        assert sorted(map(tuple, labels.collect())) == [(i, 1) for i in range(2, 61)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == brute_components({i * 3 + 1: shingle_set(t, 4) for i, t in enumerate(texts)})
+    assert repeats == {"minhash-pairs": 0, "cc-labels": 0, "minhash-members": 0}
+    few = {name: n for name, n in files.items() if name not in ("minhash", "minhash-pairs", "cc-links")}
+    assert max(few.values()) <= 3, few
