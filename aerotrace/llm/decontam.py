@@ -30,6 +30,10 @@ SHINGLE = 5
 #: For similarity 0.8 about 9.7 of 64 bits differ (deviation 2.9).
 RADIUS, BLOCKS, BLOCK_RADIUS = 23, 8, 2
 ITEM_BYTES = 8 << 20  # text bytes of items in one broadcast
+#: Text bytes of documents looked at together, and the stretch of shingles
+#: whose windows are fingerprinted together (a shingle takes some 1,000 bytes).
+#: A worker keeps much of what it once took.
+PIECE_BYTES, PIECE_STARTS = 1 << 18, 1 << 13
 
 _BITS = np.array([bin(x).count("1") for x in range(256)], dtype=np.uint8)
 #: For each value of a block, the values within BLOCK_RADIUS bits of it.
@@ -90,7 +94,7 @@ class Group:
     def within_radius(self, prints: np.ndarray):
         """(window, item) pairs whose fingerprints differ in at most RADIUS
         bits: those that some block's near values find, by exact distance."""
-        step = max(1, (1 << 20) // max(len(self.ids), BLOCKS * _NEAR_VALUES.shape[1]))
+        step = max(1, (1 << 18) // max(len(self.ids), BLOCKS * _NEAR_VALUES.shape[1]))
         for at in range(0, len(prints), step):
             part = prints[at:at + step]
             pairs = []
@@ -168,17 +172,18 @@ class Index:
 
     @staticmethod
     def _verify(row, text, starts, width, group, k, percent=80):
-        first, last = starts[0], starts[-1] + width
         best: dict[int, tuple] = {}
-        for w, i in group.within_radius(fingerprints(text[first:last], starts - first, width)):
-            a = int(starts[w])
-            keys, counts = group.count(i)
-            window = text[a:a + width]
-            at = np.minimum(np.searchsorted(keys, window), len(keys) - 1)
-            shared = int(np.minimum(np.bincount(at[keys[at] == window], minlength=len(keys)), counts).sum())
-            union = width + group.size - shared
-            if 100 * shared >= percent * union and (i not in best or shared / union > best[i][1]):
-                best[i] = (a, shared / union)
+        for some in np.split(starts, np.flatnonzero(np.diff(starts // PIECE_STARTS)) + 1):
+            first, last = some[0], some[-1] + width
+            for w, i in group.within_radius(fingerprints(text[first:last], some - first, width)):
+                a = int(some[w])
+                keys, counts = group.count(i)
+                window = text[a:a + width]
+                at = np.minimum(np.searchsorted(keys, window), len(keys) - 1)
+                shared = int(np.minimum(np.bincount(at[keys[at] == window], minlength=len(keys)), counts).sum())
+                union = width + group.size - shared
+                if 100 * shared >= percent * union and (i not in best or shared / union > best[i][1]):
+                    best[i] = (a, shared / union)
         for i, (a, similarity) in best.items():
             yield row, group.ids[i], a, width + k - 1, similarity
 
@@ -233,7 +238,7 @@ def _item_blocks(benchmark: DataFrame, item_col: str, text_col: str):
 def _filter(index, text_col: str):
     def run(batches):
         for batch in batches:
-            for start, end in text_slices(batch, text_col, 1 << 20):
+            for start, end in text_slices(batch, text_col, PIECE_BYTES):
                 part = batch.slice(start, end - start)
                 keep = np.ones(part.num_rows, dtype=bool)
                 keep[[hit[0] for hit in index.value.scan(part.column(text_col))]] = False
@@ -245,7 +250,7 @@ def _filter(index, text_col: str):
 def _scanner(index):
     def run(batches):
         for batch in batches:
-            for start, end in text_slices(batch, "text", 1 << 20):
+            for start, end in text_slices(batch, "text", PIECE_BYTES):
                 part = batch.slice(start, end - start)
                 hits = list(index.value.scan(part.column("text")))
                 if hits:

@@ -42,11 +42,41 @@ LONG_SIZE, LEAST_AGREEMENT = 512, 0.725
 #: its bands; node and bucket; a text, a set or a pair of sets to compare; a
 #: set to draw a long signature from.
 CLASS_ROWS, MEMBER_ROWS, SET_ROWS, LONG_ROWS = 1 << 12, 1 << 16, 1 << 9, 1 << 8
+#: Bytes of permutations held at once (twice that while texts drop out).
+ORDER_BYTES = 8 << 20
 
 
 def super_minhash(values: np.ndarray, offsets: np.ndarray, m: int = SIZE) -> np.ndarray:
     """Signatures (texts x m, float64) of sets given as flat 64-bit elements
-    and per-text offsets; an empty set keeps ``inf`` everywhere."""
+    and per-text offsets; an empty set keeps ``inf`` everywhere.
+
+    The permutations of ORDER_BYTES are held at once, whatever the size of a
+    set: a larger one is cut into parts, and the signature of a union is the
+    least of those of its parts, position by position."""
+    step = max(1, ORDER_BYTES // (m * _order_type(m)().itemsize))
+    counts = np.diff(offsets)
+    parts = np.maximum(-(-counts // step), 1)
+    text = np.repeat(np.arange(len(counts)), parts)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
+    bounds = np.append(offsets[text] + counts[text] * nth // parts[text], offsets[-1])
+    signature = np.full((len(counts), m), np.inf)
+    at = 0
+    while at < len(text):
+        end = max(int(np.searchsorted(bounds, bounds[at] + step, side="right")) - 1, at + 1)
+        part = _signatures_of_parts(values[bounds[at]:bounds[end]], bounds[at:end + 1] - bounds[at], m)
+        # only the first and the last part can belong to a text that is cut
+        for i in {0, end - at - 1}:
+            np.minimum(signature[text[at + i]], part[i], out=signature[text[at + i]])
+        signature[text[at + 1:end - 1]] = part[1:-1]
+        at = end
+    return signature
+
+
+def _order_type(m: int):
+    return np.uint8 if m <= 256 else np.uint16
+
+
+def _signatures_of_parts(values: np.ndarray, offsets: np.ndarray, m: int) -> np.ndarray:
     n = len(offsets) - 1
     counts = np.diff(offsets)
     signature = np.full(n * m, np.inf)
@@ -72,7 +102,7 @@ def super_minhash(values: np.ndarray, offsets: np.ndarray, m: int = SIZE) -> np.
         keep = going[text]
         if order is None:
             element, text, position = element[keep], text[keep], position[keep]
-            order = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(element), 1))
+            order = np.tile(np.arange(m, dtype=_order_type(m)), (len(element), 1))
             order[np.arange(len(element)), position] = 0
         elif not keep.all():
             element, text, order = element[keep], text[keep], order[keep]
@@ -84,8 +114,9 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 SIGNATURE_SCHEMA = "id long, t1 long, t2 long, n_shingles long, key1 long, key2 long, bands array<long>"
-#: Text bytes handled at once; the permutations take some 100 bytes a shingle.
-PIECE_BYTES = 1 << 20
+#: Text bytes and rows handled at once.  A worker keeps much of what it once
+#: took, and all later steps of the job share the executor with it.
+PIECE_BYTES, PIECE_ROWS = 1 << 18, 1 << 12
 
 
 def named_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -102,7 +133,7 @@ def signatures(texts: DataFrame, k: int, m: int = SIZE, rows: int = ROWS) -> Dat
 
     def run(batches):
         for batch in batches:
-            for start, end in text_slices(batch, "text", PIECE_BYTES):
+            for start, end in text_slices(batch, "text", PIECE_BYTES, PIECE_ROWS):
                 part = batch.slice(start, end - start)
                 words = Words(part.column("text"))
                 shingle, offsets = words.shingles(k)
@@ -136,7 +167,7 @@ def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start, end in text_slices(batch, "text", PIECE_BYTES):
+            for start, end in text_slices(batch, "text", PIECE_BYTES, PIECE_ROWS):
                 part = batch.slice(start, end - start)
                 words = Words(part.column("text"))
                 sets, offsets = distinct_sorted(*words.shingles(k))
@@ -158,7 +189,7 @@ def long_signatures(sets: DataFrame, m: int = LONG_SIZE) -> DataFrame:
             start = 0
             while start < len(lists):
                 end = int(np.searchsorted(offsets, offsets[start] + (1 << 16), side="right")) - 1
-                end = min(max(end, start + 1), len(lists))
+                end = min(max(end, start + 1), start + (PIECE_ROWS >> 2), len(lists))
                 values = np.asarray(lists.values)[offsets[start]:offsets[end]].view(U64)
                 bits = mix64(super_minhash(values, offsets[start:end + 1] - offsets[start], m).view(U64))
                 small = (bits >> U64(56)).astype(np.uint8)

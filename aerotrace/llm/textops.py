@@ -56,14 +56,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of the batch holding at most ``max_bytes`` of text each (a
-    longer single text is a range of its own), which bounds the working set."""
+def text_slices(batch: pa.RecordBatch, text_col: str, max_bytes: int = 4 << 20,
+                max_rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of the batch holding at most ``max_bytes`` of text (a longer
+    single text is a range of its own) and ``max_rows`` rows each, which
+    bounds the working set."""
     _, offsets = text_buffer(batch.column(text_col))
     start = 0
     while start < batch.num_rows:
         end = int(np.searchsorted(offsets, offsets[start] + max_bytes, side="right")) - 1
-        end = min(max(end, start + 1), batch.num_rows)
+        end = min(max(end, start + 1), start + (max_rows or batch.num_rows), batch.num_rows)
         yield start, end
         start = end
 

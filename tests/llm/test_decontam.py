@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from conftest_llm import lower_ascii, words_of
 
 from aerotrace.llm import decontam
@@ -133,3 +135,45 @@ def test_index_of_many_short_items_is_small():
     rng = random.Random(3)
     texts = [" ".join(f"w{rng.randrange(50000)}" for _ in range(6)) for _ in range(100000)]
     assert len(pickle.dumps(decontam.Index(list(range(len(texts))), texts))) < 50 << 20
+
+
+def test_long_texts_are_fingerprinted_in_pieces(monkeypatch):
+    """However far apart the matches of a document lie; the matches stay."""
+    rng = random.Random(4)
+    say = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    items = [say(40), say(40), ["same"] * 30]
+    text = " ".join(say(500) + items[0] + say(30_000) + items[2] * 400 + say(9000) + items[1] + items[0] + say(100))
+    index = decontam.Index([1, 2, 3], [" ".join(x) for x in items])
+    sizes, fingerprints = [], decontam.fingerprints
+
+    def seen(shingles, starts, size):
+        sizes.append(len(shingles))
+        return fingerprints(shingles, starts, size)
+
+    monkeypatch.setattr(decontam, "fingerprints", seen)
+    column = pa.array([text, None, text])
+    got = list(index.scan(column))
+    assert sorted(x[:4] for x in got) == [(r, i, a, n) for r in (0, 2) for i, a, n in ((1, 500, 40), (2, 51_540, 40), (3, 30_540, 30))]
+    assert max(sizes) <= (1 << 13) + 40 and len(sizes) > 4
+
+
+def test_documents_are_looked_at_in_small_pieces():
+    """What a Python worker took it may keep for as long as it lives."""
+    rng = random.Random(5)
+    item = " ".join(f"w{rng.randrange(5000)}" for _ in range(40))
+    texts = [" ".join(f"w{rng.randrange(5000)}" for _ in range(350)) + (" " + item if i % 50 == 0 else "") for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts)], names=["id", "text"])
+    index = Held(decontam.Index([1], [item]))
+    for run, rows in ((decontam._filter(index, "text"), 1960), (decontam._scanner(index), 40)):
+        next(iter(run([batch])))  # tables that are made once
+        tracemalloc.start()
+        try:
+            assert sum(len(x) for x in run([batch])) == rows
+            assert tracemalloc.get_traced_memory()[1] < 24 << 20
+        finally:
+            tracemalloc.stop()
+
+
+class Held:
+    def __init__(self, value):
+        self.value = value

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from aerotrace.llm.components import connected_components
 from aerotrace.llm.minhash import SIZE, near_duplicates, super_minhash
@@ -145,3 +147,59 @@ def test_steps_on_few_rows_take_few_tasks(spark, monkeypatch):
     assert repeats == {"minhash-pairs": 0, "cc-labels": 0, "minhash-members": 0}
     few = {name: n for name, n in files.items() if name not in ("minhash", "minhash-pairs", "cc-links")}
     assert max(few.values()) <= 3, few
+
+
+class Taken:
+    """Stands for a table: keeps the function that its batches would go through."""
+
+    def mapInArrow(self, function, schema):
+        self.function = function
+        return self
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_large_sets_are_taken_in_parts(monkeypatch):
+    """A set of any size takes bounded memory and keeps its signature."""
+    from aerotrace.llm import minhash
+    rng = np.random.default_rng(5)
+    counts = np.array([0, 70, 3000, 0, 1, 2, 40, 900, 0])
+    offsets = np.concatenate([[0], np.cumsum(counts)])
+    values = rng.integers(0, 2**63, offsets[-1], dtype=np.uint64)
+    for m in (96, 512):
+        # a set's signature is the least of those of its elements
+        alone = minhash.super_minhash(values, np.arange(len(values) + 1), m)
+        want = np.array([alone[a:b].min(axis=0, initial=np.inf) for a, b in zip(offsets[:-1], offsets[1:])])
+        for size in (minhash.ORDER_BYTES, 500 * m, 60 * m):
+            monkeypatch.setattr(minhash, "ORDER_BYTES", size)
+            assert np.array_equal(minhash.super_minhash(values, offsets, m), want)
+        monkeypatch.undo()
+    large = rng.integers(0, 2**63, 200_000, dtype=np.uint64)
+    assert peak_mb(lambda: minhash.super_minhash(large, np.array([0, len(large)]), 512)) < 48
+
+
+def test_steps_on_texts_take_little_memory():
+    """What a Python worker took it may keep for as long as it lives."""
+    from aerotrace.llm.minhash import long_signatures, shingle_sets, signatures
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(9000)}" for _ in range(350)) for _ in range(1500)] + ["a b"] * 6000
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids] * 4 + [pa.array(texts)], names=["id", "t1", "t2", "node", "text"])
+    sets = []
+    runs = {"signatures": lambda: [len(x) for x in signatures(Taken(), 5).function([batch])],
+            "sets": lambda: sets.extend(shingle_sets(Taken(), 5).function([batch]))}
+    peaks = {name: peak_mb(run) for name, run in runs.items()}
+    lists = pa.Table.from_batches(sets).combine_chunks().to_batches()[0]
+    assert lists.column("node").equals(ids)
+    lists = pa.RecordBatch.from_arrays([*lists.columns, lists.column("node")], names=["node", "shingles", "all"])
+    rows = []
+    peaks["long"] = peak_mb(lambda: rows.extend(len(x) for x in long_signatures(Taken()).function([lists])))
+    assert sum(rows) == len(texts)
+    assert max(peaks.values()) < 48, peaks
