@@ -7,11 +7,13 @@ every overlapping pair, and pairs with equal ends cut the text into groups.
 All A and B tokens of one group are linked.
 
 How often an id pair is linked over the corpus takes a second step.  A task
-writes one row per slice of documents: the slice's distinct id pairs, each
-once with the number of its documents, and per document the places in that
-list of the pairs it holds.  Only the lists are exploded and summed (one row
-per slice and pair, pre-aggregated, so a pair that every document holds is a
-few rows), and each slice gets its own list back with the corpus counts.
+takes its documents in slices and writes one row per document, with the places
+of its pairs in the slice's list of distinct pairs; the slice's first row has
+that list, each pair with the number of its documents.  Only the lists are
+exploded and summed (one row per slice and pair, pre-aggregated, so a pair that
+every document holds is a few rows), and the counts of a slice's pairs meet its
+documents in one task as rows.  Outside Python only one Arrow batch at a time
+holds a slice, so memory does not depend on how many slices a task has.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ from aerotrace.session import stage_table
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Per-document distinct pairs in one stored slice, about; a document is never split.
 SLICE_PAIRS = 1 << 18
-PIECE_BYTES = 1 << 19  # text bytes aligned at once
+PIECE_BYTES = 1 << 18  # text bytes aligned at once
 CACHE = 1 << 18  # encoded parts that each tokenizer keeps in a worker
 #: Groups with at most so many pairs are expanded at once; larger ones by their distinct ids.
 PLAIN_PAIRS = 64
+#: Bytes of a Parquet row group of staged documents, about: a task holds one while it writes or reads.
+GROUP_BYTES = 8 << 20
 MARK = "▁"
 
 
@@ -286,15 +290,24 @@ def token_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 _DOC = ("n_a", "n_b", "n_groups", "n_links")
 
 
+def _packed(values: np.ndarray, per_row: np.ndarray) -> pa.Array:
+    """``per_row`` numbers in a row as bytes, each in the fewest that hold the largest."""
+    values = values.astype(np.min_scalar_type(values.max(initial=0)))
+    stop = np.concatenate([[0], np.cumsum(per_row)]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(per_row), [None, pa.py_buffer(stop.astype(np.int32)), pa.py_buffer(values)])
+
+
+def _unpacked(column, n: int) -> np.ndarray:
+    """The ``n`` numbers of all rows of a slice's packed column, in order."""
+    data = b"".join(column.to_pylist())
+    return np.frombuffer(data, dtype=f"u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
 def _slices(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
-    longs = "".join(f", {c} array<long>" for c in _DOC)
-    schema = (f"part int, slice int, pair_a array<int>, pair_b array<int>, pair_docs array<int>, ids array<{kind}>"
-              f"{longs}, digests array<string>, held array<int>, pair array<int>, times array<long>")
-
-    def one(values, kind=None):
-        values = values if isinstance(values, pa.Array) else pa.array(values, kind)
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    longs = "".join(f", {c} long" for c in _DOC)
+    schema = (f"part int, slice int, id {kind}{longs}, digest string, held int, place binary, times binary, "
+              "pair_a array<int>, pair_b array<int>, pair_docs array<int>")
 
     def run(batches):
         from pyspark import TaskContext
@@ -303,17 +316,21 @@ def _slices(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
         width = len(both[1].size)
         ids, docs_of, digests, codes, times, held = [], [], [], [], [], []
 
-        def row():
+        def rows():
             code = np.concatenate(codes)
             pairs, pair = np.unique(code, return_inverse=True)
             n_docs = np.bincount(pair, minlength=len(pairs))  # a document holds a pair once
-            per = np.concatenate(docs_of, axis=1)
+            per, links = np.concatenate(docs_of, axis=1), np.concatenate(held)
+            n = len(links)
+            lists = np.full(n + 1, len(pairs), dtype=np.int32)  # all of the list in the first row
+            lists[0] = 0
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()),
-                 one((pairs // width).astype(np.int32)), one((pairs % width).astype(np.int32)), one(n_docs.astype(np.int32)),
-                 one(pa.concat_arrays(ids)), *[one(x) for x in per], one(digests, pa.string()),
-                 one(np.concatenate(held).astype(np.int32)), one(pair.astype(np.int32)), one(np.concatenate(times))],
-                names=["part", "slice", "pair_a", "pair_b", "pair_docs", "ids", *_DOC, "digests", "held", "pair", "times"])
+                [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, number, np.int32)), pa.concat_arrays(ids),
+                 *[pa.array(x) for x in per], pa.array(digests, pa.string()), pa.array(links.astype(np.int32)),
+                 _packed(pair, links), _packed(np.concatenate(times), links),
+                 *[pa.ListArray.from_arrays(pa.array(lists), pa.array(x.astype(np.int32)))
+                   for x in (pairs // width, pairs % width, n_docs)]],
+                names=["part", "slice", "id", *_DOC, "digest", "held", "place", "times", "pair_a", "pair_b", "pair_docs"])
 
         for column, x in _pieces(batches, path_a, path_b):
             doc, code, time = x.linked(width)
@@ -325,11 +342,11 @@ def _slices(docs: DataFrame, id_col: str, text_col: str, path_a: str, path_b: st
             digests += x.digests(both)
             codes.append(code), times.append(time), held.append(links)
             if sum(map(len, codes)) >= SLICE_PAIRS:
-                yield row()
+                yield rows()
                 ids, docs_of, digests, codes, times, held = [], [], [], [], [], []
                 number += 1
         if ids:
-            yield row()
+            yield rows()
 
     return _rows(docs, id_col, text_col).mapInArrow(run, schema)
 
@@ -361,35 +378,29 @@ def alignment(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     other columns are ignored.
     """
     path_a, path_b = path_a or vocabulary_path(VOCABULARY_A), path_b or vocabulary_path(VOCABULARY_B)
-    slices = stage_table(_slices(docs, id_col, text_col, path_a, path_b), "align-slices")
+    slices = stage_table(_slices(docs, id_col, text_col, path_a, path_b), "align-slices", row_group=GROUP_BYTES)
     counts = stage_table(pair_counts(slices), "align-pairs")
-    places = slices.select("part", "slice", F.posexplode(F.arrays_zip("pair_a", "pair_b")).alias("pos", "x")).select(
-        "part", "slice", "pos", "x.*")
-    known = (places.join(counts, ["pair_a", "pair_b"]).groupBy("part", "slice")
-             .agg(F.sort_array(F.collect_list(F.struct("pos", "count", "best"))).alias("known"))
-             .select("part", "slice", F.col("known.count").alias("counts"), F.col("known.best").alias("bests")))
+    places = slices.select(F.col("part").alias("of_part"), F.col("slice").alias("of_slice"), F.posexplode(
+        F.arrays_zip("pair_a", "pair_b")).alias("pos", "x")).select("of_part", "of_slice", "pos", "x.*")
+    known = places.join(counts, ["pair_a", "pair_b"]).select("of_part", "of_slice", "pos", "count", "best")
     kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                flat = {c: batch.column(c).slice(i, 1).flatten() for c in batch.schema.names}
-                pair = np.asarray(flat["pair"])
-                held, times = np.asarray(flat["held"]), np.asarray(flat["times"])
-                count = np.asarray(flat["counts"])[pair] if len(pair) else np.zeros(0, np.int64)
-                best = flat["bests"].to_numpy(zero_copy_only=False).astype(bool)[pair] if len(pair) else np.zeros(0, bool)
-                doc = np.repeat(np.arange(len(held)), held)
-                out = []
-                for weight in (times * best, times * count):
-                    total = np.zeros(len(held), dtype=np.int64)
-                    np.add.at(total, doc, weight)
-                    out.append(pa.array(total))
-                yield pa.RecordBatch.from_arrays([flat["ids"], *[flat[c] for c in _DOC], *out, flat["digests"]],
-                                                 names=["id", *_DOC, "n_best", "count_sum", "groups_sha256"])
+    def run(mine, known):  # documents of one slice, and the counts of its pairs
+        held = mine.column("held").to_numpy()
+        place, times = (_unpacked(mine.column(c), int(held.sum())) for c in ("place", "times"))
+        doc, pos = np.repeat(np.arange(len(held)), held), known.column("pos").to_numpy()
+        sums = []
+        for c in ("best", "count"):
+            of_pair, total = np.zeros(len(pos), dtype=np.int64), np.zeros(len(held), dtype=np.int64)
+            of_pair[pos] = known.column(c).to_numpy()
+            np.add.at(total, doc, times * of_pair[place])
+            sums.append(pa.array(total))
+        return pa.Table.from_arrays([mine.column("id"), *[mine.column(c) for c in _DOC], *sums, mine.column("digest")],
+                                    names=["id", *_DOC, "n_best", "count_sum", "groups_sha256"])
 
     longs = ", ".join(f"{c} long" for c in (*_DOC, "n_best", "count_sum"))
-    return (slices.drop("pair_a", "pair_b", "pair_docs").join(known, ["part", "slice"], "left").drop("part", "slice")
-            .mapInArrow(run, f"id {kind}, {longs}, groups_sha256 string").withColumnRenamed("id", id_col))
+    return (slices.drop("pair_a", "pair_b", "pair_docs").groupBy("part", "slice").cogroup(known.groupBy("of_part", "of_slice"))
+            .applyInArrow(run, f"id {kind}, {longs}, groups_sha256 string").withColumnRenamed("id", id_col))
 
 
 def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,3 +141,45 @@ def test_overlaps_and_pairs_with_one_key(monkeypatch):
         doc, code, times = x.linked(width)
         got.append(list(zip(doc.tolist(), (code // width).tolist(), (code % width).tolist(), times.tolist())))
     assert got[0] == got[1] and len(got[0]) == len({r[:3] for r in got[0]})
+
+
+def test_staged_rows_are_documents(spark, monkeypatch):
+    """A staged row holds one document's pairs however many its slice has, no
+    aggregate collects a slice, and wide rows go in small row groups."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from aerotrace.llm import align
+    rows = [(i, f"{ODD[i % len(ODD)]} {i} " + "some more text " * (i % 7)) for i in range(400)] + [(None, None), (3, "x")]
+    staged = []
+
+    def keep(df, *args, **options):
+        staged.append(real(df, *args, **options))
+        return staged[-1]
+
+    real = align.stage_table
+    monkeypatch.setattr(align, "stage_table", keep)
+    monkeypatch.setattr(align, "GROUP_BYTES", 1 << 12, raising=False)
+    out = align.alignment(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert got(out) == sorted(brute(rows), key=lambda r: (r[0] is None, r))
+    assert "ObjectHashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    held = staged[0].collect()
+    assert len(held) == len(rows) and len({(r.part, r.slice) for r in held}) == 1
+    assert sum(len(r.pair_a) > 0 for r in held) == 1
+    assert all(len(r.place) in (r.held, 2 * r.held) and len(r.times) in (r.held, 2 * r.held) for r in held)
+    files = Path(staged[0]._staged_path.removeprefix("file:")).glob("*.parquet")
+    assert max(pq.ParquetFile(f).num_row_groups for f in files) > 1
+
+
+@pytest.mark.parametrize("most", [0, 1, 255, 256, 65535, 65536, 1 << 40])
+def test_packed_numbers(most):
+    import numpy as np
+    import pyarrow as pa
+
+    from aerotrace.llm import align
+    values, per_row = np.array([most, 0, most // 2, 1, most]), np.array([0, 2, 0, 3, 0])
+    column = pa.chunked_array([align._packed(values, per_row)])
+    assert align._unpacked(column, 5).tolist() == values.tolist()
+    assert [len(b) > 0 for b in column.to_pylist()] == [n > 0 for n in per_row]
+    assert align._unpacked(pa.chunked_array([align._packed(values[:0], np.zeros(3, int))]), 0).tolist() == []
